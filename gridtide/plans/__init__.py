@@ -1,0 +1 @@
+"""Composed jobs, and the registered queries with their SQL counterparts."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lookups as L
@@ -114,14 +114,11 @@ def linked_pages(
     """
     has_next = F.exists(F.coalesce("links", F.array()), lambda link: link["rel"] == "next")
     ends = (F.coalesce(F.size("items"), F.lit(0)) <= 0) | ~F.coalesce(has_next, F.lit(False))
-    last = (
-        envelopes.where(F.col(page_no) < max_pages)
-        .groupBy(request)
-        .agg(F.coalesce(F.min(F.when(ends, F.col(page_no))), F.lit(max_pages)).alias("_last"))
-    )
+    # a request keeps at most max_pages rows here, so its window is small
+    last = F.min(F.when(ends, F.col(page_no))).over(Window.partitionBy(request))
     return (
         envelopes.where(F.col(page_no) < max_pages)
-        .join(last, request)
+        .withColumn("_last", F.coalesce(last, F.lit(max_pages)))
         .where(F.col(page_no) <= F.col("_last"))
         .drop("_last")
     )

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 from ..functions import lookups as L
+from ..sources.schemas import table_schema
 
-CHANGE_SCHEMA = StructType.fromDDL(
+# the functions below travel with the job, so executors need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+CHANGE_SCHEMA = table_schema(
     "region_id string, timestamp timestamp, demand_mw double, previous_mw double, "
     "change_mw double, acceleration_mw double"
 )
@@ -78,7 +83,7 @@ def demand_change(live: DataFrame) -> DataFrame:
     )
 
 
-ALERT_SCHEMA = StructType.fromDDL("region_id string, alert_time timestamp")
+ALERT_SCHEMA = table_schema("region_id string, alert_time timestamp")
 
 
 def _fire(minutes: np.ndarray, last: int | None, cooldown: int) -> list[int]:
@@ -116,7 +121,7 @@ def alert_cooldown(anomalies: DataFrame, minutes: int = L.ALERT_COOLDOWN_MINUTES
     Alerts have minute resolution.  State is the minute of the region's last alert.
     """
 
-    def step(key, chunks, state):
+    def step(key, chunks, state):  # noqa: ANN001
         last = state.get[0] if state.exists else None
         fired = _fire(_minutes(chunks), last, minutes)
         if fired:
@@ -137,7 +142,7 @@ def alert_cooldown_history(
     at most 1,440 rows per day of history, however many anomalies it had.
     """
 
-    def per_region(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def per_region(key, pdf):
         return _alerts(key[0], _fire(np.sort(pdf["minute"].to_numpy(dtype="int64")), None, minutes))
 
     distinct = _by_minute(anomalies).distinct()
