@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lookups as L
@@ -11,18 +11,18 @@ from ..functions.exact import exact_avg, exact_sum
 from . import events as E
 
 
-def current_demand(energy: DataFrame) -> DataFrame:
-    """Average demand per region in the month of the newest reading of all regions.
+def current_demand(monthly: DataFrame) -> DataFrame:
+    """Average demand per region in the newest month that any region has a reading in.
 
-    The newest time is a scalar subquery that reads one column; its value then filters
-    the scan, so older row groups are skipped.
+    Works on the monthly table that the events need too, so readings are scanned once.
+    The rank keeps only rows of the newest month in every task before they meet.
     """
-    newest_month = F.date_trunc("month", F.max("timestamp"))
-    latest = energy.select("timestamp").agg(newest_month.alias("m")).scalar()
+    newest_first = Window.orderBy(F.col("month").desc_nulls_last())
     return (
-        energy.where(F.col("timestamp") >= latest)
-        .groupBy("region_id")
-        .agg(exact_avg(F.col("demand_mw")).alias("current_avg_demand_mw"))
+        monthly.where(F.col("month").isNotNull())
+        .withColumn("_rank", F.rank().over(newest_first))
+        .where("_rank = 1")
+        .select("region_id", F.col("avg_demand_mw").alias("current_avg_demand_mw"))
     )
 
 
@@ -45,7 +45,7 @@ def peak_capacity(timeline: DataFrame) -> DataFrame:
 
 
 def kpi_summary(
-    energy: DataFrame, timeline: DataFrame, events: DataFrame, snapshot: Column
+    monthly: DataFrame, timeline: DataFrame, events: DataFrame, snapshot: Column
 ) -> DataFrame:
     """Current demand against the baseline, capacity and its share, per region.
 
@@ -53,7 +53,7 @@ def kpi_summary(
     """
     current, baseline = F.col("current_avg_demand_mw"), F.col("baseline_avg_demand_mw")
     return (
-        current_demand(energy)
+        current_demand(monthly)
         .join(event_baselines(events), "region_id", "left")
         .join(peak_capacity(timeline), "region_id", "left")
         .select(
@@ -97,8 +97,7 @@ def region_objects(kpi: DataFrame, dimension: DataFrame) -> DataFrame:
 
 def _before_after(sites: DataFrame, monthly: DataFrame, value: str, as_of: Column) -> DataFrame:
     bounded = E.period_bounds(E.online_sites(sites, as_of), as_of)
-    keys = ["region_id", *E.PERIOD_MONTHS]
-    return bounded.join(E.period_stats(bounded, monthly, value), keys)
+    return bounded.join(E.period_stats(bounded, monthly, value), ["region_id", *E.PERIOD_MONTHS])
 
 
 def cost_impact(
@@ -112,17 +111,14 @@ def cost_impact(
         F.lower("stateid").alias("region_id"),
         F.try_to_timestamp("period", F.lit("yyyy-MM")).alias("month"),
     ).agg(exact_avg(F.col("price")).alias("avg_price"))
-    prices = _before_after(sites, monthly, "avg_price", as_of).select(
-        "dc_id",
-        F.col("pre_avg").alias("pre_avg_price"),
-        F.col("post_avg").alias("post_avg_price"),
-    )
     bounded = E.period_bounds(E.online_sites(sites, as_of), as_of)
-    changes = E.site_changes(bounded, E.monthly_energy(energy)).select(
-        "dc_id", "region_id", "delta_demand_mw"
+    keys = ["region_id", *E.PERIOD_MONTHS]
+    prices = E.period_stats(bounded, monthly, "avg_price").select(
+        *keys, F.col("pre_avg").alias("pre_avg_price"), F.col("post_avg").alias("post_avg_price")
     )
+    changes = E.site_changes(bounded, E.monthly_energy(energy))
     pre, post = F.col("pre_avg_price"), F.col("post_avg_price")
-    return changes.join(prices, "dc_id").select(
+    return changes.join(prices, keys).select(
         "dc_id",
         "region_id",
         "pre_avg_price",

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 
-# Cell sizes in degrees, each a quarter of the one before; the first covers the globe
+# Cell sizes in degrees, each an eighth of the one before; the first covers the globe
 # with 23 x 12 cells, the last is about 400 m wide.
-LEVELS = (16.0, 4.0, 1.0, 0.25, 0.0625, 0.015625, 0.00390625)
+LEVELS = (16.0, 2.0, 0.25, 0.03125, 0.00390625)
 _SLACK_KM = 1e-4
 
 
@@ -75,7 +75,7 @@ def nearest_station(sites: DataFrame, stations: DataFrame) -> DataFrame:
     are reduced to distinct points first, so many copies of a place count once.  Each site
     then descends through ever smaller cells.  A cell's tight box gives a lower bound of
     the distance and one of its stations an upper bound; cells that cannot win are dropped
-    at every level.  A site carries a few cells, and each splits into at most 16, however
+    at every level.  A site carries a few cells, and each splits into at most 64, however
     many stations a cell holds.
     """
     points = stations.where("lat IS NOT NULL AND lon IS NOT NULL").groupBy("lat", "lon").agg(

@@ -1,9 +1,9 @@
 """Trailing averages and previous values of long series.
 
 A region may hold a third of all readings, so no step orders a whole region in one task.
-A series is cut into buckets (an hour by default).  What a bucket needs from outside is
-computed from per-bucket summaries and put into the bucket as extra rows, after which one
-window per (region, bucket) gives the exact result of the window over the whole series.
+A series is cut into buckets of time.  What a bucket needs from outside is computed from
+per-bucket summaries and put into the bucket as extra rows; one window per (region, bucket)
+then gives the exact result of a window over the whole series.
 """
 
 from __future__ import annotations
@@ -29,83 +29,89 @@ def trailing_averages(
 ) -> DataFrame:
     """Add the average of ``value`` over the last ``n`` seconds, both ends inclusive.
 
-    ``spans`` maps output column to n, a multiple of the bucket.  For a row at second t in
-    bucket b the frame [t - n, t] is: the rows of b up to t, plus the whole buckets
-    b - n/size .. b - 1, less the rows of the oldest of these that lie before t - n.  Those
-    old rows are moved n seconds forward and so arrive in bucket b as subtrahends.
+    ``spans`` maps output column to n, a multiple of the bucket.  Rows of one second share
+    their averages, so the series is first summed per second; a bucket then has at most one
+    row per second and span, however many readings fall into it.
+
+    For second t in bucket b the frame [t - n, t] is: the seconds of b up to t, plus the
+    whole buckets b - n/size .. b - 1, less the seconds of the oldest of these that lie
+    before t - n.  Those are moved n seconds forward and so meet t in bucket b.
     """
     if any(n % bucket_seconds for n in spans.values()):
         raise ValueError("spans must be multiples of the bucket")
-    second = F.unix_timestamp(time)
-    slot = F.floor(F.col("_s") / bucket_seconds)
-    amount = as_decimal(F.col(value))
     shifts = list(spans.values())
+    seconds = series.groupBy(key, F.unix_timestamp(time).alias("_t")).agg(
+        F.sum(as_decimal(F.col(value))).alias("_v"), F.count(as_decimal(F.col(value))).alias("_n")
+    )
+    averages = _averages_per_second(seconds, key, shifts, list(spans), bucket_seconds)
+    rows, found = series.withColumn("_t", F.unix_timestamp(time)).alias("r"), averages.alias("a")
+    same = F.col(f"r.{key}").eqNullSafe(F.col(f"a.{key}")) & F.col("r._t").eqNullSafe(
+        F.col("a._t")
+    )
+    return rows.join(found, same, "left").select(
+        *[F.col(f"r.`{c}`") for c in series.columns], *spans
+    )
+
 
-    # each row once for itself (shift 0) and once per span as a subtrahend
-    payload = [c for c in series.columns if c != key]
+def _averages_per_second(
+    seconds: DataFrame, key: str, shifts: list[int], names: list[str], size: int
+) -> DataFrame:
+    """Trailing averages of per-second sums ``_v`` and counts ``_n``."""
+    slot = F.floor(F.col("_s") / size)
+    # shift 0 is the second itself, the others are its subtrahends
     moved = (
-        series.withColumns({"_t": second, "_v": amount})
-        .withColumn("_shift", F.explode(F.array(*[F.lit(n) for n in (0, *shifts)])))
-        .where((F.col("_shift") == 0) | (F.col("_v").isNotNull() & F.col("_t").isNotNull()))
-        .select(
-            key,
-            # only the row itself carries its other columns
-            *[F.when(F.col("_shift") == 0, F.col(c)).alias(c) for c in payload],
-            (F.col("_t") + F.col("_shift")).alias("_s"),
-            "_v",
-            "_shift",
-        )
+        seconds.withColumn("_shift", F.explode(F.array(*[F.lit(n) for n in (0, *shifts)])))
+        .where((F.col("_shift") == 0) | F.col("_t").isNotNull())
+        .withColumn("_s", F.col("_t") + F.col("_shift"))
         .withColumn("_b", slot)
     )
-
-    # whole-bucket sums of each span, one row per key and bucket
     totals = (
-        series.withColumns({"_s": second, "_v": amount})
-        .where(F.col("_s").isNotNull())
-        .groupBy(key, slot.alias("_b"))
-        .agg(F.sum("_v").alias("_sum"), F.count("_v").alias("_n"))
+        seconds.where(F.col("_t").isNotNull())
+        .groupBy(key, F.floor(F.col("_t") / size).alias("_b"))
+        .agg(F.sum("_v").alias("_sum"), F.sum("_n").alias("_cnt"))
     )
     by_bucket = Window.partitionBy(key).orderBy("_b")
     whole = []
     for i, n in enumerate(shifts):
-        frame = by_bucket.rangeBetween(-(n // bucket_seconds), -1)
+        frame = by_bucket.rangeBetween(-(n // size), -1)
         whole += [
             F.sum("_sum").over(frame).alias(f"_sum{i}"),
-            F.sum("_n").over(frame).alias(f"_n{i}"),
+            F.sum("_cnt").over(frame).alias(f"_cnt{i}"),
         ]
     carried = totals.select(key, "_b", *whole).withColumns(
-        {"_s": F.col("_b") * bucket_seconds, "_shift": F.lit(-1)}
+        {"_s": F.col("_b") * size, "_shift": F.lit(-1)}
     )
 
     rows = moved.unionByName(carried, allowMissingColumns=True)
     in_bucket = Window.partitionBy(key, "_b").orderBy("_s")
     up_to_now = in_bucket.rangeBetween(Window.unboundedPreceding, 0)
     before_now = in_bucket.rangeBetween(Window.unboundedPreceding, -1)
-    anywhere = in_bucket.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    def of(shift: int) -> Column:
-        return F.when(F.col("_shift") == shift, F.col("_v"))
+    def total(column: str, shift: int, over) -> Column:
+        return F.coalesce(
+            F.sum(F.when(F.col("_shift") == shift, F.col(column))).over(over), F.lit(0)
+        )
+
+    def handed(column: str) -> Column:
+        # the carried row starts its bucket, so every frame that ends now includes it
+        return F.coalesce(F.max(column).over(up_to_now), F.lit(0))
 
-    zero = F.lit(0).cast("decimal(38,6)")
-    own_sum = F.sum(of(0)).over(up_to_now)
-    own_n = F.count(of(0)).over(up_to_now)
-    steps = {"_own": F.coalesce(own_sum, zero), "_own_n": own_n}
+    steps = {"_own": total("_v", 0, up_to_now), "_own_n": total("_n", 0, up_to_now)}
     for i, n in enumerate(shifts):
-        steps[f"_w{i}"] = F.coalesce(F.max(f"_sum{i}").over(anywhere), zero) - F.coalesce(
-            F.sum(of(n)).over(before_now), zero
-        )
-        steps[f"_wn{i}"] = F.coalesce(F.max(f"_n{i}").over(anywhere), F.lit(0)) - F.count(
-            of(n)
-        ).over(before_now)
+        steps[f"_w{i}"] = handed(f"_sum{i}") - total("_v", n, before_now)
+        steps[f"_wn{i}"] = handed(f"_cnt{i}") - total("_n", n, before_now)
     framed = rows.withColumns(steps).where("_shift = 0")
-    averages = [
-        (
-            (F.col("_own") + F.col(f"_w{i}")).cast("double")
-            / F.nullif(F.col("_own_n") + F.col(f"_wn{i}"), F.lit(0)).cast("double")
-        ).alias(name)
-        for i, name in enumerate(spans)
-    ]
-    return framed.select(*series.columns, *averages)
+    return framed.select(
+        key,
+        "_t",
+        *[
+            (
+                (F.col("_own") + F.col(f"_w{i}")).cast("double")
+                / F.nullif(F.col("_own_n") + F.col(f"_wn{i}"), F.lit(0)).cast("double")
+            ).alias(name)
+            for i, name in enumerate(names)
+        ],
+    )
 
 
 def demand_timeseries(energy: DataFrame) -> DataFrame:
@@ -135,59 +141,70 @@ def with_previous(
     series: DataFrame,
     key: str,
     time: str,
-    columns: dict[str, str],
+    columns: dict[str, tuple[str, int]],
     ties: tuple[str, ...] = (),
-    bucket_seconds: int = DAY,
+    bucket_seconds: int = HOUR,
 ) -> DataFrame:
-    """Add the values of the preceding row of the same key.
+    """Add values of preceding rows of the same key.
 
-    ``columns`` maps new column to source column.  The last row of every bucket is found
-    by an aggregate, handed to the next bucket that has rows, and sorted before them.
+    ``columns`` maps a new column to (source column, distance).  With d the largest
+    distance, the last d rows of every bucket are enough to know the d rows before each
+    bucket; these are handed to it and sorted before its own rows.  A bucket has one row
+    per distinct time once the series has been deduplicated.
     """
+    depth = max(distance for _, distance in columns.values())
+    sources = list(dict.fromkeys(source for source, _ in columns.values()))
     order = [time, *ties]
     bucketed = series.withColumn("_b", F.floor(F.unix_timestamp(time) / bucket_seconds))
-    last_row = F.max_by(
-        F.struct(*columns.values()), F.struct(*order)
+
+    newest = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc() for c in order])
+    slim = bucketed.select(key, "_b", *dict.fromkeys([*order, *sources]))
+    tails = slim.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= depth)
+    along = Window.partitionBy(key).orderBy("_b", F.col("_rn").desc())
+    packed = tails.withColumn("_row", F.struct(*sources))
+    handed = packed.select(
+        key,
+        "_b",
+        F.lag("_b").over(along).alias("_before"),
+        F.array(*[
+            F.struct(F.lit(-d).alias("_place"), F.lag("_row", d).over(along).alias("_row"))
+            for d in range(1, depth + 1)
+        ]).alias("_rows"),
     )
     carried = (
-        bucketed.groupBy(key, "_b")
-        .agg(last_row.alias("_last"))
-        .withColumn("_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")))
-        .where(F.col("_last").isNotNull())
-        .select(key, "_b", *[F.col("_last")[c].alias(c) for c in dict.fromkeys(columns.values())])
-        .withColumn("_first", F.lit(True))
-    )
-    rows = bucketed.withColumn("_first", F.lit(False)).unionByName(
-        carried, allowMissingColumns=True
-    )
-    ordered = Window.partitionBy(key, "_b").orderBy(F.col("_first").desc(), *order)
-    return (
-        rows.withColumns({new: F.lag(old).over(ordered) for new, old in columns.items()})
-        .where(~F.col("_first"))
-        .drop("_b", "_first")
+        # the first tail row of a bucket is the one whose predecessor is in another bucket
+        handed.where(~F.col("_before").eqNullSafe(F.col("_b")))
+        .select(key, "_b", F.inline("_rows"))
+        .where(F.col("_row").isNotNull())
+        .select(key, "_b", "_place", "_row.*")
     )
+    rows = bucketed.withColumn("_place", F.lit(0)).unionByName(carried, allowMissingColumns=True)
+    ordered = Window.partitionBy(key, "_b").orderBy("_place", *order)
+    lags = {new: F.lag(source, d).over(ordered) for new, (source, d) in columns.items()}
+    return rows.withColumns(lags).where("_place = 0").drop("_b", "_place")
 
 
 def change_rate(series: DataFrame, key: str, time: str, value: str, ties=()) -> DataFrame:
     """Change since the preceding row, in total and per hour."""
     hours = (F.unix_micros(time) - F.unix_micros("_prev_time")) / 3_600_000_000
     change = F.col(value) - F.col("_prev")
+    before = {"_prev": (value, 1), "_prev_time": (time, 1)}
     return (
-        with_previous(series, key, time, {"_prev": value, "_prev_time": time}, ties)
+        with_previous(series, key, time, before, ties)
         .withColumns({"change": change, "change_per_hour": F.try_divide(change, hours)})
         .drop("_prev", "_prev_time")
     )
 
 
 def acceleration(series: DataFrame, key: str, time: str, value: str, ties=()) -> DataFrame:
-    """Change of the change since the preceding row."""
-    changed = with_previous(series, key, time, {"_prev": value}, ties).withColumn(
-        "change", F.col(value) - F.col("_prev")
-    )
+    """Change since the preceding row, and how much it differs from the change before."""
+    change = F.col(value) - F.col("_prev")
     return (
-        with_previous(changed.drop("_prev"), key, time, {"_prev": "change"}, ties)
-        .withColumn("acceleration", F.col("change") - F.col("_prev"))
-        .drop("_prev")
+        with_previous(series, key, time, {"_prev": (value, 1), "_prev2": (value, 2)}, ties)
+        .withColumns(
+            {"change": change, "acceleration": change - (F.col("_prev") - F.col("_prev2"))}
+        )
+        .drop("_prev", "_prev2")
     )
 
 

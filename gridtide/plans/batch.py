@@ -30,13 +30,15 @@ def run_batch(
     Write them with ``write_batch``, or read one of them alone: unused branches cost nothing.
     """
     ingested = inputs.demand_ingested_at
-    demand = ingest.ingest_demand(inputs.demand, F.lit(None).cast("timestamp") if ingested is None else ingested)
+    if ingested is None:
+        ingested = F.lit(None).cast("timestamp")
+    demand = ingest.ingest_demand(inputs.demand, ingested)
     sites = enrich.enrich_regions(ingest.ingest_registry(inputs.registry))
     energy = enrich.join_weather(enrich.normalize_readings(demand), inputs.weather)
     timeline = enrich.capacity_timeline(sites)
     monthly = events.monthly_energy(energy)
     site_events = events.site_events(energy, sites, as_of)
-    summary = kpi.kpi_summary(energy, timeline, site_events, snapshot)
+    summary = kpi.kpi_summary(monthly, timeline, site_events, snapshot)
     planned = forecast.planned_capacity(sites)
     regions = summary.select(
         "region_id", F.col("current_avg_demand_mw").alias("current_demand_mw")
@@ -79,7 +81,7 @@ def write_batch(spark, inputs: Inputs, as_of: Column, snapshot: Column, folder:
     timeline = landing.read_dataset(spark, f"{folder}/capacity_timeline")
     monthly = landing.read_dataset(spark, f"{folder}/energy_monthly")
     stored_events = landing.read_dataset(spark, f"{folder}/events")
-    summary = kpi.kpi_summary(energy, timeline, stored_events, snapshot)
+    summary = kpi.kpi_summary(monthly, timeline, stored_events, snapshot)
     landing.write_dataset(summary, f"{folder}/kpi_summary")
     landing.write_dataset(
         correlate.regional_correlations(monthly, timeline, as_of), f"{folder}/regional_correlations"

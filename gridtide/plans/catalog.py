@@ -235,7 +235,7 @@ def incremental_append(spark, sf):
     source = T.events(spark, sf)
     batch = _hourly_demand(source.where(F.col("ts") >= datetime(2024, 1, 10)))
     existing = _hourly_demand(source.where(F.col("ts") < datetime(2024, 1, 15)))
-    return landing.new_rows(batch, existing, ["period", "respondent", "type"]).select(
+    return landing.new_rows(batch, existing, ["period", "respondent", "type"], "period").select(
         "period", "respondent", "type", "value", "ingestion_timestamp"
     )
 
@@ -465,14 +465,14 @@ def regional_correlations(spark, sf):
     ).withColumn("data_points", F.col("data_points").cast("bigint"))
 
 
-def _complete_readings(spark, sf) -> DataFrame:
-    """Readings of whole months, so that the newest month has more than a day."""
-    return T.readings(spark, sf).where(F.col("timestamp") < T.LAST_DAY)
+def _complete_months(spark, sf) -> DataFrame:
+    """Monthly demand without the last month, of which there is one day only."""
+    return _monthly(spark, sf).where(F.col("month") < T.LAST_DAY)
 
 
 def _kpi(spark, sf) -> DataFrame:
     return kpi.kpi_summary(
-        _complete_readings(spark, sf), _timeline(spark, sf), _events(spark, sf), T.now()
+        _complete_months(spark, sf), _timeline(spark, sf), _events(spark, sf), T.now()
     )
 
 
@@ -516,7 +516,7 @@ def control_region(spark, sf):
 def link_orphans(spark, sf):
     sites = T.sites(spark, sf)
     found = _events(spark, sf)
-    regions = _kpi(spark, sf).select("region_id")
+    regions = kpi.current_demand(_complete_months(spark, sf))
     links = [
         quality.orphans(sites, regions, "data-center-in-region"),
         quality.orphans(found, sites.where("capacity_mw > 50"), "correlation-for-dc"),
@@ -708,7 +708,7 @@ def live_pricing(spark, sf):
 
 @query
 def stream_dedup(spark, sf):
-    keys = live.deduplicate(_stream_live(spark, sf)).select("reading_id", "region_id", "timestamp")
+    keys = live.deduplicate(_stream_live(spark, sf), salts=4).select("reading_id", "region_id", "timestamp")
     return run.drain(keys, "stream-dedup")
 
 
@@ -748,7 +748,7 @@ def alert_cooldown_batch(spark, sf):
 
 # ---- forecast and objects -------------------------------------------------------
 def _forecast_regions(spark, sf) -> DataFrame:
-    current = kpi.current_demand(_complete_readings(spark, sf)).withColumnRenamed(
+    current = kpi.current_demand(_complete_months(spark, sf)).withColumnRenamed(
         "current_avg_demand_mw", "current_demand_mw"
     )
     planned = forecast.planned_capacity(T.sites(spark, sf))

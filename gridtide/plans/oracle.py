@@ -727,13 +727,19 @@ QUERIES: dict[str, str] = {
     "fips_to_state": f"""
         SELECT c_custkey, fips, {_case(L.FIPS_STATE, 'fips')} AS state
         FROM (SELECT c_custkey, lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0') AS fips FROM customer)""",
-    # each area is a rectangle with a gable, open towards its upper and right edges
+    # a point is inside when a ray to the east crosses an odd number of edges
     "point_in_region": """
         SELECT station_id AS point_id, lower(n_name) AS region_id
-        FROM stations JOIN (SELECT n_name, -124.0 + (n_nationkey % 5) * 11.0 AS x,
-                                   25.0 + (n_nationkey // 5) * 4.8 AS y FROM nation)
-          ON lon >= x AND lon < x + 10 AND lat >= y
-         AND lat < y + 4 + 0.7 * (1 - abs(lon - x - 5) / 5)""",
+        FROM stations, (SELECT n_name, -124.0::DOUBLE + (n_nationkey % 5) * 11.0::DOUBLE AS x,
+                               25.0::DOUBLE + (n_nationkey // 5) * 4.8::DOUBLE AS y FROM nation),
+             (VALUES (0, 0, 10, 0), (10, 0, 10, 4), (10, 4, 5, 4.7), (5, 4.7, 0, 4), (0, 4, 0, 0))
+                 AS e(x1, y1, x2, y2)
+        GROUP BY 1, 2
+        HAVING count(*) FILTER (
+            (y + y1::DOUBLE > lat) <> (y + y2::DOUBLE > lat)
+            AND lon < (x + x1::DOUBLE) + (lat - (y + y1::DOUBLE))
+                * (((x + x2::DOUBLE) - (x + x1::DOUBLE))
+                   / nullif((y + y2::DOUBLE) - (y + y1::DOUBLE), 0))) % 2 = 1""",
     "unit_conversions": """
         SELECT event_id, value * 0.001::DOUBLE AS gwh, value * 0.000001::DOUBLE AS twh,
                value * 0.001::DOUBLE AS twh_from_gwh, value * 0.001::DOUBLE AS mwh_from_kwh,
@@ -823,13 +829,13 @@ QUERIES: dict[str, str] = {
     "control_region": "SELECT * FROM controls",
     "link_orphans": " UNION ALL ".join([
         _ORPHAN.format(link="data-center-in-region", key="dc_id", prop="region_id",
-                       source="sites", target="kpi"),
+                       source="sites", target="current_demand"),
         _ORPHAN.format(link="correlation-for-dc", key="event_id", prop="dc_id",
                        source="site_events", target="(SELECT * FROM sites WHERE capacity_mw > 50)"),
         _ORPHAN.format(link="correlation-in-region", key="event_id", prop="region_id",
-                       source="site_events", target="kpi"),
+                       source="site_events", target="current_demand"),
         _ORPHAN.format(link="reading-for-region", key="reading_id", prop="region_id",
-                       source="detailed", target="kpi"),
+                       source="detailed", target="current_demand"),
     ]),
     "link_navigate": """
         SELECT 'correlation-for-dc' AS link_type, event_id AS source_key, dc_id AS target_key,

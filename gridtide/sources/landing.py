@@ -67,15 +67,25 @@ def write_dataset(
     dated.repartition("month_part", spread).write.mode(mode).partitionBy("month_part").parquet(path)
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of an overlapping batch whose key is not stored yet."""
+def new_rows(
+    batch: DataFrame, existing: DataFrame, keys: list[str], since: str | None = None
+) -> DataFrame:
+    """Rows of an overlapping batch whose key is not stored yet.
+
+    ``since`` names a key column that grows with time.  Stored rows older than the oldest
+    row of the batch cannot match; a scalar subquery keeps them out of the scan, so the
+    cost follows the overlap and not the history.
+    """
+    if since is not None:
+        oldest = batch.agg(F.min(since)).scalar()
+        existing = existing.where(F.col(since) >= oldest)
     return batch.join(existing.select(*keys), keys, "left_anti")
 
 
-def append_new(batch: DataFrame, path: str, keys: list[str]) -> None:
+def append_new(batch: DataFrame, path: str, keys: list[str], since: str | None = None) -> None:
     """Append the new rows of an overlapping batch to a stored dataset."""
-    spark = batch.sparkSession
-    new_rows(batch, read_dataset(spark, path), keys).write.mode("append").parquet(path)
+    existing = read_dataset(batch.sparkSession, path)
+    new_rows(batch, existing, keys, since).write.mode("append").parquet(path)
 
 
 def stream_files(

@@ -89,11 +89,25 @@ def live_pricing(records: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def deduplicate(
-    live: DataFrame, keys: tuple[str, ...] = ("region_id", "timestamp"),
+    live: DataFrame,
+    keys: tuple[str, ...] = ("region_id", "timestamp"),
     delay: str = L.DEMAND_WATERMARK,
+    salts: int = 1,
 ) -> DataFrame:
-    """First arrival per key; keys are remembered until the watermark has passed them."""
-    return live.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(list(keys))
+    """One arrival per key; keys are remembered until the watermark has passed them.
+
+    With ``salts`` above 1, copies of a key are first reduced in that many groups, which
+    spreads a reading that was sent very many times over as many tasks.
+    """
+    marked = live.withWatermark("timestamp", delay)
+    if salts > 1:
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+        marked = (
+            marked.withColumn("_salt", salt)
+            .dropDuplicatesWithinWatermark([*keys, "_salt"])
+            .drop("_salt")
+        )
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def windowed_average(

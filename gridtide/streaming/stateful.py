@@ -70,12 +70,26 @@ class _Change(StatefulProcessor):
         pass
 
 
+def _lowest_per_time(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pdf.groupby(["region_id", "at"], as_index=False)["demand_mw"].min()
+
+
+def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pdf.drop_duplicates()
+
+
 def demand_change(live: DataFrame) -> DataFrame:
-    """Stream of changes per region; needs the RocksDB state store."""
-    slim = live.where(F.col("timestamp").isNotNull()).select(
+    """Stream of changes per region; needs the RocksDB state store.
+
+    Rows are reduced per time before the shuffle, so the task of a busy region gets one row
+    per time and Arrow batch.
+    """
+    slim = live.where(F.col("timestamp").isNotNull() & F.col("region_id").isNotNull()).select(
         "region_id", F.unix_micros("timestamp").alias("at"), "demand_mw"
     )
-    return slim.groupBy("region_id").transformWithStateInPandas(
+    return slim.mapInPandas(_lowest_per_time, slim.schema).groupBy("region_id").transformWithStateInPandas(
         statefulProcessor=_Change(),
         outputStructType=CHANGE_SCHEMA,
         outputMode="Append",
@@ -110,7 +124,8 @@ def _alerts(region: str, fired: list[int]) -> pd.DataFrame:
 
 def _by_minute(anomalies: DataFrame) -> DataFrame:
     minute = F.floor(F.unix_timestamp("timestamp") / 60)
-    return anomalies.where(F.col("timestamp").isNotNull()).select(
+    known = F.col("timestamp").isNotNull() & F.col("region_id").isNotNull()
+    return anomalies.where(known).select(
         "region_id", minute.alias("minute")
     )
 
@@ -119,6 +134,7 @@ def alert_cooldown(anomalies: DataFrame, minutes: int = L.ALERT_COOLDOWN_MINUTES
     """Stream of alerts: an anomaly raises one unless its region had one in the cooldown.
 
     Alerts have minute resolution.  State is the minute of the region's last alert.
+    Repeated minutes are dropped before the shuffle and again as they arrive.
     """
 
     def step(key, chunks, state):  # noqa: ANN001
@@ -128,7 +144,9 @@ def alert_cooldown(anomalies: DataFrame, minutes: int = L.ALERT_COOLDOWN_MINUTES
             state.update((fired[-1],))
         yield _alerts(key[0], fired)
 
-    return _by_minute(anomalies).groupBy("region_id").applyInPandasWithState(
+    slim = _by_minute(anomalies)
+    reduced = slim.mapInPandas(_distinct, slim.schema)
+    return reduced.groupBy("region_id").applyInPandasWithState(
         step, ALERT_SCHEMA, "last bigint", "append", "NoTimeout"
     )
 
