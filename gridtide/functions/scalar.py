@@ -233,4 +233,5 @@ def two_sided_p(t: Column, freedom: Column) -> Column:
         lambda acc: acc["total"],
     )
     inside = F.when(odd, (angle + sine * series) * (2 / 3.141592653589793)).otherwise(sine * series)
-    return F.when(v >= 1, F.greatest(F.lit(0.0), 1 - inside))
+    # greatest() would turn an unknown t into a certain zero
+    return F.when((v >= 1) & t.isNotNull(), F.greatest(F.lit(0.0), 1 - inside))

@@ -423,7 +423,7 @@ def _forecast(regions: str, years: int, impact: str | None = None) -> str:
         factor = "coalesce(avg_delta_mw, 1.3::DOUBLE)"
         extra = (
             f", round({factor}, 4) AS impact_factor, round(({added}) * {factor} / "
-            f"nullif(current_demand_mw, 0), 4) AS impact_weighted"
+            f"nullif(current_demand_mw, 0), 4) + 0.0 AS impact_weighted"
         )
         join = f"LEFT JOIN {impact} USING (region_id)"
     return f"""
@@ -868,7 +868,7 @@ QUERIES: dict[str, str] = {
               WHERE s.pre_avg IS NOT NULL AND s.post_avg IS NOT NULL)""",
     "weather_residual": """
         SELECT region_id, "timestamp", demand_mw, round(e, 4) AS expected_mw,
-               round(demand_mw - e, 4) AS residual_mw
+               round(demand_mw - e, 4) + 0.0 AS residual_mw
         FROM (SELECT j.*, my + b1 * (c - mc) + b2 * (h - mh) AS e FROM j JOIN (
                 SELECT *, CASE WHEN det > vc * vh * 1e-9 THEN (vcy * vh - vhy * vch) / det
                                WHEN vc > 0 THEN vcy / vc ELSE 0 END AS b1,
