@@ -61,22 +61,21 @@ def _averages_per_second(
     # shift 0 is the second itself, the others are its subtrahends
     moved = (
         seconds.withColumn("_shift", F.explode(F.array(*[F.lit(n) for n in (0, *shifts)])))
-        .where((F.col("_shift") == 0) | F.col("_t").isNotNull())
         .withColumn("_s", F.col("_t") + F.col("_shift"))
         .withColumn("_b", slot)
     )
-    totals = (
-        seconds.where(F.col("_t").isNotNull())
-        .groupBy(key, F.floor(F.col("_t") / size).alias("_b"))
-        .agg(F.sum("_v").alias("_sum"), F.sum("_n").alias("_cnt"))
+    # no filter on the time here: the per-second sums stay one shared exchange
+    totals = seconds.groupBy(key, F.floor(F.col("_t") / size).alias("_b")).agg(
+        F.sum("_v").alias("_sum"), F.sum("_n").alias("_cnt")
     )
+    timed = F.col("_b").isNotNull()
     by_bucket = Window.partitionBy(key).orderBy("_b")
     whole = []
     for i, n in enumerate(shifts):
         frame = by_bucket.rangeBetween(-(n // size), -1)
         whole += [
-            F.sum("_sum").over(frame).alias(f"_sum{i}"),
-            F.sum("_cnt").over(frame).alias(f"_cnt{i}"),
+            F.when(timed, F.sum("_sum").over(frame)).alias(f"_sum{i}"),
+            F.when(timed, F.sum("_cnt").over(frame)).alias(f"_cnt{i}"),
         ]
     carried = totals.select(key, "_b", *whole).withColumns(
         {"_s": F.col("_b") * size, "_shift": F.lit(-1)}

@@ -10,6 +10,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
 from ..functions import lookups as L
 from ..functions import scalar as S
@@ -51,11 +52,29 @@ def now() -> Column:
     return F.lit(NOW)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def given_schema(spark: SparkSession, sf: str, name: str) -> StructType:
+    """Schema of a given table with its zone-less timestamps taken as UTC.
+
+    Read from the file once per path and process.  Declaring the type at the scan, rather
+    than casting behind it, lets filters on time reach the Parquet reader.
+    """
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        utc = {TimestampNTZType(): TimestampType()}
+        _SCHEMAS[path] = StructType(
+            [
+                StructField(f.name, utc.get(f.dataType, f.dataType), f.nullable)
+                for f in spark.read.parquet(path).schema
+            ]
+        )
+    return _SCHEMAS[path]
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table; its zone-less timestamps become UTC timestamps."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    zoneless = {c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"}
-    return df.withColumns(zoneless) if zoneless else df
+    return spark.read.schema(given_schema(spark, sf, name)).parquet(f"{sf}/{name}.parquet")
 
 
 def pick(values: tuple[str, ...], number: Column) -> Column:
@@ -368,12 +387,11 @@ def hourly(spark, sf) -> DataFrame:
 
 def stream_events(spark, sf) -> DataFrame:
     """The events table as a file stream."""
-    raw = (
-        spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema)
+    return (
+        spark.readStream.schema(given_schema(spark, sf, "events"))
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf)
     )
-    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 # ---- landed pages ---------------------------------------------------------------

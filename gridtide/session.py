@@ -24,7 +24,8 @@ def build_session(app: str = "gridtide", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.parquet.aggregatePushdown": "true",
+        # recording the Python call site of every column doubles the time to build a plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         **conf,
     }

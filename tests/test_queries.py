@@ -73,7 +73,7 @@ def test_columns_and_filters_reach_the_scan(spark):
     plan = QUERIES["scan_demand"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan
     plan = QUERIES["incremental_append"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(ts)" in plan
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
 
 
 def test_flagship(spark):
