@@ -56,15 +56,15 @@ def write_dataset(
 ) -> None:
     """Write Parquet; large time-keyed tables are laid out in month folders.
 
-    Rows are spread by month and a hash of all columns rather than by month alone, so a
-    month that holds most of the rows is still written by many tasks.
+    Rebalancing groups the rows of a month and lets Spark split a month that holds most of
+    them, and merge small ones, so files come out near the advisory partition size.
     """
     if month_of is None:
         df.write.mode(mode).parquet(path)
         return
     dated = df.withColumn("month_part", F.date_format(month_of, "yyyy-MM"))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    dated.repartition("month_part", spread).write.mode(mode).partitionBy("month_part").parquet(path)
+    balanced = dated.hint("rebalance", F.col("month_part"))
+    balanced.write.mode(mode).partitionBy("month_part").parquet(path)
 
 
 def new_rows(

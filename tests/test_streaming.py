@@ -154,3 +154,18 @@ def test_size_guard_marks_rows(spark):
     df = spark.createDataFrame([("a", "b", "1"), ("a" * 100, "b", "1")], schemas.LIVE_DEMAND_FEED)
     assert [r["accepted"] for r in live.split_oversized(df, 100).orderBy("row_bytes").collect()] == [True, False]
     assert live.target_regions(df, ("b",)).count() == 2
+
+
+def test_running_stream_writes_and_restarts(spark, tmp_path):
+    src, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def once():
+        query = run.start(live.live_demand(stream(spark, src), now()), out, checkpoint, "1 second")
+        query.processAllAvailable()
+        query.stop()
+        return spark.read.parquet(out).count()
+
+    put(src, "0.json", [record(0, "A", 1), record(1, "A", 2)])
+    assert once() == 2
+    put(src, "1.json", [record(2, "A", 3)])
+    assert once() == 3
