@@ -20,8 +20,9 @@ def exact_sum(value: Column, scale: int = 6) -> Column:
 
 
 def exact_avg(value: Column, scale: int = 6) -> Column:
-    """Average of the non-NULL values, NULL when there are none."""
-    return exact_sum(value, scale) / F.nullif(F.count(value), F.lit(0)).cast("double")
+    """Average of the values present, NULL when there are none; NaN counts as missing."""
+    number = as_decimal(value, scale)
+    return F.sum(number).cast("double") / F.nullif(F.count(number), F.lit(0)).cast("double")
 
 
 def running_sum(value: Column, over: WindowSpec, scale: int = 6) -> Column:

@@ -107,7 +107,7 @@ def latest_demand(spark, sf):
 @query
 def page_demand(spark, sf):
     records = _grid(T.demand_pages(spark, sf), feeds.DEMAND).select("period", "respondent", "value")
-    return _doubles(feeds.demand_page(records, 100, 50, "respondent", "value"), "value")
+    return _doubles(feeds.demand_page(records, "respondent", "value", offset=100, length=50), "value")
 
 
 @query

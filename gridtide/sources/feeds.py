@@ -126,8 +126,8 @@ def linked_pages(
 
 # ---- feed filters ---------------------------------------------------------------
 def only(df: DataFrame, column: str, values: Iterable[str] | None) -> DataFrame:
-    """Rows whose column is one of ``values``; all rows for None."""
-    return df if values is None else df.where(F.col(column).isin(*values))
+    """Rows whose column is one of ``values``; all rows when none are named."""
+    return df.where(F.col(column).isin(*values)) if values else df
 
 
 def between(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
@@ -137,12 +137,19 @@ def between(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     return df if end is None else df.where(F.col(column) <= end)
 
 
-def newest(df: DataFrame, order: str, *ties: str, limit: int | None = None, offset: int = 0):
-    """Newest first; ``limit``/``offset`` cut a page of the requested length."""
-    out = df.orderBy(F.col(order).desc(), *ties)
+def page(
+    df: DataFrame,
+    sort: str,
+    *ties: str,
+    descending: bool = True,
+    offset: int = 0,
+    length: int | None = None,
+) -> DataFrame:
+    """Rows in the order of a request; ``offset`` and ``length`` cut one page of them."""
+    out = df.orderBy(F.col(sort).desc() if descending else F.col(sort), *ties)
     if offset:
         out = out.offset(offset)
-    return out if limit is None else out.limit(limit)
+    return out if length is None else out.limit(length)
 
 
 def demand(df: DataFrame, authorities=None, start=None, end=None, subregions=None) -> DataFrame:
@@ -169,14 +176,13 @@ def facility_fuel(df: DataFrame, states=None, start=None, end=None) -> DataFrame
 def latest_demand(df: DataFrame, as_of: Column, authorities=None, hours_back: int = 24):
     """Demand of the last hours, newest first."""
     oldest = S.format_hour(as_of - F.make_dt_interval(F.lit(0), F.lit(hours_back)))
-    return newest(
-        demand(df, authorities, oldest, S.format_hour(as_of)), "period", "respondent"
-    )
+    recent = demand(df, authorities, oldest, S.format_hour(as_of))
+    return page(recent, "period", "respondent")
 
 
-def demand_page(df: DataFrame, offset: int = 0, length: int = L.PAGE_ROWS, *ties: str):
+def demand_page(df: DataFrame, *ties: str, offset: int = 0, length: int = L.PAGE_ROWS):
     """One page as the service would cut it: newest first, at most 5000 rows."""
-    return newest(df, "period", *ties, limit=min(length, L.PAGE_ROWS), offset=offset)
+    return page(df, "period", *ties, offset=offset, length=min(length, L.PAGE_ROWS))
 
 
 def market_range(
@@ -185,7 +191,7 @@ def market_range(
     """Market feed in a time range, optionally of some pricing nodes, newest first."""
     df = only(between(df, feed.order, start, end), "pnode_id", nodes)
     ties = [c for c in df.columns if c != feed.order]
-    return newest(df, feed.order, *ties, limit=rows)
+    return page(df, feed.order, *ties, length=rows)
 
 
 def load_forecast(df: DataFrame, as_of: Column, days_ahead: int = 7) -> DataFrame:

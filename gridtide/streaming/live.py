@@ -44,7 +44,8 @@ def demand_anomalies(live: DataFrame, monthly: DataFrame) -> DataFrame:
     """Readings more than the threshold away from the baseline of their month.
 
     The baseline has twelve rows per region; whether it is broadcast is left to Spark's
-    size check.  Averaging over years first keeps it at one row per reading.
+    size check.  Averaging over years first keeps it at one row per reading.  Every
+    micro-batch reads ``monthly`` again, so it should be the stored monthly table.
     """
     baseline = month_of_year_baseline(monthly).withColumnRenamed("region_id", "_region")
     matched = live.join(

@@ -166,6 +166,35 @@ def test_correlations(spark):
     assert ranks["flat"]["p_value"] is None
 
 
+def test_correlations_match_a_grouped_pandas_function(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(6)
+    months = [datetime(2020 + i // 12, i % 12 + 1, 1) for i in range(24)]
+    monthly = spark.createDataFrame(
+        [(f"r{g}", m, float(rng.normal())) for g in range(5) for m in months[: 4 + 4 * g]],
+        "region_id string, month timestamp, avg_demand_mw double")
+    timeline = spark.createDataFrame(
+        [(f"r{g}", m, float(i * g), float(i % 3)) for g in range(5) for i, m in enumerate(months)],
+        "region_id string, date timestamp, cumulative_capacity_mw double, cumulative_ai_capacity_mw double")
+
+    def per_region(pdf):
+        if len(pdf) < 6:
+            return pd.DataFrame()
+        d = pdf["avg_demand_mw"]
+        total, ai = d.corr(pdf["cumulative_capacity_mw"]), d.corr(pdf["cumulative_ai_capacity_mw"])
+        return pd.DataFrame({"region_id": [pdf["region_id"].iloc[0]], "total": [total], "ai": [ai]})
+
+    pairs = correlate.demand_and_capacity(monthly, timeline)
+    want = {r["region_id"]: r for r in pairs.groupBy("region_id").applyInPandas(
+        per_region, "region_id string, total double, ai double").collect()}
+    got = {r["region_id"]: r for r in correlate.regional_correlations(monthly, timeline, as_of()).collect()}
+    assert set(got) == set(want) == {"r1", "r2", "r3", "r4"}
+    for region, row in want.items():
+        assert got[region]["pearson_total_dc"] == pytest.approx(row["total"])
+        assert got[region]["pearson_ai_dc"] == pytest.approx(row["ai"])
+
+
 def test_average_ranks_match_pandas(spark):
     import pandas as pd
     values = [3.0, 1.0, 3.0, 2.0, 3.0, 1.0]

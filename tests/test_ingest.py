@@ -186,3 +186,18 @@ def test_fuel_mix_and_size_guard(spark):
     text = spark.createDataFrame([("x" * 10,), ("é" * 10,)], "t string")
     fits, over = quality.split_by_size(text, 20)
     assert (fits.count(), over.count()) == (1, 1)
+
+
+def test_feed_pages_and_filters(spark):
+    rows = [(f"2024-01-0{d}T00", r, str(d)) for d in range(1, 8) for r in ("A", "B")]
+    df = spark.createDataFrame(rows, "period string, respondent string, value string")
+    cut = feeds.demand_page(df, "respondent", offset=3, length=2).collect()
+    assert [(r["period"], r["respondent"]) for r in cut] == [("2024-01-06T00", "B"), ("2024-01-05T00", "A")]
+    assert feeds.page(df, "period", "respondent", descending=False, length=1).first()["value"] == "1"
+    assert feeds.demand(df, []).count() == 14
+    assert feeds.demand(df, ["A"], "2024-01-03T00").count() == 5
+    late = feeds.latest_demand(df, F.lit(datetime(2024, 1, 7)), ["B"], 48).collect()
+    assert [r["value"] for r in late] == ["7", "6", "5"]
+    lmp = df.select(F.col("period").alias("datetime_beginning_ept"), F.col("respondent").alias("pnode_id"))
+    assert feeds.market_range(lmp, feeds.LMP, "2024-01-06", nodes=["A"]).count() == 2
+    assert feeds.market_range(lmp, feeds.LMP, nodes=[], rows=3).count() == 3
