@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import geo
 
 # Cell sizes in degrees, each an eighth of the one before; the first covers the globe
-# with 23 x 12 cells, the last is about 400 m wide.
-LEVELS = (16.0, 2.0, 0.25, 0.03125, 0.00390625)
+# with 23 x 12 cells, the last is about 7 m wide.
+LEVELS = (16.0, 2.0, 0.25, 0.03125, 0.00390625, 0.00048828125, 0.00006103515625)
 _SLACK_KM = 1e-4
 
 

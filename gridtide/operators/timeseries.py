@@ -61,6 +61,7 @@ def _averages_per_second(
     # shift 0 is the second itself, the others are its subtrahends
     moved = (
         seconds.withColumn("_shift", F.explode(F.array(*[F.lit(n) for n in (0, *shifts)])))
+        .where((F.col("_shift") == 0) | F.col("_t").isNotNull())
         .withColumn("_s", F.col("_t") + F.col("_shift"))
         .withColumn("_b", slot)
     )
@@ -69,14 +70,19 @@ def _averages_per_second(
         F.sum("_v").alias("_sum"), F.sum("_n").alias("_cnt")
     )
     timed = F.col("_b").isNotNull()
+    # differences of running sums: a frame that only grows is summed in one pass, while a
+    # sliding one would add up all its buckets again for every row
     by_bucket = Window.partitionBy(key).orderBy("_b")
+
+    def running(column: str, last: int) -> Column:
+        frame = by_bucket.rangeBetween(Window.unboundedPreceding, last)
+        return F.coalesce(F.sum(column).over(frame), F.lit(0))
+
     whole = []
     for i, n in enumerate(shifts):
-        frame = by_bucket.rangeBetween(-(n // size), -1)
-        whole += [
-            F.when(timed, F.sum("_sum").over(frame)).alias(f"_sum{i}"),
-            F.when(timed, F.sum("_cnt").over(frame)).alias(f"_cnt{i}"),
-        ]
+        for column, name in (("_sum", f"_sum{i}"), ("_cnt", f"_cnt{i}")):
+            spanned = running(column, -1) - running(column, -(n // size) - 1)
+            whole.append(F.when(timed, spanned).alias(name))
     carried = totals.select(key, "_b", *whole).withColumns(
         {"_s": F.col("_b") * size, "_shift": F.lit(-1)}
     )
