@@ -13,13 +13,14 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry_module  # noqa: E402
+from gridtide.plans import catalog, oracle  # noqa: E402
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.statements()
 STREAMS = {
     "live_demand", "demand_anomalies", "live_pricing", "stream_dedup", "stream_hourly",
     "stream_sliding", "stream_change", "alert_cooldown",
