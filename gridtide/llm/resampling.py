@@ -55,14 +55,15 @@ class Ratio:
         return len(found), min(len(found), EFFECTIVE) * float(self.table[found].mean())
 
 
-def count_grams(docs: DataFrame, group: Column, text: str = "text") -> np.ndarray:
-    """Counts of all buckets, one row for each value 0 or 1 of ``group``.
+def count_grams(docs: DataFrame, group: Column, groups: int, text: str = "text") -> np.ndarray:
+    """Counts of all buckets, one row for each value of ``group`` from 0.
 
-    Each task sums its own texts; what reaches the driver is at most two rows a bucket.
+    Each task sums its own texts; what reaches the driver is at most one row for each group
+    and bucket.
     """
 
     def run(batches):
-        table = np.zeros((2, BUCKETS), np.int64)
+        table = np.zeros((groups, BUCKETS), np.int64)
         for batch in batches:
             for data, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 table[kind] += np.bincount(grams(data), minlength=BUCKETS)
@@ -74,28 +75,37 @@ def count_grams(docs: DataFrame, group: Column, text: str = "text") -> np.ndarra
 
     found = docs.select(as_bytes(text), group.cast("int")).mapInArrow(run, "kind int, bucket int, n long")
     sums = found.groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros((2, BUCKETS), np.int64)
+    table = np.zeros((groups, BUCKETS), np.int64)
     table[sums["kind"], sums["bucket"]] = sums["n"]
     return table
 
 
+def ratio_of(target: np.ndarray, raw: np.ndarray) -> Ratio:
+    """The same share of uniform mass keeps n-grams that neither model has seen neutral."""
+    parts = [0.98 * x / max(1, x.sum()) + 0.02 / BUCKETS for x in (target, raw)]
+    return Ratio(np.log(parts[0] / parts[1]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Ratio | None:
     """Models and cut; None without well-labelled documents.
 
     The raw model counts the whole corpus; the target model counts at most ``rows`` labelled
-    documents, those with quality 1.
+    documents, those with quality 1.  The cut is found on weights of labelled documents under
+    a target model of the other half of them, so a small sample is not taken for easier than
+    the corpus.
     """
-    sample = labelled_sample(docs, labels, "quality", rows)
-    labelled = count_grams(sample, F.col("_label") == 1)
-    if not labelled[1].any():
+    half = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(2))
+    sample = labelled_sample(docs, labels, "quality", rows).withColumn("_half", half)
+    groups = F.when(F.col("_label") == 1, F.col("_half") + 1).otherwise(0)
+    counts = count_grams(sample, groups, 3)
+    target = counts[1] + counts[2]
+    if not target.any():
         return None
-    raw = count_grams(docs, F.lit(0))[0]
-    # the same share of uniform mass keeps unseen n-grams neutral in both models
-    target, whole = labelled[1] / labelled[1].sum(), raw / raw.sum()
-    flat = 1 / BUCKETS
-    ratio = Ratio(np.log((0.98 * target + 0.02 * flat) / (0.98 * whole + 0.02 * flat)))
-    weighed = sample.select("_label", weighed_text(ratio, "text").alias("w")).select("_label", "w.*")
-    found = weighed.where("n_grams > 0").toPandas()
+    raw = count_grams(docs, F.lit(0), 1)[0]
+    ratio = ratio_of(target, raw)
+    weights = [weighed_text(ratio_of(counts[2 - i], raw), "text") for i in range(2)]
+    both = sample.select("_label", F.when(F.col("_half") == 0, weights[0]).otherwise(weights[1]).alias("w"))
+    found = both.select("_label", "w.*").where("n_grams > 0").toPandas()
     good = found["_label"] == 1
     ratio.threshold = best_cut(
         sorted(found.loc[good, "log_weight"]), sorted(found.loc[~good, "log_weight"]), GOOD_COUNTS
