@@ -13,7 +13,7 @@ import hashlib
 import heapq
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,10 @@ from .support import as_bytes, per_text, with_columns
 #: The pre-tokenizer of byte-level vocabularies (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACES = b"\t\n\x0b\x0c\r "
-#: Distinct fragments a worker remembers, and bytes of text it encodes at once.
-REMEMBERED, CHUNK = 400_000, 1 << 21
-#: Parts up to this many bytes are merged as rows of an array.
-WIDE = 64
+#: Distinct fragments a worker remembers, about.
+REMEMBERED = 100_000
+#: Parts up to this many bytes are merged as rows of an array, so many cells at once.
+WIDE, CELLS = 64, 1 << 17
 NEVER = np.int32(2**31 - 1)
 
 #: Marks that stand alone behind letters.
@@ -82,9 +82,9 @@ class Vocabulary:
             if token.encode() not in added
         }
         self.added = added
-        self.tokens = [b""] * (max([*ids.values(), *added.values()]) + 1)
+        tokens = [b""] * (max([*ids.values(), *added.values()]) + 1)
         for token, i in [*ids.items(), *added.items()]:
-            self.tokens[i] = token
+            tokens[i] = token
         self.inside = np.zeros((256, 256), bool)
         for token in ids:
             x = np.frombuffer(token, np.uint8)
@@ -98,13 +98,12 @@ class Vocabulary:
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()] + [NEVER], np.int32)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()] + [0], np.int32)
-        self.pairs = pairs
         a, b = np.divmod(np.arange(1 << 16), 256)
         self.byte_pairs = self.look(self.single[a], self.single[b]).reshape(256, 256)
         #: Pairs of another byte and a white-space byte that a token does contain.
         self.unsafe = [bytes([a, b]) for b in SPACES for a in np.flatnonzero(self.inside[:, b]) if a not in SPACES]
-        self.text = Joined(self.tokens)
-        self.decimal = Joined([b"%d," % i for i in range(len(self.tokens))])
+        self.text = Joined(tokens)
+        self.decimal = Joined([b"%d," % i for i in range(len(tokens))])
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -175,8 +174,10 @@ class Vocabulary:
 
         def push(i):
             j = after[i]
-            if j >= 0 and (found := self.pairs.get(ids[i] << 32 | ids[j])):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
+            key = ids[i] << 32 | ids[j]
+            at = int(np.searchsorted(self.keys, key)) if j >= 0 else len(self.keys)
+            if at < len(self.keys) and self.keys[at] == key:
+                heapq.heappush(heap, (int(self.ranks[at]), i, ids[i], ids[j], int(self.merged[at])))
 
         for i in range(n - 1):
             push(i)
@@ -211,8 +212,8 @@ class Vocabulary:
         flat = np.full(len(data), -1, np.int32)
         for width in (1, 2, 4, 8, 16, 32, WIDE):
             chosen = np.flatnonzero((lengths <= width) & (lengths > width // 2))
-            for k in range(0, len(chosen), 1 << 14):
-                own = chosen[k : k + (1 << 14)]
+            for k in range(0, len(chosen), CELLS // width):
+                own = chosen[k : k + CELLS // width]
                 place = edges[own][:, None] + np.arange(width)
                 used = np.arange(width) < lengths[own][:, None]
                 rows = data[np.minimum(place, len(data) - 1)]
@@ -301,18 +302,6 @@ def vocabulary(source: str) -> Vocabulary:
     return _vocabularies[name]
 
 
-def chunks(batch: list):
-    """Consecutive slices of about CHUNK bytes, one text at least."""
-    first, size = 0, 0
-    for i, data in enumerate(batch):
-        size += len(data or b"")
-        if size >= CHUNK:
-            yield batch[first : i + 1]
-            first, size = i + 1, 0
-    if first < len(batch):
-        yield batch[first:]
-
-
 FIELDS = "ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -339,14 +328,13 @@ def encode(
 
         def apply(batch):
             found = {n: [] for n in ("ids", *names)}
-            for part in chunks(batch):
-                for own in words.encode(part):
-                    text_ids = words.decimal.of(own)[:-1]
-                    if ids:
-                        found["ids"].append(own)
-                    found["n_tokens"].append(len(own))
-                    found["ids_sha256"].append(hashlib.sha256(text_ids).hexdigest())
-                    found["decoded_sha256"].append(hashlib.sha256(words.decode(own)).hexdigest())
+            for own in words.encode(batch):
+                text_ids = words.decimal.of(own)[:-1]
+                if ids:
+                    found["ids"].append(own)
+                found["n_tokens"].append(len(own))
+                found["ids_sha256"].append(hashlib.sha256(text_ids).hexdigest())
+                found["decoded_sha256"].append(hashlib.sha256(words.decode(own)).hexdigest())
             kinds = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
             arrays = [pa.array(found[n], kinds.get(n, pa.string())) for n in names]
             return pa.StructArray.from_arrays(arrays, names)
@@ -362,15 +350,11 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     with open(path, encoding="utf-8") as file:
         source = docs.sparkSession.sparkContext.broadcast(file.read())
 
-    def make():
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = vocabulary(source.value)
+        for batch in batches:
+            rows = (None if x is None else words.decode(np.array(x, np.int64)).decode() for x in batch.to_pylist())
+            yield pa.array(rows, pa.string())
 
-        def apply(batch):
-            return pa.array(
-                [None if x is None else words.decode(np.array(x, np.int64)).decode() for x in batch],
-                pa.string(),
-            )
-
-        return apply
-
-    return with_columns(docs, {text: per_text(make, "string")(F.col(ids))})
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return with_columns(docs, {text: F.arrow_udf(run, "string")(F.col(ids))})

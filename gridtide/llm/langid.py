@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import as_bytes, per_text, with_columns
+from .support import as_bytes, per_text, unpacked, with_columns
 
 SIZE, GRAM = 1024, 3
 SEED = 29
@@ -24,6 +24,8 @@ MAX_LANGUAGES = 4096
 SCALE = 1 << 20
 #: Texts whose n-grams are multiplied at once, and letters at which a block is closed.
 BLOCK_TEXTS, BLOCK_LETTERS = 256, 1 << 20
+#: Distinct n-grams whose vectors are held at once.
+BLOCK_GRAMS = 4096
 HELD_OUT, FOLDS = 2, 4
 
 _folded: np.ndarray | None = None
@@ -95,9 +97,9 @@ def bundles(batch: list):
         if packed:
             grams, at = np.unique(np.concatenate(packed), return_inverse=True)
             owner = np.concatenate(owner)
-            for part in range(0, len(grams), 8192):
-                chosen = (at >= part) & (at < part + 8192)
-                width = min(8192, len(grams) - part)
+            for part in range(0, len(grams), BLOCK_GRAMS):
+                width = min(BLOCK_GRAMS, len(grams) - part)
+                chosen = (at >= part) & (at < part + width)
                 cells = owner[chosen] * width + at[chosen] - part
                 table = np.bincount(cells, minlength=len(out) * width).reshape(len(out), width)
                 out += table.astype(np.float32) @ gram_vectors(grams[part : part + width])
@@ -136,9 +138,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            names = batch.column(1).to_pylist()
-            for first, vectors in bundles(batch.column(0).to_pylist()):
+        for texts, names in unpacked(batches):
+            for first, vectors in bundles(texts):
                 length = np.linalg.norm(vectors, axis=1)
                 whole = np.rint(vectors / np.maximum(length, 1e-9)[:, None] * SCALE).astype(np.int64)
                 for i in np.flatnonzero(length):

@@ -223,10 +223,21 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Of a component whose ids are all null one row stays.
     """
     found = near_duplicates(docs, key, text)
-    keepers = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
-    kept = docs.join(keepers, key, "left_semi")
-    nameless = found.where(F.col("component_id").isNull()).select("fp").distinct()
+    names = [f"`{c}`" for c in docs.columns]
+    chosen = found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(key))
+    chosen = cut(chosen.agg(F.count("*").alias("_rows")))
+
+    def matching(ids: DataFrame) -> DataFrame:
+        # ids are hashed, so that the texts they are looked up for need no sort
+        return docs.join(ids.select(key).hint("shuffle_hash"), key, "left_semi").select(*names)
+
+    kept = matching(chosen)
+    repeated = chosen.where("_rows > 1")
+    if not repeated.isEmpty():
+        once = matching(repeated).dropDuplicates([key]).select(*names)
+        kept = matching(chosen.where("_rows = 1")).unionByName(once)
+    nameless = cut(found.where(F.col("component_id").isNull()).select("fp").distinct())
+    if nameless.isEmpty():
+        return kept
     lost = fingerprints(docs.where(F.col(key).isNull()), text).join(nameless, "fp", "left_semi")
-    lost = lost.dropDuplicates(["fp"]).select(*[docs[f"`{c}`"] for c in docs.columns])
-    one = kept.dropDuplicates([key]).select(*[f"`{c}`" for c in docs.columns])
-    return one.unionByName(lost)
+    return kept.unionByName(lost.dropDuplicates(["fp"]).select(*names))

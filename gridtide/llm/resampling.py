@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .mixing import unit
 from .support import (
-    LABELLED_ROWS, as_bytes, best_cut, cut, labelled_sample, per_text, with_columns,
+    LABELLED_ROWS, as_bytes, best_cut, cut, labelled_sample, per_text, unpacked, with_columns,
 )
 
 GRAM, BUCKETS = 4, 1 << 16
@@ -64,8 +64,8 @@ def count_grams(docs: DataFrame, group: Column, groups: int, text: str = "text")
 
     def run(batches):
         table = np.zeros((groups, BUCKETS), np.int64)
-        for batch in batches:
-            for data, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for part in unpacked(batches):
+            for data, kind in zip(*part):
                 table[kind] += np.bincount(grams(data), minlength=BUCKETS)
         kind, bucket = np.nonzero(table)
         yield pa.RecordBatch.from_arrays(

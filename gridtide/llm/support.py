@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,19 @@ from ..session import scratch_dir
 LABELLED_ROWS = 20_000
 #: Largest table that is sent to every executor on purpose.
 BROADCAST_ROWS = 50_000
+#: Rows and bytes of text that are Python objects at once in a task, at most, but for one text.
+SLICE_ROWS, SLICE_BYTES = 512, 1 << 18
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: hand few to Python at once, unless the session has its own number."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(SLICE_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,13 +52,33 @@ def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*kept, *[value.alias(name) for name, value in columns.items()])
 
 
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive parts of a binary array that are small enough to unpack."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy()
+    first = 0
+    while first < len(texts):
+        before = int(ends[first - 1]) if first else 0
+        last = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
+        last = max(first + 1, min(last, first + SLICE_ROWS, len(texts)))
+        yield first, last
+        first = last
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+    """Columns of small parts of record batches as lists; the first column holds the texts."""
+    for batch in batches:
+        for first, last in slices(batch.column(0)):
+            yield [c.slice(first, last - first).to_pylist() for c in batch.columns]
+
+
 def per_text(make: Callable[[], Callable[[list], pa.Array]], schema: str):
     """Arrow function over a binary column; ``make`` runs once a task and gives the batch function."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         apply = make()
         for batch in batches:
-            yield apply(batch.to_pylist())
+            parts = [apply(batch.slice(a, b - a).to_pylist()) for a, b in slices(batch)]
+            yield pa.concat_arrays(parts) if parts else apply([])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, schema)
