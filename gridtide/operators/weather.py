@@ -78,7 +78,8 @@ def weather_residual(energy: DataFrame, weather: DataFrame) -> DataFrame:
 
     The two-regressor fit follows from variances and covariances, so one aggregation
     suffices.  When the regressors carry no or the same information, the fit falls back to
-    cooling degree days alone, then heating alone, then the mean.
+    cooling degree days alone, then heating alone, then the mean.  Readings without weather,
+    or of a region without a fit, stay with NULL expected and residual demand.
     """
     joined = energy.join(
         weather.select(
@@ -88,6 +89,7 @@ def weather_residual(energy: DataFrame, weather: DataFrame) -> DataFrame:
             F.col("heating_degree_days").alias("hdd"),
         ),
         (energy["region_id"] == weather["region_id"]) & (F.to_date("timestamp") == F.col("_day")),
+        "left",
     ).select(energy["region_id"], "timestamp", "demand_mw", "cdd", "hdd")
     y, c, h = F.col("demand_mw"), F.col("cdd"), F.col("hdd")
     complete = y.isNotNull() & c.isNotNull() & h.isNotNull()
@@ -115,7 +117,7 @@ def weather_residual(energy: DataFrame, weather: DataFrame) -> DataFrame:
         "my", "mc", "mh",
     )
     expected = F.col("my") + F.col("b1") * (c - F.col("mc")) + F.col("b2") * (h - F.col("mh"))
-    return joined.join(fit, "region_id").select(
+    return joined.join(fit, "region_id", "left").select(
         "region_id",
         "timestamp",
         "demand_mw",

@@ -166,7 +166,7 @@ def instantaneous_load(spark, sf):
 @query
 def linked_pages(spark, sf):
     pages = feeds.parse_pages(T.load_pages(spark, sf), feeds.METERED_LOAD)
-    kept = feeds.linked_pages(pages, "request", "page_no", 10)
+    kept = feeds.linked_pages(pages, "request", "page_no")
     return _doubles(kept.select("request", "page_no", F.inline("items")), "mw")
 
 
@@ -465,14 +465,9 @@ def regional_correlations(spark, sf):
     ).withColumn("data_points", F.col("data_points").cast("bigint"))
 
 
-def _complete_months(spark, sf) -> DataFrame:
-    """Monthly demand without the last month, of which there is one day only."""
-    return _monthly(spark, sf).where(F.col("month") < T.LAST_DAY)
-
-
 def _kpi(spark, sf) -> DataFrame:
     return kpi.kpi_summary(
-        _complete_months(spark, sf), _timeline(spark, sf), _events(spark, sf), T.now()
+        _monthly(spark, sf), _timeline(spark, sf), _events(spark, sf), T.now()
     )
 
 
@@ -516,7 +511,7 @@ def control_region(spark, sf):
 def link_orphans(spark, sf):
     sites = T.sites(spark, sf)
     found = _events(spark, sf)
-    regions = kpi.current_demand(_complete_months(spark, sf))
+    regions = kpi.current_demand(_monthly(spark, sf))
     links = [
         quality.orphans(sites, regions, "data-center-in-region"),
         quality.orphans(found, sites.where("capacity_mw > 50"), "correlation-for-dc"),
@@ -748,7 +743,7 @@ def alert_cooldown_batch(spark, sf):
 
 # ---- forecast and objects -------------------------------------------------------
 def _forecast_regions(spark, sf) -> DataFrame:
-    current = kpi.current_demand(_complete_months(spark, sf)).withColumnRenamed(
+    current = kpi.current_demand(_monthly(spark, sf)).withColumnRenamed(
         "current_avg_demand_mw", "current_demand_mw"
     )
     planned = forecast.planned_capacity(T.sites(spark, sf))

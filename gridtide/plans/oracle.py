@@ -152,8 +152,6 @@ CTES: dict[str, str] = {
     "readings": """
         SELECT lower(n_name) AS region_id, o_orderdate AS "timestamp",
                o_totalprice / 1000 AS demand_mw FROM by_nation""",
-    "complete_readings": f"""
-        SELECT * FROM readings WHERE "timestamp" < TIMESTAMP '{T.LAST_DAY}'""",
     "detailed": """
         SELECT 'r' || o_orderkey AS reading_id, lower(n_name) AS region_id,
                o_orderdate AS "timestamp", o_totalprice / 1000 AS demand_mw,
@@ -477,7 +475,7 @@ CTES |= {
     "wide_bounds": _bounds("sites", 18),
     "wide_stats": _stats("wide_bounds", "monthly", "m.avg_demand_mw"),
     "timeline": _timeline("sites"),
-    "current_demand": _current("complete_readings"),
+    "current_demand": _current("readings"),
     "kpi": _kpi("current_demand", "site_events", "timeline"),
     "regions": _regions("current_demand", "sites"),
     "impact": _impact("site_events"),
@@ -605,11 +603,11 @@ QUERIES: dict[str, str] = {
                congestion_lmp AS congestion_price_rt, energy_lmp AS system_energy_price_rt
         FROM prices WHERE CAST(pnode_id AS BIGINT) BETWEEN 1 AND 39
           AND "timestamp" BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-28'
-        ORDER BY 1 DESC, pnode_id, pnode_name, CAST(total_lmp AS VARCHAR) NULLS FIRST LIMIT 5000""",
+        ORDER BY 1 DESC, pnode_id, pnode_name, CAST(total_lmp AS VARCHAR) NULLS FIRST""",
     "scan_metered_load": f"""
         SELECT {_MARKET_AT}, upper(event_type) AS zone, value AS mw FROM events
         WHERE date_trunc('second', ts) BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-20'
-        ORDER BY 1 DESC, zone, CAST(value AS VARCHAR) LIMIT 5000""",
+        ORDER BY 1 DESC, zone, CAST(value AS VARCHAR)""",
     "scan_load_forecast": f"""
         SELECT {_second('ts')} AS forecast_datetime_beginning_ept,
                upper(event_type) AS forecast_area, value AS forecast_load_mw FROM events
@@ -617,14 +615,14 @@ QUERIES: dict[str, str] = {
     "scan_generation_mix": f"""
         SELECT {_MARKET_AT}, {_pick(T.FUELS, 'user_id')} AS fuel_type, value AS mw FROM events
         WHERE date_trunc('second', ts) BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12'
-        ORDER BY 1 DESC, fuel_type, CAST(value AS VARCHAR) LIMIT 5000""",
+        ORDER BY 1 DESC, fuel_type, CAST(value AS VARCHAR)""",
     "instantaneous_load": f"""
         SELECT {_MARKET_AT}, upper(event_type) AS area, value AS instantaneous_load FROM events
         ORDER BY 1 DESC, area, CAST(value AS VARCHAR) LIMIT 100""",
     "linked_pages": f"""
         SELECT event_id // 5000 AS request, CAST(event_id // 250 % 20 AS INTEGER) AS page_no,
                {_MARKET_AT}, upper(event_type) AS zone, value AS mw FROM events
-        WHERE event_id // 250 % 20 < 10 AND NOT (event_id // 5000 = 3 AND event_id // 250 % 20 > 1)""",
+        WHERE NOT (event_id // 5000 = 3 AND event_id // 250 % 20 > 1)""",
     "weather_pivot": """
         SELECT station, CAST(date AS VARCHAR) AS date, TAVG, TMAX, TMIN, CDSD, HDSD
         FROM supplier_stations""",
@@ -869,7 +867,7 @@ QUERIES: dict[str, str] = {
     "weather_residual": """
         SELECT region_id, "timestamp", demand_mw, round(e, 4) AS expected_mw,
                round(demand_mw - e, 4) + 0.0 AS residual_mw
-        FROM (SELECT j.*, my + b1 * (c - mc) + b2 * (h - mh) AS e FROM j JOIN (
+        FROM (SELECT j.*, my + b1 * (c - mc) + b2 * (h - mh) AS e FROM j LEFT JOIN (
                 SELECT *, CASE WHEN det > vc * vh * 1e-9 THEN (vcy * vh - vhy * vch) / det
                                WHEN vc > 0 THEN vcy / vc ELSE 0 END AS b1,
                        CASE WHEN det > vc * vh * 1e-9 THEN (vhy * vc - vcy * vch) / det
@@ -878,7 +876,8 @@ QUERIES: dict[str, str] = {
                         SELECT region_id, avg(demand_mw) AS my, avg(c) AS mc, avg(h) AS mh,
                                var_pop(c) AS vc, var_pop(h) AS vh, covar_pop(c, h) AS vch,
                                covar_pop(c, demand_mw) AS vcy, covar_pop(h, demand_mw) AS vhy
-                        FROM j GROUP BY 1))) USING (region_id))""",
+                        FROM j WHERE demand_mw IS NOT NULL AND c IS NOT NULL AND h IS NOT NULL
+                        GROUP BY 1))) USING (region_id))""",
     "degree_days": f"""
         SELECT station, CAST(date AS VARCHAR) AS date,
                round({_unseason('CDSD')}, 6) AS cooling_degree_days,
@@ -990,7 +989,7 @@ QUERIES: dict[str, str] = {
 CTES["j"] = """
         SELECT r.region_id, "timestamp", demand_mw, cooling_degree_days AS c,
                heating_degree_days AS h
-        FROM readings r JOIN weather w
+        FROM readings r LEFT JOIN weather w
           ON r.region_id = w.region_id AND CAST("timestamp" AS DATE) = w.date"""
 
 # alerts: each one is followed by the first anomaly at least an hour later

@@ -19,7 +19,6 @@ from ..operators import weather as W
 
 AS_OF = date(2001, 9, 1)
 NOW = datetime(2024, 2, 1)
-LAST_DAY = datetime(2001, 8, 1)
 
 AUTHORITIES = (
     "PJM", "ERCO", "CISO", "SOCO", "BPAT", "MISO", "NEVP", "SRP", "PSCO", "TVA", "PACE", "SCEG",

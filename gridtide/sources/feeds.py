@@ -106,22 +106,20 @@ def page_completeness(envelopes: DataFrame, request: str) -> DataFrame:
 
 
 def linked_pages(
-    envelopes: DataFrame, request: str, page_no: str, max_pages: int = 10
+    envelopes: DataFrame, request: str, page_no: str, max_pages: int | None = None
 ) -> DataFrame:
-    """Pages a client following ``next`` links would read, at most ``max_pages`` per request.
+    """Pages a client following ``next`` links would read; ``max_pages`` per request if given.
 
     A chain ends at the first page that has no items or names no next page.
     """
     has_next = F.exists(F.coalesce("links", F.array()), lambda link: link["rel"] == "next")
     ends = (F.coalesce(F.size("items"), F.lit(0)) <= 0) | ~F.coalesce(has_next, F.lit(False))
-    # a request keeps at most max_pages rows here, so its window is small
-    last = F.min(F.when(ends, F.col(page_no))).over(Window.partitionBy(request))
-    return (
-        envelopes.where(F.col(page_no) < max_pages)
-        .withColumn("_last", F.coalesce(last, F.lit(max_pages)))
-        .where(F.col(page_no) <= F.col("_last"))
-        .drop("_last")
-    )
+    if max_pages is not None:
+        envelopes = envelopes.where(F.col(page_no) < max_pages)
+    # one row a request; pages are not gathered
+    last = envelopes.groupBy(request).agg(F.min(F.when(ends, F.col(page_no))).alias("_last"))
+    kept = envelopes.join(last, request).where(F.col("_last").isNull() | (F.col(page_no) <= F.col("_last")))
+    return kept.select(*envelopes.columns)
 
 
 # ---- feed filters ---------------------------------------------------------------
@@ -181,14 +179,17 @@ def latest_demand(df: DataFrame, as_of: Column, authorities=None, hours_back: in
 
 
 def demand_page(df: DataFrame, *ties: str, offset: int = 0, length: int = L.PAGE_ROWS):
-    """One page as the service would cut it: newest first, at most 5000 rows."""
-    return page(df, "period", *ties, offset=offset, length=min(length, L.PAGE_ROWS))
+    """One page, newest first, of the length asked for; by default that of the service."""
+    return page(df, "period", *ties, offset=offset, length=length)
 
 
 def market_range(
-    df: DataFrame, feed: Feed, start=None, end=None, nodes=None, rows: int | None = L.PAGE_ROWS
+    df: DataFrame, feed: Feed, start=None, end=None, nodes=None, rows: int | None = None
 ) -> DataFrame:
-    """Market feed in a time range, optionally of some pricing nodes, newest first."""
+    """Market feed in a time range, optionally of some pricing nodes, newest first.
+
+    ``rows`` cuts the range only where it is given.
+    """
     df = only(between(df, feed.order, start, end), "pnode_id", nodes)
     ties = [c for c in df.columns if c != feed.order]
     return page(df, feed.order, *ties, length=rows)

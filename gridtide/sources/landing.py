@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -51,6 +51,10 @@ def read_dataset(spark: SparkSession, path: str, schema: StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def _dated(df: DataFrame, month_of: str) -> DataFrame:
+    return df.withColumn("month_part", F.date_format(month_of, "yyyy-MM"))
+
+
 def write_dataset(
     df: DataFrame, path: str, month_of: str | None = None, mode: str = "overwrite"
 ) -> None:
@@ -62,8 +66,7 @@ def write_dataset(
     if month_of is None:
         df.write.mode(mode).parquet(path)
         return
-    dated = df.withColumn("month_part", F.date_format(month_of, "yyyy-MM"))
-    balanced = dated.hint("rebalance", F.col("month_part"))
+    balanced = _dated(df, month_of).hint("rebalance", F.col("month_part"))
     balanced.write.mode(mode).partitionBy("month_part").parquet(path)
 
 
@@ -82,10 +85,34 @@ def new_rows(
     return batch.join(existing.select(*keys), keys, "left_anti")
 
 
-def append_new(batch: DataFrame, path: str, keys: list[str], since: str | None = None) -> None:
-    """Append the new rows of an overlapping batch to a stored dataset."""
+def append_new(
+    batch: DataFrame,
+    path: str,
+    keys: list[str],
+    since: str | None = None,
+    month_of: str | None = None,
+    newest: str | None = None,
+) -> None:
+    """Append the new rows of an overlapping batch to a stored dataset.
+
+    A key that occurs twice in the batch is stored once: its row with the largest ``newest``,
+    then the largest other columns.  A dataset in month folders must be appended with the same
+    ``month_of``; then only the batch's months are read, and rows never land beside the folders.
+    """
     existing = read_dataset(batch.sparkSession, path)
-    new_rows(batch, existing, keys, since).write.mode("append").parquet(path)
+    laid_out = "month_part" in existing.columns
+    if laid_out != (month_of is not None):
+        raise ValueError(f"{path} is {'' if laid_out else 'not '}laid out in month folders")
+    rest = [c for c in batch.columns if c not in (*keys, newest)]
+    order = [F.col(c).desc_nulls_last() for c in ([newest] if newest else []) + rest]
+    first = Window.partitionBy(*keys).orderBy(*order or [F.col(keys[0])])
+    once = batch.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
+    if month_of is not None:
+        if month_of in keys:
+            oldest = _dated(batch, month_of).agg(F.min("month_part")).scalar()
+            existing = existing.where(F.col("month_part") >= oldest)
+    fresh = new_rows(once, existing, keys, since)
+    write_dataset(fresh, path, month_of, mode="append")
 
 
 def stream_files(

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridtide.operators import enrich, ingest, quality
@@ -127,7 +128,9 @@ def test_market_pages_end_with_their_chain(spark):
     df = spark.createDataFrame(pages, "request int, page_no int, body string")
     kept = feeds.linked_pages(feeds.parse_pages(df, feeds.METERED_LOAD), "request", "page_no")
     items = feeds.records(kept, feeds.METERED_LOAD)
-    assert items.count() == 3 + 1 + 10
+    assert items.count() == 3 + 1 + 14
+    kept = feeds.linked_pages(feeds.parse_pages(df, feeds.METERED_LOAD), "request", "page_no", 10)
+    assert feeds.records(kept, feeds.METERED_LOAD).count() == 3 + 1 + 10
 
 
 def test_retail_and_baseline(spark, tmp_path):
@@ -159,6 +162,21 @@ def test_overlapping_batches_append_once(spark, tmp_path):
                    ("2024-01-03T00", "A", 3.0)]
 
 
+def test_increments_into_month_folders(spark, tmp_path):
+    def frame(*rows):
+        return spark.createDataFrame(rows, "id int, at string, value int").withColumn("at", F.col("at").cast("timestamp"))
+
+    path = str(tmp_path / "months")
+    landing.write_dataset(frame((1, "2024-01-05", 1), (2, "2024-02-05", 2)), path, "at")
+    batch = frame((2, "2024-02-05", 9), (3, "2024-02-06", 3), (3, "2024-02-06", 4), (4, "2024-03-01", 5))
+    for _ in range(2):
+        landing.append_new(batch, path, ["id", "at"], since="at", month_of="at", newest="value")
+    got = sorted((r["id"], r["value"], r["month_part"]) for r in landing.read_dataset(spark, path).collect())
+    assert got == [(1, 1, "2024-01"), (2, 2, "2024-02"), (3, 4, "2024-02"), (4, 5, "2024-03")]
+    with pytest.raises(ValueError):
+        landing.append_new(batch, path, ["id", "at"])
+
+
 def test_month_folders_keep_all_rows(spark, tmp_path):
     df = spark.range(1000).select(
         "id", F.timestamp_add("DAY", (F.col("id") % 70).cast("int"), now()).alias("timestamp"))
