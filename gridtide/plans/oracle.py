@@ -995,7 +995,7 @@ CTES["j"] = """
 # alerts: each one is followed by the first anomaly at least an hour later
 _COOLDOWN = """
     WITH RECURSIVE slots AS MATERIALIZED (
-        SELECT DISTINCT event_type AS region_id, date_trunc('minute', ts) AS m FROM events),
+        SELECT DISTINCT event_type AS region_id, ts AS m FROM events),
     fired AS (
         SELECT region_id, min(m) AS alert_time FROM slots GROUP BY 1
         UNION ALL

@@ -100,51 +100,49 @@ def demand_change(live: DataFrame) -> DataFrame:
 ALERT_SCHEMA = table_schema("region_id string, alert_time timestamp")
 
 
-def _fire(minutes: np.ndarray, last: int | None, cooldown: int) -> list[int]:
-    """Minutes at which an alert goes out: none within the cooldown after another."""
+def _fire(instants: np.ndarray, last: int | None, cooldown: int) -> list[int]:
+    """Ordered instants at which an alert goes out: none within the cooldown after another."""
     fired = []
-    at = 0 if last is None else int(np.searchsorted(minutes, last + cooldown))
-    while at < len(minutes):
-        fired.append(int(minutes[at]))
-        at = int(np.searchsorted(minutes, fired[-1] + cooldown))
+    at = 0 if last is None else int(np.searchsorted(instants, last + cooldown))
+    while at < len(instants):
+        fired.append(int(instants[at]))
+        at = int(np.searchsorted(instants, fired[-1] + cooldown))
     return fired
 
 
-def _minutes(chunks: Iterable[pd.DataFrame]) -> np.ndarray:
+def _instants(chunks: Iterable[pd.DataFrame]) -> np.ndarray:
     seen = np.empty(0, dtype="int64")
     for chunk in chunks:
-        seen = np.union1d(seen, chunk["minute"].to_numpy(dtype="int64"))
+        seen = np.union1d(seen, chunk["micros"].to_numpy(dtype="int64"))
     return seen
 
 
 def _alerts(region: str, fired: list[int]) -> pd.DataFrame:
-    times = pd.to_datetime(np.array(fired, dtype="int64") * 60, unit="s")
+    times = pd.to_datetime(np.array(fired, dtype="int64"), unit="us")
     return pd.DataFrame({"region_id": [region] * len(fired), "alert_time": times})
 
 
-def _by_minute(anomalies: DataFrame) -> DataFrame:
-    minute = F.floor(F.unix_timestamp("timestamp") / 60)
+def _known(anomalies: DataFrame) -> DataFrame:
     known = F.col("timestamp").isNotNull() & F.col("region_id").isNotNull()
-    return anomalies.where(known).select(
-        "region_id", minute.alias("minute")
-    )
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    return anomalies.where(known).select("region_id", micros.alias("micros"))
 
 
 def alert_cooldown(anomalies: DataFrame, minutes: int = L.ALERT_COOLDOWN_MINUTES) -> DataFrame:
     """Stream of alerts: an anomaly raises one unless its region had one in the cooldown.
 
-    Alerts have minute resolution.  State is the minute of the region's last alert.
-    Repeated minutes are dropped before the shuffle and again as they arrive.
+    State is the instant of the region's last alert, in microseconds.  Repeated instants are
+    dropped before the shuffle and again as they arrive.
     """
 
     def step(key, chunks, state):  # noqa: ANN001
         last = state.get[0] if state.exists else None
-        fired = _fire(_minutes(chunks), last, minutes)
+        fired = _fire(_instants(chunks), last, minutes * 60_000_000)
         if fired:
             state.update((fired[-1],))
             yield _alerts(key[0], fired)
 
-    slim = _by_minute(anomalies)
+    slim = _known(anomalies)
     reduced = slim.mapInPandas(_distinct, slim.schema)
     return reduced.groupBy("region_id").applyInPandasWithState(
         step, ALERT_SCHEMA, "last bigint", "append", "NoTimeout"
@@ -156,12 +154,21 @@ def alert_cooldown_history(
 ) -> DataFrame:
     """The same alerts for a stored history.
 
-    Anomalies are reduced to distinct minutes before the grouping, so a region's group has
-    at most 1,440 rows per day of history, however many anomalies it had.
+    Each alert depends on the one before it, so a region is read in order by one task; it
+    streams through, ordered by Spark's spilling sort, and only the last alert is held.
     """
 
-    def per_region(key, pdf):
-        return _alerts(key[0], _fire(np.sort(pdf["minute"].to_numpy(dtype="int64")), None, minutes))
-
-    distinct = _by_minute(anomalies).distinct()
-    return distinct.groupBy("region_id").applyInPandas(per_region, ALERT_SCHEMA)
+    def ordered(batches):
+        region, last = None, None
+        for pdf in batches:
+            # a batch holds the ends of some regions and the start of one
+            for name, part in pdf.groupby("region_id", sort=False):
+                if name != region:
+                    region, last = name, None
+                fired = _fire(part["micros"].to_numpy(dtype="int64"), last, minutes * 60_000_000)
+                if fired:
+                    last = fired[-1]
+                    yield _alerts(name, fired)
+
+    rows = _known(anomalies).repartition("region_id").sortWithinPartitions("region_id", "micros")
+    return rows.mapInPandas(ordered, ALERT_SCHEMA)

@@ -131,16 +131,16 @@ def test_cooldown_between_alerts(spark, tmp_path):
 
 def test_cooldown_matches_a_plain_loop(spark):
     import numpy as np
-    minutes = np.sort(np.random.default_rng(2).integers(0, 20000, 800))
-    df = spark.createDataFrame([("r", START + timedelta(minutes=int(m), seconds=7)) for m in minutes],
+    micros = np.sort(np.random.default_rng(2).integers(0, 20000 * 60_000_000, 800))
+    df = spark.createDataFrame([("r", START + timedelta(microseconds=int(m))) for m in micros],
                                "region_id string, timestamp timestamp")
     want, last = [], None
-    for m in minutes:
-        if last is None or m - last >= 60:
+    for m in micros:
+        if last is None or m - last >= 60 * 60_000_000:
             want.append(int(m))
             last = m
-    got = sorted(int((r["alert_time"] - START).total_seconds() // 60)
-                 for r in stateful.alert_cooldown_history(df).collect())
+    got = sorted((r["alert_time"] - START) // timedelta(microseconds=1)
+                 for r in stateful.alert_cooldown_history(df.union(df)).collect())
     assert got == want
 
 
