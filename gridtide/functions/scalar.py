@@ -24,8 +24,17 @@ def to_double(value: Column, default: float | None = None) -> Column:
 
 
 def to_bigint(value: Column, default: int | None = None) -> Column:
-    """Whole number in a text column; fractions and other text give ``default``."""
-    parsed = value.cast("string").try_cast("bigint")
+    """Whole number in a text column; fractions and other text give ``default``.
+
+    A JSON number such as ``96000.0`` or ``1.0E7`` reaches here as text and is whole.
+    """
+    text = value.cast("string")
+    number = F.when(
+        text.rlike(r"^\s*[+-]?[0-9]+[.][0-9]*([eE][+-]?[0-9]+)?\s*$"), text.try_cast("double")
+    )
+    # beyond 2^53 a double no longer tells whole numbers apart
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 2.0**53), number.try_cast("bigint"))
+    parsed = F.coalesce(text.try_cast("bigint"), whole)
     return parsed if default is None else F.coalesce(parsed, F.lit(int(default)))
 
 

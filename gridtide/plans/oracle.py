@@ -91,7 +91,13 @@ def _number(t: str) -> str:
 
 
 def _whole(t: str) -> str:
-    return f"CASE WHEN regexp_full_match(trim({t}), '[+-]?[0-9]+') THEN CAST(trim({t}) AS BIGINT) END"
+    number = f"TRY_CAST(trim({t}) AS DOUBLE)"
+    return (
+        f"CASE WHEN regexp_full_match(trim({t}), '[+-]?[0-9]+') THEN CAST(trim({t}) AS BIGINT) "
+        f"WHEN regexp_full_match(trim({t}), '[+-]?[0-9]+[.][0-9]*([eE][+-]?[0-9]+)?') "
+        f"AND {number} = floor({number}) AND abs({number}) < 9007199254740992 "
+        f"THEN CAST({number} AS BIGINT) END"
+    )
 
 
 def _status(s: str) -> str:

@@ -30,7 +30,7 @@ OWNERS = ("OpenAI", "Random Corp", "xAI", "Acme Hosting", "Google Cloud", "Metal
 STATUSES = (
     "Operational", " online ", "Under Construction", "Announced", "expansion", "weird", "active",
 )
-NUMBER_TEXTS = ("12.5", " 7 ", "abc", "", "1e3", "12d", "-4")
+NUMBER_TEXTS = ("12.5", " 7 ", "abc", "", "1e3", "12d", "-4", "96000.0", "1.0E7", "12.7")
 FUELS = ("COL", "NG", "NUC", "SUN", "WND")
 SECTOR_OF_SEGMENT = {
     "HOUSEHOLD": "RES", "BUILDING": "COM", "MACHINERY": "IND", "AUTOMOBILE": "TRA",

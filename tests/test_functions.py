@@ -15,7 +15,8 @@ def s(text):
 @pytest.mark.parametrize(
     "text, number, whole",
     [("12.5", 12.5, None), (" 7 ", 7.0, 7), ("abc", None, None), ("", None, None),
-     ("1e3", 1000.0, None), ("12d", None, None), ("-4", -4.0, -4), (None, None, None)],
+     ("1e3", 1000.0, None), ("12d", None, None), ("-4", -4.0, -4), (None, None, None),
+     ("96000.0", 96000.0, 96000), ("1.0E7", 1e7, 10000000), ("12.7", 12.7, None), ("9.9e30", 9.9e30, None)],
 )
 def test_parse_numbers(one, text, number, whole):
     assert one(S.to_double(s(text))) == number
