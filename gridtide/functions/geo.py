@@ -16,7 +16,8 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     up = F.sin(F.radians(lat2 - lat1) / 2)
     across = F.sin(F.radians(lon2 - lon1) / 2)
     chord = up * up + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * across * across
-    return F.lit(2 * EARTH_KM) * F.atan2(F.sqrt(chord), F.sqrt(1 - chord))
+    # rounding can lift the chord of points that face each other just over 1
+    return F.lit(2 * EARTH_KM) * F.atan2(F.sqrt(chord), F.sqrt(F.greatest(F.lit(0.0), 1 - chord)))
 
 
 def bounding_box(lat: Column, lon: Column, radius_km: Column) -> Column:

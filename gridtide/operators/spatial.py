@@ -68,6 +68,10 @@ def _prune(candidates: DataFrame) -> DataFrame:
     )
 
 
+#: False for NULL, NaN and anything outside the globe, so the root level stays bounded.
+ON_GLOBE = "coalesce(lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180, false)"
+
+
 def nearest_station(sites: DataFrame, stations: DataFrame) -> DataFrame:
     """Nearest station of every site, ties by smallest station id; exact at any distance.
 
@@ -77,12 +81,15 @@ def nearest_station(sites: DataFrame, stations: DataFrame) -> DataFrame:
     the distance and one of its stations an upper bound; cells that cannot win are dropped
     at every level.  A site carries a few cells, and each splits into at most 64, however
     many stations a cell holds.
+
+    Stations without coordinates on the globe take no part; sites without them, and all
+    sites if there is no station, stay with NULL station and distance.
     """
-    points = stations.where("lat IS NOT NULL AND lon IS NOT NULL").groupBy("lat", "lon").agg(
+    points = stations.where(ON_GLOBE).groupBy("lat", "lon").agg(
         F.min("station_id").alias("station_id")
     )
     places = (
-        sites.where("lat IS NOT NULL AND lon IS NOT NULL")
+        sites.where(ON_GLOBE)
         .select(F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
         .distinct()
     )
@@ -108,7 +115,7 @@ def nearest_station(sites: DataFrame, stations: DataFrame) -> DataFrame:
             F.col("_n.km").alias("distance_km"),
         )
     )
-    return sites.join(found, ["lat", "lon"]).select("site_id", "station_id", "distance_km")
+    return sites.join(found, ["lat", "lon"], "left").select("site_id", "station_id", "distance_km")
 
 
 def stations_near(

@@ -96,3 +96,11 @@ def test_links_and_flags(spark):
     flags = spark.createDataFrame([("r", 2, "look")], "region_id string, timestamp int, notes string")
     got = {r["timestamp"]: (r["flagged"], r["notes"]) for r in quality.flag_anomalies(found, flags).collect()}
     assert got == {1: (False, None), 2: (True, "look")}
+
+
+def test_sites_off_the_globe_stay(spark):
+    sites = spark.createDataFrame(
+        [(1, 10.0, 20.0), (2, None, 5.0), (3, 95.0, 0.0), (4, 0.0, float("nan"))], "site_id long, lat double, lon double")
+    stations = spark.createDataFrame([("a", 10.0, 21.0), ("b", 400.0, 0.0), ("c", None, None)], "station_id string, lat double, lon double")
+    got = {r["site_id"]: r["station_id"] for r in spatial.nearest_station(sites, stations).collect()}
+    assert got == {1: "a", 2: None, 3: None, 4: None}
