@@ -148,45 +148,66 @@ def with_previous(
     time: str,
     columns: dict[str, tuple[str, int]],
     ties: tuple[str, ...] = (),
-    bucket_seconds: int = HOUR,
+    buckets: tuple[int, int] = (HOUR, 1),
 ) -> DataFrame:
     """Add values of preceding rows of the same key.
 
     ``columns`` maps a new column to (source column, distance).  With d the largest
     distance, the last d rows of every bucket are enough to know the d rows before each
-    bucket; these are handed to it and sorted before its own rows.  A bucket has one row
-    per distinct time once the series has been deduplicated.
+    bucket; these are handed to it and sorted before its own rows.  ``buckets`` are the
+    seconds of a coarse and a fine bucket: tails of fine buckets are handed on within their
+    coarse one, and only those of coarse buckets along the whole key, so an hour that holds
+    most rows of a region is worked through by the second.
     """
     depth = max(distance for _, distance in columns.values())
     sources = list(dict.fromkeys(source for source, _ in columns.values()))
     order = [time, *ties]
-    bucketed = series.withColumn("_b", F.floor(F.unix_timestamp(time) / bucket_seconds))
-
-    newest = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc() for c in order])
-    slim = bucketed.select(key, "_b", *dict.fromkeys([*order, *sources]))
-    tails = slim.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= depth)
-    along = Window.partitionBy(key).orderBy("_b", F.col("_rn").desc())
-    packed = tails.withColumn("_row", F.struct(*sources))
-    handed = packed.select(
-        key,
-        "_b",
-        F.lag("_b").over(along).alias("_before"),
-        F.array(*[
-            F.struct(F.lit(-d).alias("_place"), F.lag("_row", d).over(along).alias("_row"))
-            for d in range(1, depth + 1)
-        ]).alias("_rows"),
+    seconds = F.unix_timestamp(time)
+    coarse, fine = (F.floor(seconds / size) for size in buckets)
+    bucketed = series.withColumns({"_h": coarse, "_b": fine})
+
+    slim = bucketed.select(key, "_h", "_b", *dict.fromkeys([*order, *sources]))
+    inner = _tails(slim, [key, "_h", "_b"], order, depth)
+    inner = inner.select(key, "_h", "_b", "_rn", *order, F.struct(*sources).alias("_row"))
+    outer = _tails(inner.drop("_rn"), [key, "_h"], order, depth).select(key, "_h", "_rn", "_row")
+    before_hour = _handed(outer, [key], "_h", depth)
+    # a row handed to an hour comes before the hour's own tails; it has no bucket of its own
+    guests = before_hour.select(key, "_h", (-F.col("_place")).alias("_rn"), "_row")
+    entered = inner.select(key, "_h", "_b", "_rn", "_row").unionByName(guests, allowMissingColumns=True)
+    carried = _handed(entered, [key, "_h"], "_b", depth).select(key, "_h", "_b", "_place", "_row.*")
+
+    rows = bucketed.withColumn("_place", F.lit(0)).unionByName(carried, allowMissingColumns=True)
+    ordered = Window.partitionBy(key, "_h", "_b").orderBy("_place", *order)
+    lags = {new: F.lag(source, d).over(ordered) for new, (source, d) in columns.items()}
+    return rows.withColumns(lags).where("_place = 0").drop("_h", "_b", "_place")
+
+
+def _tails(rows: DataFrame, group: list[str], order: list[str], depth: int) -> DataFrame:
+    """The last rows of each group, numbered ``_rn`` from the last one."""
+    newest = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order])
+    return rows.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= depth)
+
+
+def _handed(tails: DataFrame, scope: list[str], bucket: str, depth: int) -> DataFrame:
+    """``_row`` of the rows before each bucket within its scope, at ``_place`` -1, -2, ...
+
+    Rows without a bucket come first and get nothing.
+    """
+    along = Window.partitionBy(*scope).orderBy(F.col(bucket).asc_nulls_first(), F.col("_rn").desc())
+    places = [
+        F.struct(F.lit(-d).alias("_place"), F.lag("_row", d).over(along).alias("_row"))
+        for d in range(1, depth + 1)
+    ]
+    lagged = tails.select(
+        *scope, bucket, F.lag(F.struct(bucket)).over(along).alias("_before"), F.array(*places).alias("_rows")
     )
-    carried = (
-        # the first tail row of a bucket is the one whose predecessor is in another bucket
-        handed.where(~F.col("_before").eqNullSafe(F.col("_b")))
-        .select(key, "_b", F.inline("_rows"))
+    # the first tail row of a bucket is the one whose predecessor is in another bucket
+    first = F.col("_before").isNull() | ~F.col(f"_before.{bucket}").eqNullSafe(F.col(bucket))
+    return (
+        lagged.where(first & F.col(bucket).isNotNull())
+        .select(*scope, bucket, F.inline("_rows"))
         .where(F.col("_row").isNotNull())
-        .select(key, "_b", "_place", "_row.*")
     )
-    rows = bucketed.withColumn("_place", F.lit(0)).unionByName(carried, allowMissingColumns=True)
-    ordered = Window.partitionBy(key, "_b").orderBy("_place", *order)
-    lags = {new: F.lag(source, d).over(ordered) for new, (source, d) in columns.items()}
-    return rows.withColumns(lags).where("_place = 0").drop("_b", "_place")
 
 
 def change_rate(series: DataFrame, key: str, time: str, value: str, ties=()) -> DataFrame:

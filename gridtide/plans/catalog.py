@@ -15,7 +15,7 @@ from ..functions import scalar as S
 from ..operators import (
     control, correlate, enrich, events, forecast, ingest, kpi, quality, spatial, timeseries, weather,
 )
-from ..session import pin_utc
+from ..session import pin_utc, scratch_dir
 from ..sources import feeds, landing
 from ..streaming import live, run, stateful
 from . import tables as T
@@ -680,12 +680,15 @@ def live_demand(spark, sf):
 
 
 def _seasonal(spark, sf) -> DataFrame:
-    return events.monthly_energy(T.hourly(spark, sf))
+    return live.month_of_year_baseline(events.monthly_energy(T.hourly(spark, sf)))
 
 
 @query
 def demand_anomalies(spark, sf):
-    found = live.demand_anomalies(_stream_live(spark, sf), _seasonal(spark, sf))
+    # stored once: a micro-batch reads twelve rows per region and not the history
+    stored = scratch_dir(spark, "baseline")
+    landing.write_dataset(_seasonal(spark, sf), stored)
+    found = live.demand_anomalies(_stream_live(spark, sf), landing.read_dataset(spark, stored))
     return run.drain(found, "demand-anomalies")
 
 

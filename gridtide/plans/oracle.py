@@ -32,8 +32,10 @@ def _case(table: dict[str, str], key: str) -> str:
     return f"CASE {key} {whens} END"
 
 
-def _sum(value: str, scale: int = 6) -> str:
-    return f"CAST(sum(CAST({value} AS DECIMAL(28,{scale}))) AS DOUBLE)"
+def _sum(value: str, scale: int = 6, over: str = "") -> str:
+    part = f"TRY_CAST({value} AS DECIMAL(28,{scale}))"
+    rest = f"{value} - coalesce(CAST({part} AS DOUBLE), 0)"
+    return f"(coalesce(CAST(sum({part}) {over} AS DOUBLE), 0) + sum({rest}) {over})"
 
 
 def _avg(value: str, scale: int = 6) -> str:
@@ -784,8 +786,8 @@ QUERIES: dict[str, str] = {
         SELECT event_id, CAST(epoch({NOW}) - floor(epoch(ts)) AS BIGINT) AS latency_seconds
         FROM events""",
     "source_mix": f"""
-        SELECT region_id, year, fueltype, round(v / {_sum('v').replace('sum(CAST(v AS DECIMAL(28,6)))',
-            'sum(CAST(v AS DECIMAL(28,6))) OVER (PARTITION BY region_id, year)')}, 4) AS share
+        SELECT region_id, year, fueltype,
+               round(v / {_sum('v', over='OVER (PARTITION BY region_id, year)')}, 4) AS share
         FROM (SELECT region_id, CAST(year("timestamp") AS INTEGER) AS year, fueltype,
                      {_sum('value')} AS v FROM generation GROUP BY 1, 2, 3)""",
     "target_regions": f"""
@@ -970,6 +972,7 @@ QUERIES: dict[str, str] = {
               FROM events, range(7) GROUP BY 1, 2)
         WHERE window_start + INTERVAL 7 DAY
               <= (SELECT max(ts) - INTERVAL 15 MINUTE FROM events)""",
+    # a cut at the newest times leaves the values before it as they are
     "stream_change": """
         SELECT region_id, "timestamp", demand_mw, previous_mw, change_mw,
                change_mw - lag(change_mw) OVER (PARTITION BY region_id ORDER BY "timestamp")
@@ -977,7 +980,9 @@ QUERIES: dict[str, str] = {
         FROM (SELECT region_id, "timestamp", demand_mw, lag(demand_mw) OVER w AS previous_mw,
                      demand_mw - lag(demand_mw) OVER w AS change_mw
               FROM (SELECT region_id, "timestamp", min(demand_mw) AS demand_mw FROM live GROUP BY 1, 2)
-              WINDOW w AS (PARTITION BY region_id ORDER BY "timestamp"))""",
+              WINDOW w AS (PARTITION BY region_id ORDER BY "timestamp"))
+        -- what the watermark has passed
+        WHERE "timestamp" <= (SELECT max("timestamp") - INTERVAL 15 MINUTE FROM live)""",
     "forecast_predict": _forecast("regions", 5),
     "forecast_impact": _forecast("regions", 3, "impact"),
     "flagged_anomalies": """

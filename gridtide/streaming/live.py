@@ -40,14 +40,14 @@ def month_of_year_baseline(monthly: DataFrame) -> DataFrame:
     )
 
 
-def demand_anomalies(live: DataFrame, monthly: DataFrame) -> DataFrame:
+def demand_anomalies(live: DataFrame, baseline: DataFrame) -> DataFrame:
     """Readings more than the threshold away from the baseline of their month.
 
-    The baseline has twelve rows per region; whether it is broadcast is left to Spark's
-    size check.  Averaging over years first keeps it at one row per reading.  Every
-    micro-batch reads ``monthly`` again, so it should be the stored monthly table.
+    ``baseline`` is that of ``month_of_year_baseline``, twelve rows per region; whether it is
+    broadcast is left to Spark's size check.  Every micro-batch reads it again, so a stream
+    should be given a stored one, written again when a month is complete.
     """
-    baseline = month_of_year_baseline(monthly).withColumnRenamed("region_id", "_region")
+    baseline = baseline.withColumnRenamed("region_id", "_region")
     matched = live.join(
         baseline,
         (F.col("region_id") == F.col("_region"))

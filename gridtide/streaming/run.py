@@ -32,21 +32,16 @@ def drain(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     folder = folder or scratch_dir(spark, purpose)
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
-        query = (
-            df.writeStream.format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", f"{folder}/checkpoint")
-            .option("path", f"{folder}/rows")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+    if spark.conf.get(PROVIDER, None) != ROCKSDB:
+        # for good: changing it back would disturb another stream that is just starting
+        spark.conf.set(PROVIDER, ROCKSDB)
+    query = (
+        df.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .option("path", f"{folder}/rows")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/rows")

@@ -27,28 +27,51 @@ CHANGE_SCHEMA = table_schema(
 class _Change(StatefulProcessor):
     """Change of demand and change of that change, per region and reading time.
 
-    Remembers the last reading and its change.  Readings of one time count once, the
-    lowest value of a micro-batch; readings not newer than the last are late duplicates.
-    Chunks are reduced to one value per time as they arrive, so memory follows the number
-    of distinct hours in a micro-batch and not the number of rows.
+    Readings wait until the watermark has passed their time, and then go out in order; those
+    of one time count once, by their lowest value.  The result depends on the readings that
+    came within the watermark's delay, and not on where micro-batches were cut.  State is the
+    last reading with its change, and the waiting times, which the delay bounds.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
         self._last = handle.getValueState("last", "at bigint, mw double, change double")
+        self._waiting = handle.getValueState("waiting", "at array<bigint>, mw array<double>")
+
+    def _load(self) -> pd.Series:
+        if not self._waiting.exists():
+            return pd.Series(dtype="float64", index=pd.Index([], dtype="int64"))
+        at, mw = self._waiting.get()
+        return pd.Series(np.array(mw, dtype="float64"), index=np.array(at, dtype="int64"))
+
+    def _keep(self, waiting: pd.Series) -> None:
+        if not len(waiting):
+            self._waiting.clear()
+            return
+        self._waiting.update((waiting.index.tolist(), waiting.tolist()))
+        # the first waiting time, in whole milliseconds from above
+        self._handle.registerTimer(-(-int(waiting.index[0]) // 1000))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        lowest = pd.Series(dtype="float64")
+        waiting = self._load()
         for chunk in rows:
             part = chunk.groupby("at")["demand_mw"].min()
-            lowest = pd.concat([lowest, part]).groupby(level=0).min()
-        known = self._last.get() if self._last.exists() else None
-        at = lowest.index.to_numpy(dtype="int64")
-        values = lowest.to_numpy(dtype="float64")
-        if known is not None:
-            fresh = at > known[0]
-            at, values = at[fresh], values[fresh]
-        if not len(at):
+            waiting = pd.concat([waiting, part]).groupby(level=0).min()
+        if self._last.exists():
+            waiting = waiting[waiting.index > self._last.get()[0]]
+        self._keep(waiting)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        waiting = self._load()
+        passed = waiting.index <= timerValues.getCurrentWatermarkInMs() * 1000
+        ready = waiting[passed]
+        if not len(ready):
             return
+        self._keep(waiting[~passed])
+        at = ready.index.to_numpy(dtype="int64")
+        values = ready.to_numpy(dtype="float64")
+        known = self._last.get() if self._last.exists() else None
         before = np.concatenate([[np.nan if known is None else known[1]], values[:-1]])
         change = values - before
         first = np.nan if known is None or known[2] is None else known[2]
@@ -80,20 +103,23 @@ def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.drop_duplicates()
 
 
-def demand_change(live: DataFrame) -> DataFrame:
+def demand_change(live: DataFrame, delay: str = L.DEMAND_WATERMARK) -> DataFrame:
     """Stream of changes per region; needs the RocksDB state store.
 
+    A reading goes out once the watermark, ``delay`` behind the newest reading, has passed it.
     Rows are reduced per time before the shuffle, so the task of a busy region gets one row
     per time and Arrow batch.
     """
     slim = live.where(F.col("timestamp").isNotNull() & F.col("region_id").isNotNull()).select(
         "region_id", F.unix_micros("timestamp").alias("at"), "demand_mw"
     )
-    return slim.mapInPandas(_lowest_per_time, slim.schema).groupBy("region_id").transformWithStateInPandas(
+    reduced = slim.mapInPandas(_lowest_per_time, slim.schema)
+    timed = reduced.withColumn("timestamp", F.timestamp_micros("at")).withWatermark("timestamp", delay)
+    return timed.groupBy("region_id").transformWithStateInPandas(
         statefulProcessor=_Change(),
         outputStructType=CHANGE_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
 
 

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from gridtide.functions import geo
+from gridtide.functions import exact, geo
 from gridtide.functions import lookups as L
 from gridtide.functions import scalar as S
 
@@ -139,3 +139,30 @@ def test_guards(one):
 )
 def test_t_tail(one, t, v, p):
     assert one(S.two_sided_p(F.lit(t), F.lit(v))) == pytest.approx(p, abs=2e-5 if v != 60 else 1e-3)
+
+
+@pytest.mark.parametrize(
+    "values, mean",
+    [([1e23, 10.0], 5e22), ([4e-7, 4e-7], 4e-7), ([1.5, None, 2.5], 2.0), ([None], None),
+     ([0.1] * 10, 0.1), ([float("inf"), 1.0], float("inf"))],
+)
+def test_averages_leave_nothing_out(spark, values, mean):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.agg(exact.exact_avg(F.col("v")).alias("a")).first()["a"]
+    assert got == (mean if mean is None else pytest.approx(mean, rel=1e-15))
+
+
+def test_sums_do_not_depend_on_order(spark):
+    values = [1 / 3 * 10**k for k in range(-9, 12)] * 20
+    got = {spark.createDataFrame([(v,) for v in order], "v double").agg(exact.exact_sum(F.col("v"))).first()[0]
+           for order in (values, values[::-1], sorted(values))}
+    assert len(got) == 1
+
+
+def test_running_sums_refuse_what_they_cannot_hold(spark):
+    from pyspark.sql import Window
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, 2.0)], "i int, v double")
+    over = Window.orderBy("i")
+    assert [r[0] for r in df.select(exact.running_sum(F.col("v"), over)).collect()] == [1.0, 1.0, 3.0]
+    with pytest.raises(Exception, match="out of range"):
+        df.withColumn("v", F.lit(1e23)).select(exact.running_sum(F.col("v"), over)).collect()

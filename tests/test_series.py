@@ -82,6 +82,31 @@ def test_previous_values_match_pandas(spark, depth):
         np.testing.assert_array_equal(got[f"p{d}"].astype(float).to_numpy(), expected)
 
 
+@pytest.mark.parametrize("buckets", [(3600, 1), (3600, 60), (60, 60)])
+def test_previous_values_in_a_hot_hour(spark, buckets):
+    rng = np.random.default_rng(6)
+    # nine of ten rows in one hour of one key, some without a time
+    rows = [(i, "k", START + timedelta(seconds=float(rng.uniform(0, 3600))), float(i)) for i in range(900)]
+    rows += [(i, "k", START + timedelta(hours=int(rng.integers(-9, 9))), float(i)) for i in range(900, 995)]
+    rows += [(i, "k", None, float(i)) for i in range(995, 1000)]
+    df = spark.createDataFrame(rows, "id int, k string, t timestamp, v double")
+    got = TS.with_previous(df, "k", "t", {"p1": ("v", 1), "p3": ("v", 3)}, ("id",), buckets)
+    got = got.toPandas().sort_values("id")
+    want = pd.DataFrame(rows, columns=["id", "k", "t", "v"]).sort_values(["t", "id"], na_position="first")
+    for d in (1, 3):
+        np.testing.assert_array_equal(got[f"p{d}"], want["v"].shift(d).loc[got["id"]].to_numpy())
+
+
+def test_windows_over_raw_rows_see_one_second(spark):
+    df = spark.createDataFrame([(1, "k", START, 1.0)], "id int, k string, t timestamp, v double")
+    plan = TS.change_rate(df, "k", "t", "v", ("id",))._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Window [" in line]
+    # windows over raw rows go by second (the tails are read by both levels); those of an
+    # hour and of a key see tails only
+    by_second = sum("_b#" in line.rsplit("], [", 2)[-2] for line in lines)
+    assert (by_second, len(lines)) == (3, 6)
+
+
 def test_change_and_acceleration(spark):
     rows = [("n", START + timedelta(minutes=m), v) for m, v in ((0, 1.0), (30, 4.0), (90, 10.0), (200, 9.0))]
     df = spark.createDataFrame(rows, "k string, t timestamp, v double")

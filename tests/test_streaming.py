@@ -52,7 +52,7 @@ def test_anomaly_thresholds_and_baseline(spark):
     values = [110.0, 110.1, 115.0, 115.1, 125.0, 125.1, 90.0, 89.0]
     rows = [("r", START, v) for v in values] + [("zero", START, 5.0), ("none", START, 5.0)]
     df = spark.createDataFrame(rows, "region_id string, timestamp timestamp, demand_mw double")
-    out = live.demand_anomalies(df.withColumn("processing_timestamp", now()), monthly)
+    out = live.demand_anomalies(df.withColumn("processing_timestamp", now()), live.month_of_year_baseline(monthly))
     got = {r["demand_mw"]: (r["severity"], r["anomaly_type"]) for r in out.collect()}
     assert got == {110.1: ("LOW", "DEMAND_SPIKE"), 115.0: ("LOW", "DEMAND_SPIKE"),
                    115.1: ("MEDIUM", "DEMAND_SPIKE"), 125.0: ("MEDIUM", "DEMAND_SPIKE"),
@@ -102,14 +102,36 @@ def test_change_remembers_between_runs(spark, tmp_path):
     src, folder = tmp_path / "in", scratch_dir(spark, "t")
     put(src, "0.json", [record(0, "A", 10), record(1, "A", 16), record(1, "A", 14), record(0, "B", 5)])
     change = lambda: run.drain(stateful.demand_change(live.live_demand(stream(spark, src), now())), "t", folder)
-    assert change().count() == 3
+    # hour 1 waits for the watermark
+    assert sorted((r["region_id"], r["timestamp"].hour) for r in change().collect()) == [("a", 0), ("b", 0)]
     # a late copy of a known hour, then new hours; the second run restarts from the checkpoint
-    put(src, "1.json", [record(1, "A", 1), record(3, "A", 20), record(2, "A", 15)])
+    put(src, "1.json", [record(0, "A", 1), record(3, "A", 20), record(2, "A", 15), record(4, "A", 0.5)])
     rows = sorted((r["region_id"], r["timestamp"].hour, r["previous_mw"], r["change_mw"], r["acceleration_mw"])
                   for r in change().where("region_id = 'a'").collect())
     assert rows == [("a", 0, None, None, None), ("a", 1, 10.0, 4.0, None), ("a", 2, 14.0, 1.0, -3.0), ("a", 3, 15.0, 5.0, 4.0)]
 
 
+def test_change_does_not_depend_on_batches(spark, tmp_path):
+    import random
+    draw = random.Random(5)
+    rows = [{"region_id": r, "timestamp": (START + timedelta(minutes=m, microseconds=draw.randrange(10**6))).isoformat(),
+             "demand_mw": float(draw.randrange(1000))} for m in range(0, 180, 2) for r in ("a", "b")]
+    # out of order by less than the delay
+    rows.sort(key=lambda r: datetime.fromisoformat(r["timestamp"]) + timedelta(minutes=draw.randrange(14)))
+    found = []
+    for files in (1, 3, 7):
+        src = tmp_path / str(files)
+        for f in range(files):
+            put(src, f"{f}.json", rows[len(rows) * f // files : len(rows) * (f + 1) // files])
+        raw = spark.readStream.schema("region_id string, timestamp timestamp, demand_mw double")
+        got = run.drain(stateful.demand_change(raw.option("maxFilesPerTrigger", 1).json(str(src))), "t").collect()
+        found.append(sorted(map(str, got)))
+    assert found[0] == found[1] == found[2]
+    newest = max(r["timestamp"] for r in rows)
+    passed = [r for r in rows if datetime.fromisoformat(r["timestamp"]) <= datetime.fromisoformat(newest) - timedelta(minutes=15)]
+    assert len(found[0]) == len(passed)
+
+
 def anomalies(spark, folder):
     raw = spark.readStream.schema("region_id string, timestamp timestamp").option("maxFilesPerTrigger", 1)
     return raw.json(str(folder))
