@@ -38,7 +38,6 @@ MARKET_STATIONS = {
 }
 
 # --- fixed values: market area -> pricing nodes (published empty) ----------------
-AREA_PRICING_NODES = {"loudoun_county_va": [], "columbus_oh": [], "ashburn_va": []}
 
 # --- fixed values: state -> primary balancing authority --------------------------
 STATE_AUTHORITY = {

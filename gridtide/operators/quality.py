@@ -85,14 +85,6 @@ def flag_anomalies(anomalies: DataFrame, flags: DataFrame) -> DataFrame:
     )
 
 
-def split_by_size(df: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """Rows within the size limit of a stream, and the rows over it."""
-    from ..functions.scalar import row_bytes
-
-    size = row_bytes(*df.columns)
-    return df.where(size <= max_bytes), df.where(size > max_bytes)
-
-
 def fuel_mix(generation: DataFrame, by: list[str]) -> DataFrame:
     """JSON text of each fuel's share, keys in alphabetical order.
 

@@ -76,33 +76,46 @@ def region_weather(daily: DataFrame) -> DataFrame:
 def weather_residual(energy: DataFrame, weather: DataFrame) -> DataFrame:
     """Demand less the part explained by degree days, by least squares per region.
 
-    The two-regressor fit follows from variances and covariances, so one aggregation
-    suffices.  When the regressors carry no or the same information, the fit falls back to
-    cooling degree days alone, then heating alone, then the mean.  Readings without weather,
-    or of a region without a fit, stay with NULL expected and residual demand.
+    Degree days are those of a day, so readings are averaged per region and day first and the
+    fit weighs these days by their readings.  When the regressors carry no or the same
+    information, the fit falls back to cooling degree days alone, then heating alone, then the
+    mean.  Readings without weather, or of a region without a fit, stay with NULL expected and
+    residual demand.
     """
-    joined = energy.join(
-        weather.select(
-            "region_id",
-            F.col("date").alias("_day"),
-            F.col("cooling_degree_days").alias("cdd"),
-            F.col("heating_degree_days").alias("hdd"),
-        ),
-        (energy["region_id"] == weather["region_id"]) & (F.to_date("timestamp") == F.col("_day")),
-        "left",
-    ).select(energy["region_id"], "timestamp", "demand_mw", "cdd", "hdd")
     y, c, h = F.col("demand_mw"), F.col("cdd"), F.col("hdd")
-    complete = y.isNotNull() & c.isNotNull() & h.isNotNull()
+    readings = energy.select("region_id", "timestamp", "demand_mw", F.to_date("timestamp").alias("_day"))
+    days = weather.select(
+        "region_id",
+        F.col("date").alias("_day"),
+        F.col("cooling_degree_days").alias("cdd"),
+        F.col("heating_degree_days").alias("hdd"),
+    )
+    measured = readings.where(y.isNotNull()).groupBy("region_id", "_day").agg(
+        F.count("*").alias("n"), F.avg(y).alias("y")
+    )
+    complete = measured.join(days.where(c.isNotNull() & h.isNotNull()), ["region_id", "_day"])
+
+    def mean(value):
+        return F.sum(F.col("n") * value) / F.sum("n")
+
+    means = complete.groupBy("region_id").agg(
+        mean(F.col("y")).alias("my"), mean(c).alias("mc"), mean(h).alias("mh")
+    )
+    dy, dc, dh = F.col("y") - F.col("my"), c - F.col("mc"), h - F.col("mh")
     moments = (
-        joined.where(complete)
-        .groupBy("region_id")
+        complete.join(means, "region_id")
+        .groupBy("region_id", "my", "mc", "mh")
         .agg(
-            F.avg(y).alias("my"), F.avg(c).alias("mc"), F.avg(h).alias("mh"),
-            F.var_pop(c).alias("vc"), F.var_pop(h).alias("vh"), F.covar_pop(c, h).alias("vch"),
-            F.covar_pop(c, y).alias("vcy"), F.covar_pop(h, y).alias("vhy"),
+            mean(dc * dc).alias("vc"), mean(dh * dh).alias("vh"), mean(dc * dh).alias("vch"),
+            mean(dc * dy).alias("vcy"), mean(dh * dy).alias("vhy"),
         )
     )
-    vc, vh, vch, vcy, vhy = (F.col(n) for n in ("vc", "vh", "vch", "vcy", "vhy"))
+    # what rounding of a mean leaves of a constant is no variance
+    vc, vh = (
+        F.when(F.col(v) > F.col(m) * F.col(m) * 1e-24, F.col(v)).otherwise(0.0)
+        for v, m in (("vc", "mc"), ("vh", "mh"))
+    )
+    vch, vcy, vhy = (F.col(n) for n in ("vch", "vcy", "vhy"))
     det = vc * vh - vch * vch
     both = det > vc * vh * 1e-9
     zero = F.lit(0.0)
@@ -117,10 +130,11 @@ def weather_residual(energy: DataFrame, weather: DataFrame) -> DataFrame:
         "my", "mc", "mh",
     )
     expected = F.col("my") + F.col("b1") * (c - F.col("mc")) + F.col("b2") * (h - F.col("mh"))
-    return joined.join(fit, "region_id", "left").select(
+    explained = days.join(fit, "region_id").select("region_id", "_day", expected.alias("expected_mw"))
+    return readings.join(explained, ["region_id", "_day"], "left").select(
         "region_id",
         "timestamp",
         "demand_mw",
-        expected.alias("expected_mw"),
-        (y - expected).alias("residual_mw"),
+        "expected_mw",
+        (y - F.col("expected_mw")).alias("residual_mw"),
     )

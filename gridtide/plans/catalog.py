@@ -175,6 +175,28 @@ def weather_pivot(spark, sf):
     return weather.pivot_measures(T.station_records(spark, sf))
 
 
+def _landed(pages: DataFrame, feed: feeds.Feed) -> DataFrame:
+    """Records of pages that were written to the shared folder, one page a line."""
+    folder = scratch_dir(pages.sparkSession, "pages")
+    pages.select("body").write.text(folder)
+    return landing.read_feed(pages.sparkSession, folder, feed, lines=True)
+
+
+@query
+def landed_climate(spark, sf):
+    return weather.pivot_measures(_landed(T.climate_pages(spark, sf), feeds.CLIMATE))
+
+
+@query
+def landed_stations(spark, sf):
+    found = _landed(T.station_pages(spark, sf), feeds.STATIONS).select(
+        F.col("id").cast("bigint").alias("station_id"),
+        F.col("latitude").alias("lat"),
+        F.col("longitude").alias("lon"),
+    )
+    return spatial.stations_near(found, 39.0438, -77.4874, 500)
+
+
 @query
 def stations_in_bbox(spark, sf):
     return spatial.stations_near(T.station_places(spark, sf), 39.0438, -77.4874, 500)
@@ -188,10 +210,8 @@ def historical_baseline(spark, sf):
     return kpi.baseline_comparison(landing.read_national_baseline(spark), moved)
 
 
-@query
-def ingest_demand(spark, sf):
-    source = T.events(spark, sf)
-    records = source.select(
+def _landed_demand(spark, sf) -> DataFrame:
+    return T.events(spark, sf).select(
         S.format_hour(F.col("ts")).alias("period"),
         F.upper("event_type").alias("respondent"),
         F.col("event_type").alias("respondent-name"),
@@ -201,9 +221,23 @@ def ingest_demand(spark, sf):
         F.lit("megawatthours").alias("value-units"),
         F.col("ts").alias("landed_at"),
     )
-    return ingest.ingest_demand(
-        records, F.col("landed_at"), F.lit(datetime(2024, 1, 30, 12)), ["CLICK", "VIEW", "ERROR"]
-    )
+
+
+def _ingested(records: DataFrame) -> DataFrame:
+    now = F.lit(datetime(2024, 1, 30, 12))
+    return ingest.ingest_demand(records, F.col("landed_at"), now, ["CLICK", "VIEW", "ERROR"])
+
+
+@query
+def ingest_demand(spark, sf):
+    return _ingested(_landed_demand(spark, sf))
+
+
+@query
+def ingest_landed_days(spark, sf):
+    folder = scratch_dir(spark, "landing")
+    landing.land_by_day(_landed_demand(spark, sf), folder)
+    return _ingested(landing.read_dataset(spark, folder))
 
 
 @query
@@ -710,6 +744,13 @@ def stream_dedup(spark, sf):
     return run.drain(keys, "stream-dedup")
 
 
+@query
+def stream_price_dedup(spark, sf):
+    prices = live.live_pricing(T.price_records(T.stream_events(spark, sf)), T.now())
+    keys = live.deduplicate_prices(prices, salts=4).select("pnode_id", "timestamp")
+    return run.drain(keys, "stream-price-dedup")
+
+
 def _stream_readings(spark, sf) -> DataFrame:
     return T.stream_events(spark, sf).select(
         F.col("event_type").alias("region_id"),

@@ -954,6 +954,7 @@ QUERIES: dict[str, str] = {
     "demand_anomalies": "SELECT * FROM anomalies",
     "demand_anomalies_batch": "SELECT * FROM anomalies",
     "live_pricing": "SELECT * EXCLUDE (event_id) FROM prices",
+    "stream_price_dedup": """SELECT DISTINCT pnode_id, "timestamp" FROM prices""",
     "stream_dedup": """SELECT DISTINCT reading_id, region_id, "timestamp" FROM live""",
     # windows are complete once the newest reading is 15 minutes past their end
     "stream_hourly": f"""
@@ -1101,4 +1102,8 @@ def statements() -> dict[str, str]:
     out = {name: statement(sql) for name, sql in QUERIES.items()}
     out["object_key_checks"] = statement(_object_checks())
     out["alert_cooldown"] = out["alert_cooldown_batch"] = _COOLDOWN
+    # the same records by way of landed files
+    landed = {"ingest_landed_days": "ingest_demand", "landed_climate": "weather_pivot",
+              "landed_stations": "stations_in_bbox"}
+    out |= {name: out[same] for name, same in landed.items()}
     return out

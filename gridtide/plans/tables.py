@@ -409,6 +409,29 @@ def grid_pages(records: DataFrame, page: Column, *keep: str) -> DataFrame:
     )
 
 
+def result_pages(records: DataFrame, *page: Column) -> DataFrame:
+    """Climate API pages as JSON text."""
+    results = F.collect_list(F.struct(*records.columns)).alias("results")
+    pages = records.groupBy(*[p.alias(f"_page{i}") for i, p in enumerate(page)]).agg(results)
+    return pages.select(F.to_json(F.struct("results")).alias("body"))
+
+
+def climate_pages(spark, sf) -> DataFrame:
+    """Pages of one station and month each."""
+    records = station_records(spark, sf).withColumn("value", F.col("value").cast("string"))
+    return result_pages(records, F.col("station"), F.substring("date", 1, 7))
+
+
+def station_pages(spark, sf) -> DataFrame:
+    stations = station_places(spark, sf).select(
+        F.col("station_id").cast("string").alias("id"),
+        F.concat(F.lit("station "), F.col("station_id")).alias("name"),
+        F.col("lat").alias("latitude"),
+        F.col("lon").alias("longitude"),
+    )
+    return result_pages(stations, F.floor(F.col("id").cast("bigint") / 500))
+
+
 def event_page() -> Column:
     return F.floor(F.col("_id") / 500)
 

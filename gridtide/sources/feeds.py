@@ -81,6 +81,10 @@ STATIONS = Feed(
 )
 
 
+#: Folder column of records landed by day.
+DAY_PART = "day_part"
+
+
 # ---- pages to records -----------------------------------------------------------
 def parse_pages(pages: DataFrame, feed: Feed, body: str = "body") -> DataFrame:
     """Typed envelope columns from a JSON text column; other columns are kept."""
@@ -150,8 +154,27 @@ def page(
     return out if length is None else out.limit(length)
 
 
+def on_days(df: DataFrame, start=None, end=None) -> DataFrame:
+    """Day folders that can hold hours from ``start`` to ``end``, of records landed by day.
+
+    Records whose folder names no day are always read.
+    """
+    if DAY_PART not in df.columns:
+        return df
+
+    def day(hour):
+        return F.substring(hour if isinstance(hour, Column) else F.lit(hour), 1, 10).try_cast("date")
+
+    if start is not None:
+        df = df.where(F.coalesce(F.col(DAY_PART) >= day(start), F.lit(True)))
+    if end is not None:
+        df = df.where(F.coalesce(F.col(DAY_PART) <= day(end), F.lit(True)))
+    return df.drop(DAY_PART)
+
+
 def demand(df: DataFrame, authorities=None, start=None, end=None, subregions=None) -> DataFrame:
     """Hourly demand of some authorities, or of sub-regions below them."""
+    df = on_days(df, start, end)
     if subregions:
         df = only(only(df, "parent", authorities), "subba", subregions)
     else:

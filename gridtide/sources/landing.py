@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import lookups as L
+from ..functions import scalar as S
 from . import schemas
-from .feeds import Feed, parse_pages, records
+from .feeds import DAY_PART, Feed, parse_pages, records
 
 
 def read_pages(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
@@ -70,6 +71,18 @@ def write_dataset(
     balanced.write.mode(mode).partitionBy("month_part").parquet(path)
 
 
+def land_by_day(
+    records: DataFrame, path: str, period: str = "period", mode: str = "append"
+) -> None:
+    """Write hourly records into folders by day, which the feed filters prune.
+
+    Records whose period is no hour go to the folder of no day.
+    """
+    dated = records.withColumn(DAY_PART, F.to_date(S.parse_hour(F.col(period))))
+    balanced = dated.hint("rebalance", F.col(DAY_PART))
+    balanced.write.mode(mode).partitionBy(DAY_PART).parquet(path)
+
+
 def new_rows(
     batch: DataFrame, existing: DataFrame, keys: list[str], since: str | None = None
 ) -> DataFrame:

@@ -111,6 +111,11 @@ def deduplicate(
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
+def deduplicate_prices(prices: DataFrame, salts: int = 1) -> DataFrame:
+    """One arrival per pricing node and time, within the watermark of the price feed."""
+    return deduplicate(prices, ("pnode_id", "timestamp"), L.PRICE_WATERMARK, salts)
+
+
 def windowed_average(
     live: DataFrame,
     length: str = "1 hour",

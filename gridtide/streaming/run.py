@@ -25,6 +25,11 @@ def start(df: DataFrame, path: str, checkpoint: str, trigger: str = L.DEMAND_TRI
     return (writer.queryName(name) if name else writer).start()
 
 
+def start_prices(df: DataFrame, path: str, checkpoint: str, name=None):
+    """The same at the interval of the price feed."""
+    return start(df, path, checkpoint, L.PRICE_TRIGGER, name)
+
+
 def drain(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     """Process all data a stream has now, stop, and read back what it wrote.
 

@@ -196,14 +196,11 @@ def test_regions_and_markets(spark):
     assert markets == ["chi", "coh", "nova", "phl"]
 
 
-def test_fuel_mix_and_size_guard(spark):
+def test_fuel_mix(spark):
     rows = [("a", "NG", 30.0), ("a", "NUC", 10.0), ("a", "NG", 40.0), ("b", "SUN", 0.0)]
     df = spark.createDataFrame(rows, "region_id string, fueltype string, value double")
     got = {r["region_id"]: r["source_mix"] for r in quality.fuel_mix(df, ["region_id"]).collect()}
     assert json.loads(got["a"]) == {"NG": 0.875, "NUC": 0.125}
-    text = spark.createDataFrame([("x" * 10,), ("é" * 10,)], "t string")
-    fits, over = quality.split_by_size(text, 20)
-    assert (fits.count(), over.count()) == (1, 1)
 
 
 def test_feed_pages_and_filters(spark):

@@ -22,7 +22,7 @@ TABLES = (
 ).split()
 QUERIES, SQL = catalog.QUERIES, oracle.statements()
 STREAMS = {
-    "live_demand", "demand_anomalies", "live_pricing", "stream_dedup", "stream_hourly",
+    "live_demand", "demand_anomalies", "live_pricing", "stream_dedup", "stream_price_dedup", "stream_hourly",
     "stream_sliding", "stream_change", "alert_cooldown",
 }
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -77,6 +77,12 @@ def test_columns_and_filters_reach_the_scan(spark):
     assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
 
 
+def test_landed_days_are_pruned(spark):
+    plan = QUERIES["ingest_landed_days"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert filters and all("day_part" in line.split("PartitionFilters")[1] for line in filters)
+
+
 def test_flagship(spark):
     if os.path.isdir("/root/testdata/sf0.001"):
         assert entry_module.entry(spark).count() == 8
