@@ -19,12 +19,15 @@ BROADCAST_ROWS = 50_000
 #: Rows and bytes of text that are Python objects at once in a task, at most, but for one text.
 SLICE_ROWS, SLICE_BYTES = 512, 1 << 18
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: A batch of long texts ends behind the row that reaches this size.
+BATCH_BYTES, BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def small_batches(spark: SparkSession) -> None:
     """Texts are long: hand few to Python at once, unless the session has its own number."""
     if spark.conf.get(BATCH) == "10000":
         spark.conf.set(BATCH, str(SLICE_ROWS))
+        spark.conf.set(BATCH_BYTES, BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
