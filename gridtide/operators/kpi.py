@@ -14,7 +14,7 @@ from . import events as E
 def current_demand(monthly: DataFrame) -> DataFrame:
     """Average demand per region in the newest month that any region has a reading in.
 
-    Works on the monthly table that the events need too, so readings are scanned once.
+    Works on the monthly table that the events need too.
     The rank keeps only rows of the newest month in every task before they meet.
     """
     newest_first = Window.orderBy(F.col("month").desc_nulls_last())
