@@ -11,11 +11,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import similar
 from .components import connected_components
+from .similar import shingle_hashes
 from .support import as_bytes, cut, per_text, with_columns
 
 SEED, WIDTH, RADIUS, BITS = 42, 3, 3, 64
@@ -27,16 +28,9 @@ SHARD_BITS = 6
 
 def fingerprint(data: bytes | None) -> int:
     """SimHash over three-word shingles, A-Z lower-cased; 0 without a word."""
-    words = (data or b"").lower().split()
-    if not words:
+    hashes = shingle_hashes(data, WIDTH, SEED)
+    if not len(hashes):
         return 0
-    text = memoryview(b" ".join(words))
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = ends - np.fromiter(map(len, words), np.int64, len(words)) - 1
-    width = min(WIDTH, len(words))
-    digest = xxhash.xxh64_intdigest
-    spans = zip(starts[: len(words) - width + 1].tolist(), (ends[width - 1 :] - 1).tolist())
-    hashes = np.array([digest(text[a:b], SEED) for a, b in spans], np.uint64)
     bits = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at : at + 4096].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -217,27 +211,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return own.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest id of each component, unchanged; of rows with one id, one.
+def deduplicated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = similar.WIDTH,
+    similarity: float = similar.SIMILARITY,
+) -> DataFrame:
+    """The row with the smallest id of each class of similar texts, unchanged; of rows with one id, one.
 
-    Of a component whose ids are all null one row stays.
+    Texts are linked whose shingles of ``width`` words have a Jaccard similarity of at least
+    ``similarity``; texts without a word are one class.  Of a class whose ids are all null one
+    row stays.
     """
-    found = near_duplicates(docs, key, text)
+    named = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    found = similar.similar_texts(named, width, similarity)
+    # the smallest id of a class, and one set that has it
+    by_id = F.struct(F.col("first_id").isNull(), "first_id", "set")
+    chosen = found.groupBy("root").agg(F.min(by_id).alias("_c"))
+    chosen = cut(chosen.select(F.col("_c.first_id").alias(key), F.col("_c.set").alias("_set")))
     names = [f"`{c}`" for c in docs.columns]
-    chosen = found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(key))
-    chosen = cut(chosen.agg(F.count("*").alias("_rows")))
+    ids = chosen.where(F.col(key).isNotNull()).select(key)
 
     def matching(ids: DataFrame) -> DataFrame:
         # ids are hashed, so that the texts they are looked up for need no sort
         return docs.join(ids.select(key).hint("shuffle_hash"), key, "left_semi").select(*names)
 
-    kept = matching(chosen)
-    repeated = chosen.where("_rows > 1")
+    counts = named.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("_rows"))
+    repeated = cut(counts.where("_rows > 1").join(ids.distinct(), key, "left_semi"))
+    kept = matching(ids)
     if not repeated.isEmpty():
         once = matching(repeated).dropDuplicates([key]).select(*names)
-        kept = matching(chosen.where("_rows = 1")).unionByName(once)
-    nameless = cut(found.where(F.col("component_id").isNull()).select("fp").distinct())
+        kept = matching(ids.join(repeated, key, "left_anti")).unionByName(once)
+    nameless = cut(chosen.where(F.col(key).isNull()).select("_set"))
     if nameless.isEmpty():
         return kept
-    lost = fingerprints(docs.where(F.col(key).isNull()), text).join(nameless, "fp", "left_semi")
-    return kept.unionByName(lost.dropDuplicates(["fp"]).select(*names))
+    lost = docs.where(F.col(key).isNull()).withColumn("_set", similar.shingle_set(f"`{text}`", width))
+    lost = lost.join(nameless, "_set", "left_semi").dropDuplicates(["_set"])
+    return kept.unionByName(lost.select(*names))

@@ -354,6 +354,34 @@ def test_deduplicated(spark, odd):
     assert neardup.deduplicated(odd.limit(0)).count() == 0
 
 
+def replaced(words, share):
+    """A copy whose 5-word shingles have about the similarity to those of ``words``."""
+    n = len(words) - 4
+    lost = round(n * (1 - share) / (1 + share))  # shingles without a partner on each side
+    return ["other" + w if len(words) - lost <= i else w for i, w in enumerate(words)]
+
+
+def test_similar_copies_go(spark):
+    rng = random.Random(8)
+    rows, gone = [], set()
+    for i, share in enumerate([0.6, 0.7, 0.76, 0.81, 0.84, 0.88, 0.92, 0.95, 0.97] * 6):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(200, 900))]
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(replaced(words, share)).upper().replace(" ", "\n"))]
+        gone |= {1000 + i} if share > 0.8 else set()
+    # a chain of copies, each like its neighbours only, and a family of many
+    words = [f"c{rng.randrange(5000)}" for _ in range(400)]
+    for i in range(5):
+        rows.append((2000 + i, " ".join(words[i * 30 :] + [f"x{j}" for j in range(i * 30)])))
+    gone |= {2001, 2002, 2003, 2004}
+    for i in range(300):
+        rows.append((3000 + i, " ".join(f"f{j}" if j != i else "own" for j in range(300))))
+    gone |= set(range(3001, 3300))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for found in (neardup.deduplicated(docs), corpus_pipeline.simhash_dedup(spark, docs, FOLDER)):
+        kept = [r["doc_id"] for r in found.select("doc_id").collect()]
+        assert sorted(kept) == sorted({r[0] for r in rows} - gone)
+
+
 # ----------------------------------------------------------------------- 10
 
 
