@@ -215,11 +215,12 @@ def deduplicated(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = similar.WIDTH,
     similarity: float = similar.SIMILARITY,
 ) -> DataFrame:
-    """The row with the smallest id of each class of similar texts, unchanged; of rows with one id, one.
+    """One row of each class of similar texts, unchanged: that with the smallest id.
 
     Texts are linked whose shingles of ``width`` words have a Jaccard similarity of at least
-    ``similarity``; texts without a word are one class.  Of a class whose ids are all null one
-    row stays.
+    ``similarity``; texts without a word are one class.  Of rows of a
+    class that share its smallest id, or whose ids are all null, the first by digest of text
+    and row stays; rows of one id in several classes are kept for each.
     """
     named = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     found = similar.similar_texts(named, width, similarity)
@@ -234,15 +235,22 @@ def deduplicated(
         # ids are hashed, so that the texts they are looked up for need no sort
         return docs.join(ids.select(key).hint("shuffle_hash"), key, "left_semi").select(*names)
 
-    counts = named.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("_rows"))
+    counts = named.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("_rows"))
     repeated = cut(counts.where("_rows > 1").join(ids.distinct(), key, "left_semi"))
     kept = matching(ids)
+    parts = []
     if not repeated.isEmpty():
-        once = matching(repeated).dropDuplicates([key]).select(*names)
-        kept = matching(ids.join(repeated, key, "left_anti")).unionByName(once)
-    nameless = cut(chosen.where(F.col(key).isNull()).select("_set"))
-    if nameless.isEmpty():
-        return kept
-    lost = docs.where(F.col(key).isNull()).withColumn("_set", similar.shingle_set(f"`{text}`", width))
-    lost = lost.join(nameless, "_set", "left_semi").dropDuplicates(["_set"])
-    return kept.unionByName(lost.select(*names))
+        kept = matching(ids.join(repeated, key, "left_anti"))
+        parts.append(matching(repeated))
+    if not chosen.where(F.col(key).isNull()).isEmpty():
+        parts.append(docs.where(F.col(key).isNull()).select(*names))
+    for rows in parts:
+        row = rows.select(
+            F.struct(*names).alias("_row"), similar.shingle_set(f"`{text}`", width).alias("_set")
+        )
+        own, digest = F.col("_row").getField(key), F.sha2(F.col("_row").getField(text).cast("binary"), 256)
+        same = (row["_set"] == chosen["_set"]) & own.eqNullSafe(chosen[key])
+        first = F.min_by("_row", F.struct(digest, F.sha2(F.to_json("_row"), 256)))
+        once = row.join(chosen, same, "left_semi").groupBy(own.alias("_id"), "_set").agg(first.alias("_row"))
+        kept = kept.unionByName(once.select("_row.*"))
+    return kept

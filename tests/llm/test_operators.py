@@ -382,6 +382,27 @@ def test_similar_copies_go(spark):
         assert sorted(kept) == sorted({r[0] for r in rows} - gone)
 
 
+def test_repeated_ids_of_unequal_text(spark):
+    def words(k):
+        return " ".join(f"{k}v{i}" for i in range(60))
+
+    rows = [
+        (1, words("a"), "x"),
+        (5, words("a") + " end", "near 1"),
+        (5, words("b"), "own class"),
+        (5, words("b").upper(), "own class again"),
+        (5, words("c"), "another"),
+        (None, words("d"), "no id"),
+        (None, words("d") + " end", "no id again"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string")
+    kept = {
+        tuple(sorted((r["doc_id"] or 0, r["text"][:1].lower()) for r in got.collect()))
+        for got in (neardup.deduplicated(docs.repartition(n)) for n in (1, 5))
+    }
+    assert kept == {((0, "d"), (1, "a"), (5, "b"), (5, "c"))}
+
+
 # ----------------------------------------------------------------------- 10
 
 
