@@ -63,6 +63,18 @@ def orphans(source: DataFrame, target: DataFrame, link: str) -> DataFrame:
     )
 
 
+def link_orphans(
+    sites: DataFrame, events: DataFrame, readings: DataFrame, regions: DataFrame
+) -> DataFrame:
+    """Orphans of all four links; ``sites`` and ``regions`` are the whole object tables."""
+    return (
+        orphans(sites, regions, "data-center-in-region")
+        .unionByName(orphans(events, sites, "correlation-for-dc"))
+        .unionByName(orphans(events, regions, "correlation-in-region"))
+        .unionByName(orphans(readings, regions, "reading-for-region"))
+    )
+
+
 def navigate(source: DataFrame, target: DataFrame, link: str) -> DataFrame:
     """Source objects with the title of the object they link to, NULL when absent."""
     source_type, target_type, prop = LINK_TYPES[link]

@@ -543,19 +543,9 @@ def control_region(spark, sf):
 
 @query
 def link_orphans(spark, sf):
-    sites = T.sites(spark, sf)
-    found = _events(spark, sf)
-    regions = kpi.current_demand(_monthly(spark, sf))
-    links = [
-        quality.orphans(sites, regions, "data-center-in-region"),
-        quality.orphans(found, sites.where("capacity_mw > 50"), "correlation-for-dc"),
-        quality.orphans(found, regions, "correlation-in-region"),
-        quality.orphans(T.detailed_readings(spark, sf), regions, "reading-for-region"),
-    ]
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+    return quality.link_orphans(
+        T.sites(spark, sf), _events(spark, sf), T.detailed_readings(spark, sf), T.regions(spark, sf)
+    )
 
 
 @query

@@ -305,6 +305,11 @@ def fuel_generation(spark, sf) -> DataFrame:
     )
 
 
+def regions(spark, sf) -> DataFrame:
+    """Every region, also one without inhabitants, sites or readings."""
+    return table(spark, sf, "nation").select(F.lower("n_name").alias("region_id"))
+
+
 def region_profiles(spark, sf) -> DataFrame:
     """Inhabitants (customers) and a climate zone per region."""
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")

@@ -83,6 +83,34 @@ def test_landed_days_are_pruned(spark):
     assert filters and all("day_part" in line.split("PartitionFilters")[1] for line in filters)
 
 
+def test_only_real_orphans_are_reported(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    assert QUERIES["link_orphans"](spark, FOLDER).count() == 0
+    tables, changes = catalog.T, catalog._events(spark, FOLDER)
+    sites, readings = tables.sites(spark, FOLDER), tables.detailed_readings(spark, FOLDER)
+    small = sites.where("capacity_mw <= 50").limit(1).withColumns(
+        {"dc_id": F.lit("small"), "capacity_mw": F.lit(None).cast("double")}
+    )
+    lost = small.withColumns({"dc_id": F.lit("lost"), "region_id": F.lit("atlantis")})
+    planted = changes.limit(1).withColumns({"event_id": F.lit("e1"), "dc_id": F.lit("small")})
+    astray = planted.withColumns({"event_id": F.lit("e2"), "dc_id": F.lit("none"), "region_id": F.lit("mu")})
+    reading = readings.limit(1).withColumns({"reading_id": F.lit("r"), "region_id": F.lit("mu")})
+    for name, frame in (
+        ("sites", sites.unionByName(small).unionByName(lost)),
+        ("detailed_readings", readings.unionByName(reading)),
+    ):
+        monkeypatch.setattr(tables, name, lambda spark, sf, frame=frame: frame)
+    found = changes.unionByName(planted).unionByName(astray)
+    monkeypatch.setattr(catalog, "_events", lambda spark, sf: found)
+    assert sorted(map(tuple, QUERIES["link_orphans"](spark, FOLDER).collect())) == [
+        ("correlation-for-dc", "e2", "none"),
+        ("correlation-in-region", "e2", "mu"),
+        ("data-center-in-region", "lost", "atlantis"),
+        ("reading-for-region", "r", "mu"),
+    ]
+
+
 def test_flagship(spark):
     if os.path.isdir("/root/testdata/sf0.001"):
         assert entry_module.entry(spark).count() == 8
