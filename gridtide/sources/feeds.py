@@ -122,7 +122,10 @@ def linked_pages(
         envelopes = envelopes.where(F.col(page_no) < max_pages)
     # one row a request; pages are not gathered
     last = envelopes.groupBy(request).agg(F.min(F.when(ends, F.col(page_no))).alias("_last"))
-    kept = envelopes.join(last, request).where(F.col("_last").isNull() | (F.col(page_no) <= F.col("_last")))
+    last = last.withColumnRenamed(request, "_request")
+    # pages without a request are one chain, as in the grouping
+    kept = envelopes.join(last, F.col(request).eqNullSafe(F.col("_request")))
+    kept = kept.where(F.col("_last").isNull() | (F.col(page_no) <= F.col("_last")))
     return kept.select(*envelopes.columns)
 
 

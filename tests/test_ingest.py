@@ -133,6 +133,17 @@ def test_market_pages_end_with_their_chain(spark):
     assert feeds.records(kept, feeds.METERED_LOAD).count() == 3 + 1 + 10
 
 
+def test_pages_without_request_are_one_chain(spark):
+    def body(following):
+        return json.dumps({"items": [{"zone": "z"}], "links": [{"rel": "next"}] if following else []})
+
+    pages = [(None, 0, body(True)), (None, 1, body(False)), (None, 2, body(True)), (1, 0, body(True))]
+    df = spark.createDataFrame(pages, "request int, page_no int, body string")
+    kept = feeds.linked_pages(feeds.parse_pages(df, feeds.METERED_LOAD), "request", "page_no")
+    got = sorted((r["request"] or 0, r["page_no"]) for r in kept.collect())
+    assert got == [(0, 0), (0, 1), (1, 0)]
+
+
 def test_retail_and_baseline(spark, tmp_path):
     rows = [("2014-02", "VA", "RES", "1.5", "2", "x", None, 1), ("2014-02", "VA", "RES", "2.5", "2", "9", None, 2),
             ("2013-12", "VA", "RES", "1", "1", "1", "1", 1), ("2014-02", "VA", "TRA", "1", "1", "1", "1", 1)]
