@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, maxscore, mixing, neardup, resampling, rules, sharding, urls
+from ..session import scratch_dir
+from . import (
+    bpe, chat, langid, maxscore, mixing, neardup, resampling, rules, sharding, tokencounts, urls,
+)
 from .support import table
 
 #: Vocabulary of the encoding query.
 VOCABULARY = "byte_bpe_50k.json"
+#: Vocabulary of the counting query.
+PIECES = "piece_bpe_32k.model"
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +86,14 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # a store of its own, so that every run does all the work
+    cache = scratch_dir(spark, "token-counts")
+    found = tokencounts.token_counts(docs, public_tokenizers.path(PIECES), cache)
+    return found.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_url_filters": url_filters,
@@ -92,4 +105,5 @@ QUERIES = {
     "op8_top_k": top_k,
     "op9_near_duplicates": near_duplicates,
     "op10_shards": shards,
+    "op13_token_counts": token_counts,
 }
