@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from . import (
     bpe, chat, langid, maxscore, mixing, neardup, resampling, rules, sharding, tokencounts, urls,
+    whitening,
 )
 from .support import table
 
@@ -86,6 +87,13 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", maxscore.quantized(F.col("embedding")).alias("x")
+    )
+    return whitening.whitened(vectors, whitening.fit(vectors))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # a store of its own, so that every run does all the work
@@ -105,5 +113,6 @@ QUERIES = {
     "op8_top_k": top_k,
     "op9_near_duplicates": near_duplicates,
     "op10_shards": shards,
+    "op11_whitening": whitened,
     "op13_token_counts": token_counts,
 }
