@@ -140,7 +140,9 @@ def token_counts(
     content = tokenizer.normal(F.col(text))
     digest = F.unhex(F.sha2(content.cast("binary"), 256))
     add_missing(docs.select(digest.alias("digest"), content.alias("content")), tokenizer, cache)
-    known = stored(docs.sparkSession, cache, tokenizer.version())
+    # cut, so that the join reads a plain exchange, which adaptive execution splits where one
+    # digest holds many rows
+    known = cut(stored(docs.sparkSession, cache, tokenizer.version()))
     known = known.select(F.col("digest").alias("_digest"), F.col("n_tokens").alias("_tokens"))
     size = F.length(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")))
     # sizes and digests are made before the join, so a text nobody selects is not shuffled
