@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
-    bpe, chat, langid, maxscore, mixing, neardup, resampling, rules, sharding, tokencounts, urls,
-    whitening,
+    bpe, chat, collocations, langid, maxscore, mixing, neardup, resampling, rules, sharding, tokencounts,
+    urls, whitening,
 )
 from .support import table
 
@@ -94,6 +94,10 @@ def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(vectors, whitening.fit(vectors))
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # a store of its own, so that every run does all the work
@@ -114,5 +118,6 @@ QUERIES = {
     "op9_near_duplicates": near_duplicates,
     "op10_shards": shards,
     "op11_whitening": whitened,
+    "op12_collocations": phrases,
     "op13_token_counts": token_counts,
 }

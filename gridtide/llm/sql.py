@@ -160,9 +160,54 @@ ranked AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+COLLOCATIONS = r"""
+WITH
+piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+line AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM piece
+),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM line GROUP BY lang),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM line WHERE len(w) > 0),
+suffix AS (SELECT lang, w, i, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS m FROM place),
+counted AS (
+    SELECT lang, w[i:i + m - 1] AS ws, m, count(*) AS f FROM suffix GROUP BY ALL HAVING count(*) >= 30
+),
+cut AS (
+    SELECT c.lang, c.ws, c.m, c.f AS a, k, l.f AS l, r.f AS r,
+        CAST((2000000::HUGEINT * c.f) // (l.f + r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM counted WHERE m > 1) c
+    JOIN counted l ON l.lang = c.lang AND l.ws = c.ws[1:k]
+    JOIN counted r ON r.lang = c.lang AND r.ws = c.ws[k + 1:]
+),
+lowest AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1
+),
+inner_part AS (
+    SELECT lang, ws[i:i + s - 1] AS ws, max(f) AS longer
+    FROM (SELECT *, unnest(range(1, m - s + 2)) AS i
+        FROM (SELECT *, unnest(range(2, m)) AS s FROM counted WHERE m > 2))
+    GROUP BY ALL
+),
+kept AS (
+    SELECT c.*, array_to_string(c.ws, ' ') AS phrase FROM lowest c
+    LEFT JOIN inner_part p ON p.lang = c.lang AND p.ws = c.ws
+    WHERE p.longer IS NULL OR 100 * p.longer < 80 * c.a
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op2_url_filters": URL_FILTERS,
     "op3_mix_sources": MIX_SOURCES,
     "op6_chat_format": CHAT_FORMAT,
     "op8_top_k": TOP_K,
+    "op12_collocations": COLLOCATIONS,
 }
