@@ -56,7 +56,7 @@ class Tokenizer:
     def normal(self, text: Column) -> Column:
         """The text as far as the tokenizer tells texts apart; null is empty."""
         text = F.coalesce(text.cast("string"), F.lit(""))
-        return F.translate(text, SPACE_MARK, " ") if self.spaces_marked() else text
+        return F.replace(text, F.lit(SPACE_MARK), F.lit(" ")) if self.spaces_marked() else text
 
     def counter(self):
         """Function from a list of texts to their numbers of tokens."""
