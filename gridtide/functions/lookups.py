@@ -143,6 +143,9 @@ DEMAND_WATERMARK = "15 minutes"
 PRICE_WATERMARK = "5 minutes"
 DEMAND_TRIGGER = "300 seconds"
 PRICE_TRIGGER = "60 seconds"
+DEMAND_POLL_S, DEMAND_COMMIT_S = 300, 60
+PRICE_POLL_S, PRICE_COMMIT_S = 60, 30
+LATENCY_TARGET_S = 15
 ALERT_COOLDOWN_MINUTES = 60
 MAX_ROW_BYTES = 512_000
 PAGE_ROWS = 5000

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from . import ringindex
 
 # Cell sizes in degrees, each an eighth of the one before; the first covers the globe
 # with 23 x 12 cells, the last is about 7 m wide.
@@ -137,22 +138,6 @@ def region_of_point(points: DataFrame, regions: DataFrame, cell_degrees: float =
     """Regions whose boundary ring contains each point.
 
     ``points`` has point_id, lat, lon; ``regions`` has region_id and ring (closed,
-    ``array<struct<lon,lat>>``).  A region is listed under every cell its box touches;
-    a point meets the regions of its own cell only.
+    ``array<struct<lon,lat>>``).
     """
-    lons = F.transform("ring", lambda p: p["lon"])
-    lats = F.transform("ring", lambda p: p["lat"])
-
-    def cells(values: Column) -> Column:
-        low = F.floor(F.array_min(values) / cell_degrees)
-        return F.explode(F.sequence(low, F.floor(F.array_max(values) / cell_degrees)))
-
-    covered = regions.withColumn("_x", cells(lons)).withColumn("_y", cells(lats))
-    placed = points.withColumns(
-        {"_x": F.floor(F.col("lon") / cell_degrees), "_y": F.floor(F.col("lat") / cell_degrees)}
-    )
-    return (
-        placed.join(covered, ["_x", "_y"])
-        .where(geo.inside_ring(F.col("lat"), F.col("lon"), F.col("ring")))
-        .select("point_id", "region_id")
-    )
+    return ringindex.points_in(points, ringindex.ring_index(regions, cell_degrees), cell_degrees)

@@ -17,7 +17,7 @@ from ..operators import (
 )
 from ..session import pin_utc, scratch_dir
 from ..sources import feeds, landing
-from ..streaming import live, run, stateful
+from ..streaming import cooldown, live, run, stateful, supervise
 from . import tables as T
 from .batch import Inputs, run_batch
 
@@ -170,6 +170,13 @@ def linked_pages(spark, sf):
     return _doubles(kept.select("request", "page_no", F.inline("items")), "mw")
 
 
+@query
+def followed_pages(spark, sf):
+    pages = feeds.parse_pages(T.chained_pages(spark, sf), feeds.METERED_LOAD)
+    kept = feeds.followed_pages(pages, "request", "address", F.col("page_no") == 0)
+    return _doubles(kept.select("request", "page_no", "position", F.inline("items")), "mw")
+
+
 @query
 def weather_pivot(spark, sf):
     return weather.pivot_measures(T.station_records(spark, sf))
@@ -450,6 +457,22 @@ def row_size_guard(spark, sf):
     )
 
 
+def _guarded(spark, sf, accepted: bool) -> DataFrame:
+    folder, records = scratch_dir(spark, "guarded"), T.live_records(T.stream_events(spark, sf))
+    run.start_guarded(records, f"{folder}/rows", f"{folder}/checkpoint", 65).awaitTermination()
+    return run.guarded(spark, f"{folder}/rows", records.schema, accepted)
+
+
+@query
+def accepted_rows(spark, sf):
+    return _guarded(spark, sf, True)
+
+
+@query
+def rejected_rows(spark, sf):
+    return _guarded(spark, sf, False)
+
+
 # ---- joins ----------------------------------------------------------------------
 @query
 def enrich_regions(spark, sf):
@@ -531,9 +554,7 @@ def region_weather(spark, sf):
 
 
 def _controls(spark, sf) -> DataFrame:
-    profiles = T.region_profiles(spark, sf)
-    busy = control.regions_above(kpi.peak_capacity(_timeline(spark, sf)), profiles, 2.0)
-    return control.match_control_regions(profiles, busy)
+    return control.match_control_regions(T.district_profiles(spark, sf), T.district_sites(spark, sf))
 
 
 @query
@@ -543,8 +564,9 @@ def control_region(spark, sf):
 
 @query
 def link_orphans(spark, sf):
+    found = run_batch(batch_inputs(spark, sf), T.as_of(), T.now())
     return quality.link_orphans(
-        T.sites(spark, sf), _events(spark, sf), T.detailed_readings(spark, sf), T.regions(spark, sf)
+        found["data_centers"], found["events"], found["energy"], T.served_regions(spark, sf)
     )
 
 
@@ -606,7 +628,7 @@ def events_with_correlation(spark, sf):
 @query
 def adjusted_delta(spark, sf):
     return control.adjusted_changes(
-        T.readings(spark, sf), T.sites(spark, sf), _controls(spark, sf), T.as_of()
+        T.district_readings(spark, sf), T.district_sites(spark, sf), _controls(spark, sf), T.as_of()
     )
 
 
@@ -765,6 +787,30 @@ def stream_change(spark, sf):
     return run.drain(stateful.demand_change(_stream_live(spark, sf)), "stream-change")
 
 
+@query
+def feed_health(spark, sf):
+    """Counts and latency of the demand feed, as its supervised stream observed them."""
+    folder, started = scratch_dir(spark, "feed-health"), []
+    monitor, rows = supervise.Monitor(), supervise.watched(_stream_live(spark, sf))
+
+    def start():
+        started.append(run.start_available(rows, f"{folder}/rows", f"{folder}/checkpoint"))
+        return started[-1]
+
+    spark.streams.addListener(monitor)
+    try:
+        supervise.supervise(start, supervise.DEMAND)
+        health = monitor.settled(started[-1])
+    finally:
+        spark.streams.removeListener(monitor)
+    stored = spark.read.schema(rows.schema).parquet(f"{folder}/rows").agg(F.count("*").alias("stored_rows"))
+    return stored.select(
+        F.lit(health.rows).alias("observed_rows"), "stored_rows",
+        F.lit(health.late_rows).alias("late_rows"),
+        F.lit(health.max_latency_s).cast("double").alias("max_latency_s"),
+    )
+
+
 @query
 def alert_cooldown(spark, sf):
     return run.drain(stateful.alert_cooldown(_stream_readings(spark, sf)), "alert-cooldown")
@@ -772,7 +818,7 @@ def alert_cooldown(spark, sf):
 
 @query
 def alert_cooldown_batch(spark, sf):
-    return stateful.alert_cooldown_history(T.hourly(spark, sf))
+    return cooldown.alert_cooldown_history(T.hourly(spark, sf))
 
 
 # ---- forecast and objects -------------------------------------------------------

@@ -509,23 +509,33 @@ CTES |= {
                         / sum(pow(cos(pi() / 2 * (range + 0.5) / 20000), v - 1)) * th / (pi() / 2)
                  FROM range(20000)) END AS p
         FROM (SELECT *, atan(abs(t) / sqrt(v)) AS th FROM t_stat)""",
-    "busy": """
-        SELECT region_id FROM (SELECT region_id, max(cumulative_capacity_mw) AS mw
-                               FROM timeline GROUP BY 1) JOIN profiles USING (region_id)
-        WHERE mw / population > 2.0""",
+    "district_readings": """
+        SELECT lower(n_name) || '/' || lower(c_mktsegment) AS region_id, o_orderdate AS "timestamp",
+               o_totalprice / 1000 AS demand_mw FROM by_nation""",
+    "district_sites": f"""
+        SELECT s.* REPLACE (region_id || '/' || lower({_pick(T.SITE_SEGMENTS, "regexp_extract(name, '[0-9]+$')")})
+                            AS region_id) FROM sites s""",
+    "district_profiles": """
+        SELECT lower(n_name) || '/' || lower(c_mktsegment) AS region_id,
+               count(*) AS population, CAST(n_nationkey % 4 AS INTEGER) AS climate_zone
+        FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment, n_nationkey""",
+    "district_monthly": _monthly("district_readings"),
+    "district_bounds": _bounds("district_sites"),
+    "district_stats": _stats("district_bounds", "district_monthly", "m.avg_demand_mw"),
     "controls": """
         SELECT region_id, control_region_id, population, control_population FROM (
             SELECT a.region_id, c.region_id AS control_region_id, a.population,
                    c.population AS control_population,
                    row_number() OVER (PARTITION BY a.region_id
                        ORDER BY abs(a.population - c.population), c.region_id) AS rn
-            FROM profiles a JOIN profiles c ON abs(a.climate_zone - c.climate_zone) <= 1
-            WHERE a.region_id IN (SELECT region_id FROM busy)
-              AND c.region_id NOT IN (SELECT region_id FROM busy)
+            FROM district_profiles a
+            JOIN district_profiles c ON abs(a.climate_zone - c.climate_zone) <= 1
+            WHERE a.region_id IN (SELECT region_id FROM district_sites)
+              AND c.region_id NOT IN (SELECT region_id FROM district_sites)
               AND abs(a.population - c.population) <= a.population * 0.3)
         WHERE rn = 1""",
-    "control_bounds": "SELECT b.*, control_region_id FROM bounds b JOIN controls USING (region_id)",
-    "control_stats": _stats("control_bounds", "monthly", "m.avg_demand_mw", "b.control_region_id"),
+    "control_bounds": "SELECT b.*, control_region_id FROM district_bounds b JOIN controls USING (region_id)",
+    "control_stats": _stats("control_bounds", "district_monthly", "m.avg_demand_mw", "b.control_region_id"),
     "retail_monthly": f"""
         SELECT lower(stateid) AS region_id, CAST(strptime(period, '%Y-%m') AS TIMESTAMP) AS month,
                {_avg('price')} AS avg_price FROM retail_latest GROUP BY 1, 2""",
@@ -544,6 +554,10 @@ CTES |= {
     "batch_energy": f"""
         SELECT lower(respondent) AS region_id, {_parse_hour('period')} AS "timestamp",
                value AS demand_mw FROM landed_demand""",
+    "batch_energy_keys": """
+        SELECT 'eia_' || lower(respondent) || '_' || replace(replace(period, '-', ''), 'T', '')
+                   AS reading_id, lower(respondent) AS region_id FROM landed_demand""",
+    "served_regions": "SELECT DISTINCT lower(respondent) AS region_id FROM demand_records",
     "batch_sites": f"""
         SELECT *, lower(coalesce({_case(L.STATE_AUTHORITY, 'state')}, 'unknown')) AS region_id
         FROM registry_latest""",
@@ -571,6 +585,16 @@ def _live_pages(where: str, columns: str) -> str:
         WHERE {where}"""
 
 
+def _guard(side: str) -> str:
+    size = "" if side == "<=" else ", bytes AS row_bytes"
+    return f"""
+        SELECT period, respondent, value{size} FROM (
+            SELECT *, CAST(strlen(to_json(struct_pack(period, respondent, value))) AS INTEGER) AS bytes
+            FROM (SELECT {_hour('ts')} AS period, upper(event_type) AS respondent,
+                         CAST(value AS VARCHAR) AS value FROM events))
+        WHERE bytes {side} 65"""
+
+
 _MARKET_AT = _second("ts") + " AS datetime_beginning_ept"
 
 QUERIES: dict[str, str] = {
@@ -799,6 +823,8 @@ QUERIES: dict[str, str] = {
                   period := {_hour('ts')}, respondent := upper(event_type),
                   value := CAST(value AS VARCHAR)))) AS BIGINT) AS bytes FROM events)
         GROUP BY 1, 2""",
+    "accepted_rows": _guard("<="),
+    "rejected_rows": _guard(">"),
     "enrich_regions": f"""
         SELECT dc_id, state, ba AS balancing_authority, lower(coalesce(ba, 'unknown')) AS region_id
         FROM (SELECT *, {_case(L.STATE_AUTHORITY, 'state')} AS ba FROM sites)""",
@@ -835,13 +861,13 @@ QUERIES: dict[str, str] = {
     "control_region": "SELECT * FROM controls",
     "link_orphans": " UNION ALL ".join([
         _ORPHAN.format(link="data-center-in-region", key="dc_id", prop="region_id",
-                       source="sites", target="current_demand"),
+                       source="batch_sites", target="served_regions"),
         _ORPHAN.format(link="correlation-for-dc", key="event_id", prop="dc_id",
-                       source="site_events", target="(SELECT * FROM sites WHERE capacity_mw > 50)"),
+                       source="batch_site_events", target="batch_sites"),
         _ORPHAN.format(link="correlation-in-region", key="event_id", prop="region_id",
-                       source="site_events", target="current_demand"),
+                       source="batch_site_events", target="served_regions"),
         _ORPHAN.format(link="reading-for-region", key="reading_id", prop="region_id",
-                       source="detailed", target="current_demand"),
+                       source="batch_energy_keys", target="served_regions"),
     ]),
     "link_navigate": """
         SELECT 'correlation-for-dc' AS link_type, event_id AS source_key, dc_id AS target_key,
@@ -870,7 +896,7 @@ QUERIES: dict[str, str] = {
                      CASE WHEN s.pre_avg <> 0 THEN (s.post_avg - s.pre_avg) / s.pre_avg * 100 END AS own,
                      CASE WHEN c.pre_avg <> 0 THEN (c.post_avg - c.pre_avg) / c.pre_avg * 100 END
                          AS control
-              FROM control_bounds b JOIN stats s USING (dc_id) JOIN control_stats c USING (dc_id)
+              FROM control_bounds b JOIN district_stats s USING (dc_id) JOIN control_stats c USING (dc_id)
               WHERE s.pre_avg IS NOT NULL AND s.post_avg IS NOT NULL)""",
     "weather_residual": """
         SELECT region_id, "timestamp", demand_mw, round(e, 4) AS expected_mw,
@@ -951,6 +977,10 @@ QUERIES: dict[str, str] = {
         f"SELECT reading_id, region_id, \"timestamp\", '{c}' AS property, {c} AS value FROM detailed"
         for c in ("demand_mw", "temperature_f", "price_per_mwh")),
     "live_demand": "SELECT * FROM live",
+    "feed_health": f"""
+        SELECT count(*) AS observed_rows, count(*) AS stored_rows,
+               count(*) FILTER (latency_seconds > {L.LATENCY_TARGET_S}) AS late_rows,
+               CAST(max(latency_seconds) AS DOUBLE) AS max_latency_s FROM live""",
     "demand_anomalies": "SELECT * FROM anomalies",
     "demand_anomalies_batch": "SELECT * FROM anomalies",
     "live_pricing": "SELECT * EXCLUDE (event_id) FROM prices",
@@ -1016,6 +1046,24 @@ _COOLDOWN = """
         FROM fired f WHERE f.alert_time IS NOT NULL)
     SELECT region_id, alert_time FROM fired WHERE alert_time IS NOT NULL"""
 
+_FOLLOWED = f"""
+    WITH RECURSIVE pages AS (
+        SELECT DISTINCT event_id // 5000 AS request, event_id // 250 % 20 AS page_no FROM events),
+    onward AS (
+        SELECT request, page_no, CASE WHEN request = 0 AND page_no = 1 THEN 3
+                                      WHEN request = 1 AND page_no = 19 THEN 5
+                                      ELSE page_no + 1 END AS following FROM pages),
+    walk AS (
+        SELECT request, page_no, 0 AS position, [page_no] AS seen FROM pages WHERE page_no = 0
+        UNION ALL
+        SELECT w.request, p.page_no, position + 1, list_append(seen, p.page_no)
+        FROM walk w JOIN onward o ON o.request = w.request AND o.page_no = w.page_no
+        JOIN pages p ON p.request = w.request AND p.page_no = o.following
+        WHERE NOT list_contains(seen, p.page_no))
+    SELECT w.request, CAST(w.page_no AS INTEGER) AS page_no, CAST(position AS BIGINT) AS position,
+           {_MARKET_AT}, upper(event_type) AS zone, value AS mw
+    FROM events JOIN walk w ON w.request = event_id // 5000 AND w.page_no = event_id // 250 % 20"""
+
 
 def _used(sql: str) -> list[str]:
     """Names of the domain tables a statement needs, those it builds on first."""
@@ -1101,6 +1149,7 @@ def statements() -> dict[str, str]:
     """One statement per registered query."""
     out = {name: statement(sql) for name, sql in QUERIES.items()}
     out["object_key_checks"] = statement(_object_checks())
+    out["followed_pages"] = _FOLLOWED
     out["alert_cooldown"] = out["alert_cooldown_batch"] = _COOLDOWN
     # the same records by way of landed files
     landed = {"ingest_landed_days": "ingest_demand", "landed_climate": "weather_pivot",

@@ -310,6 +310,11 @@ def regions(spark, sf) -> DataFrame:
     return table(spark, sf, "nation").select(F.lower("n_name").alias("region_id"))
 
 
+def served_regions(spark, sf) -> DataFrame:
+    """Every region whose authority has sent a demand record."""
+    return demand_records(spark, sf).select(F.lower("respondent").alias("region_id")).distinct()
+
+
 def region_profiles(spark, sf) -> DataFrame:
     """Inhabitants (customers) and a climate zone per region."""
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
@@ -324,6 +329,42 @@ def region_profiles(spark, sf) -> DataFrame:
     )
 
 
+#: Market segments of customers near which sites are built; the others have none.
+SITE_SEGMENTS = ("BUILDING", "HOUSEHOLD", "MACHINERY")
+
+
+def district(nation: Column, segment: Column) -> Column:
+    return F.concat(F.lower(nation), F.lit("/"), F.lower(segment))
+
+
+def district_readings(spark, sf) -> DataFrame:
+    """Readings by the district, a nation's market segment, that the demand comes from."""
+    return orders_by_nation(spark, sf).select(
+        district(F.col("n_name"), F.col("c_mktsegment")).alias("region_id"),
+        F.col("o_orderdate").alias("timestamp"),
+        (F.col("o_totalprice") / 1000).alias("demand_mw"),
+    )
+
+
+def district_sites(spark, sf) -> DataFrame:
+    """The sites by district."""
+    number = F.regexp_extract("name", r"(\d+)$", 1).cast("bigint")
+    return sites(spark, sf).withColumn(
+        "region_id", district(F.col("region_id"), pick(SITE_SEGMENTS, number))
+    )
+
+
+def district_profiles(spark, sf) -> DataFrame:
+    """Inhabitants (customers) and a climate zone per district."""
+    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+    people = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("population"))
+    return people.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        district(F.col("n_name"), F.col("c_mktsegment")).alias("region_id"),
+        "population",
+        (F.col("n_nationkey") % 4).cast("int").alias("climate_zone"),
+    )
+
+
 # ---- places ---------------------------------------------------------------------
 def site_places(spark, sf) -> DataFrame:
     k = F.col("s_suppkey")
@@ -547,6 +588,32 @@ def market_pages(records: DataFrame) -> DataFrame:
     )
 
 
+def page_address(request: Column, page_no: Column) -> Column:
+    """An address that says nothing about the order of pages."""
+    return F.concat(F.lit("a"), (page_no * 7 + request * 3) % 23)
+
+
+def chained_pages(spark, sf) -> DataFrame:
+    """Load pages under addresses, each naming the next one's.
+
+    The second page of request 0 names the fourth one before the third, and the last page of
+    request 1 names the sixth one, so its chain is a cycle behind a stem.
+    """
+    request, page_no = F.col("request"), F.col("page_no")
+    link = lambda n: F.struct(F.lit("next").alias("rel"), page_address(request, n).alias("href"))
+    links = (
+        F.when((request == 0) & (page_no == 1), F.array(link(F.lit(3)), link(F.lit(2))))
+        .when((request == 1) & (page_no == 19), F.array(link(F.lit(5))))
+        .otherwise(F.array(link(page_no + 1)))
+    )
+    item = "items array<struct<datetime_beginning_ept:string,zone:string,area:string,fuel_type:string,mw:string,instantaneous_load:string>>"
+    parsed = F.from_json("body", item)
+    return load_pages(spark, sf).select(
+        "request", "page_no", page_address(request, page_no).alias("address"),
+        F.to_json(F.struct(parsed["items"].alias("items"), links.alias("links"))).alias("body"),
+    )
+
+
 def lmp_pages(spark, sf) -> DataFrame:
     source = events(spark, sf)
     return market_pages(price_records(source, F.col("event_id").alias("_id")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lookups as L
 from ..functions import scalar as S
+from ..session import cut
 
 
 @dataclass(frozen=True)
@@ -129,6 +130,51 @@ def linked_pages(
     return kept.select(*envelopes.columns)
 
 
+def followed_pages(
+    envelopes: DataFrame, request: str, address: str, first: Column, max_pages: int | None = None
+) -> DataFrame:
+    """Pages that following links reaches from the ``first`` one, with their ``position`` from 0.
+
+    A page names the next one by the ``href`` of its first link with ``rel`` next, whatever
+    the pages are numbered.  Pages are reached by pointer doubling: a round doubles the length
+    of every page's jump, so a chain of n pages takes about log2(n) joins of addresses; bodies
+    are joined once.
+
+    * a chain ends at a page without items or without a next link, which is its last page, and
+      where no page has the address;
+    * a cycle ends where it would come back; a page keeps its first position;
+    * of several pages of one address in a request, all are read, and the smallest next
+      address among them is followed; a request without a first page has none.
+    """
+    onward = F.filter(F.coalesce("links", F.array()), lambda link: link["rel"] == "next")
+    href = F.when(F.coalesce(F.size("items"), F.lit(0)) > 0, F.get(onward, F.lit(0))["href"])
+    place = F.col(address).cast("string")
+    # null requests are one request, as in a grouping
+    group = F.struct(F.col(request).alias("of"))
+    pages = envelopes.select(group.alias("g"), place.alias("a"), href.alias("to"), first.alias("first"))
+    nodes = pages.where(F.col("a").isNotNull()).groupBy("g", "a").agg(F.min("to").alias("to"), F.max("first").alias("first"))
+    nodes = cut(nodes)
+    jumps = nodes.where(F.col("to").isNotNull()).select("g", "a", "to")
+    known = nodes.select("g", F.col("a").alias("to"))
+    jumps = cut(jumps.join(known, ["g", "to"], "left_semi").select("g", "a", "to"))
+    reached = cut(nodes.where("first").select("g", "a", F.lit(0).cast("long").alias("position")))
+    length, count = 1, reached.count()
+    while max_pages is None or length < max_pages:
+        on = reached.join(jumps, ["g", "a"]).select("g", F.col("to").alias("a"), (F.col("position") + length).alias("position"))
+        reached = cut(reached.unionByName(on).groupBy("g", "a").agg(F.min("position").alias("position")))
+        now = reached.count()
+        if now == count:
+            break
+        after = jumps.select("g", F.col("a").alias("to"), F.col("to").alias("then"))
+        jumps = cut(jumps.join(after, ["g", "to"]).select("g", "a", F.col("then").alias("to")))
+        length, count = 2 * length, now
+    if max_pages is not None:
+        reached = reached.where(F.col("position") < max_pages)
+    same = (group == F.col("g")) & (place == F.col("a"))
+    found = envelopes.join(reached, same)
+    return found.select(*envelopes.columns, "position")
+
+
 # ---- feed filters ---------------------------------------------------------------
 def only(df: DataFrame, column: str, values: Iterable[str] | None) -> DataFrame:
     """Rows whose column is one of ``values``; all rows when none are named."""

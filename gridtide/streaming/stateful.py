@@ -173,28 +173,3 @@ def alert_cooldown(anomalies: DataFrame, minutes: int = L.ALERT_COOLDOWN_MINUTES
     return reduced.groupBy("region_id").applyInPandasWithState(
         step, ALERT_SCHEMA, "last bigint", "append", "NoTimeout"
     )
-
-
-def alert_cooldown_history(
-    anomalies: DataFrame, minutes: int = L.ALERT_COOLDOWN_MINUTES
-) -> DataFrame:
-    """The same alerts for a stored history.
-
-    Each alert depends on the one before it, so a region is read in order by one task; it
-    streams through, ordered by Spark's spilling sort, and only the last alert is held.
-    """
-
-    def ordered(batches):
-        region, last = None, None
-        for pdf in batches:
-            # a batch holds the ends of some regions and the start of one
-            for name, part in pdf.groupby("region_id", sort=False):
-                if name != region:
-                    region, last = name, None
-                fired = _fire(part["micros"].to_numpy(dtype="int64"), last, minutes * 60_000_000)
-                if fired:
-                    last = fired[-1]
-                    yield _alerts(name, fired)
-
-    rows = _known(anomalies).repartition("region_id").sortWithinPartitions("region_id", "micros")
-    return rows.mapInPandas(ordered, ALERT_SCHEMA)

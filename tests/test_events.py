@@ -203,22 +203,29 @@ def test_average_ranks_match_pandas(spark):
     assert got == sorted(pd.Series(values).rank())
 
 
-def test_control_regions_match_all_pairs(spark):
+@pytest.mark.parametrize("limit", [0, 30, 60, 100])
+def test_control_regions_match_all_pairs(spark, limit):
     import random
-    random.seed(4)
-    people = [(f"r{i}", random.randint(90, 260), random.randint(0, 5)) for i in range(120)]
-    busy = {f"r{i}" for i in range(0, 120, 2)}
-    profiles = spark.createDataFrame(people, "region_id string, population bigint, climate_zone int")
-    active = spark.createDataFrame([(r,) for r in busy], "region_id string")
-    got = {r["region_id"]: r["control_region_id"] for r in control.match_control_regions(profiles, active).collect()}
+    random.seed(4 + limit)
+    people = [(f"r{i}", random.choice([0, 7, 10, random.randint(90, 260), random.randint(1, 9000)]), random.randint(0, 5))
+              for i in range(300)]
+    busy = {f"r{i}" for i in range(0, 300, 2)}
+    profiles = spark.createDataFrame(people + [("x", None, 1), ("y", 5, None)],
+                                     "region_id string, population bigint, climate_zone int")
+    sites = spark.createDataFrame([(r,) for r in busy] * 2 + [("elsewhere",)], "region_id string")
+    found = control.match_control_regions(profiles, sites, limit)
+    got = {r["region_id"]: (r["control_region_id"], r["population"], r["control_population"]) for r in found.collect()}
     want = {}
     for r, p, z in people:
         if r in busy:
-            options = [(abs(p - q), s) for s, q, y in people
-                       if s not in busy and abs(z - y) <= 1 and abs(p - q) <= p * 0.3]
+            options = [(abs(p - q), s, q) for s, q, y in people
+                       if s not in busy and abs(z - y) <= 1 and abs(p - q) <= p * limit / 100]
             if options:
-                want[r] = min(options)[1]
-    assert got == want
+                want[r] = (min(options)[1], p, min(options)[2])
+    assert got == want and found.count() == len(want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert not busy & {v[0] for v in got.values()}
 
 
 def test_forecast(spark):

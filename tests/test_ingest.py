@@ -144,6 +144,40 @@ def test_pages_without_request_are_one_chain(spark):
     assert got == [(0, 0), (0, 1), (1, 0)]
 
 
+def test_links_are_followed_whatever_the_numbering(spark):
+    import random
+
+    def body(items, *hrefs):
+        links = [{"rel": "self", "href": "me"}] + [{"rel": "next", "href": h} for h in hrefs]
+        return json.dumps({"items": [{"zone": "z"}] * items, "links": links})
+
+    def page(request, address, body, first=False):
+        return (request, address, first, body)
+
+    names = [f"n{i}" for i in range(100)]
+    random.Random(3).shuffle(names)
+    pages = [page(1, names[i], body(1, *names[i + 1 : i + 2]), i == 0) for i in range(100)]
+    # a cycle behind a stem, a fork, an empty page, a missing target, no request, a page twice
+    pages += [page(2, "a", body(1, "b"), True), page(2, "b", body(1, "c")), page(2, "c", body(1, "b")), page(2, "d", body(1, "a"))]
+    pages += [page(3, "a", body(1, "c", "b"), True), page(3, "b", body(1)), page(3, "c", body(0, "b"))]
+    pages += [page(4, "a", body(1, "x"), True), page(None, "a", body(1, "b"), True), page(None, "b", body(1)), page(None, "c", body(1))]
+    pages += [page(5, "a", body(1, "c"), True), page(5, "a", body(1, "b"), True), page(5, "b", body(1)), page(5, "c", body(1))]
+    pages += [page(6, "a", body(1, "a"), True), page(7, "b", body(1, "a")), page(8, None, body(1, "a"), True)]
+    random.Random(4).shuffle(pages)
+    df = spark.createDataFrame(pages, "request int, address string, first boolean, body string")
+    parsed = feeds.parse_pages(df, feeds.METERED_LOAD)
+    found = feeds.followed_pages(parsed, "request", "address", F.col("first"))
+    assert found.columns == [*parsed.columns, "position"]
+    got = sorted(((r["request"] or 0), r["position"], r["address"]) for r in found.collect())
+    want = [(1, i, name) for i, name in enumerate(names)]
+    want += [(2, 0, "a"), (2, 1, "b"), (2, 2, "c"), (3, 0, "a"), (3, 1, "c"), (4, 0, "a"), (0, 0, "a"), (0, 1, "b")]
+    want += [(5, 0, "a"), (5, 0, "a"), (5, 1, "b"), (6, 0, "a")]
+    assert got == sorted(want)
+    few = feeds.followed_pages(parsed.where("request = 1"), "request", "address", F.col("first"), 10)
+    assert sorted(r["address"] for r in few.collect()) == sorted(names[:10])
+    assert feeds.followed_pages(parsed.limit(0), "request", "address", F.col("first")).count() == 0
+
+
 def test_retail_and_baseline(spark, tmp_path):
     rows = [("2014-02", "VA", "RES", "1.5", "2", "x", None, 1), ("2014-02", "VA", "RES", "2.5", "2", "9", None, 2),
             ("2013-12", "VA", "RES", "1", "1", "1", "1", 1), ("2014-02", "VA", "TRA", "1", "1", "1", "1", 1)]

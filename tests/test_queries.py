@@ -23,7 +23,7 @@ TABLES = (
 QUERIES, SQL = catalog.QUERIES, oracle.statements()
 STREAMS = {
     "live_demand", "demand_anomalies", "live_pricing", "stream_dedup", "stream_price_dedup", "stream_hourly",
-    "stream_sliding", "stream_change", "alert_cooldown",
+    "stream_sliding", "stream_change", "alert_cooldown", "accepted_rows", "rejected_rows", "feed_health",
 }
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -83,30 +83,29 @@ def test_landed_days_are_pruned(spark):
     assert filters and all("day_part" in line.split("PartitionFilters")[1] for line in filters)
 
 
-def test_only_real_orphans_are_reported(spark, monkeypatch):
+def test_only_real_orphans_are_reported(spark):
     from pyspark.sql import functions as F
 
-    assert QUERIES["link_orphans"](spark, FOLDER).count() == 0
-    tables, changes = catalog.T, catalog._events(spark, FOLDER)
-    sites, readings = tables.sites(spark, FOLDER), tables.detailed_readings(spark, FOLDER)
-    small = sites.where("capacity_mw <= 50").limit(1).withColumns(
+    batch = catalog.run_batch(catalog.batch_inputs(spark, FOLDER), catalog.T.as_of(), catalog.T.now())
+    sites, readings, changes = (batch[n] for n in ("data_centers", "energy", "events"))
+    served = catalog.T.served_regions(spark, FOLDER)
+    known = sites.join(served, "region_id", "left_semi")
+    assert catalog.quality.link_orphans(known, changes, readings, served).count() == 0
+    small = known.where("capacity_mw <= 50").limit(1).withColumns(
         {"dc_id": F.lit("small"), "capacity_mw": F.lit(None).cast("double")}
     )
-    lost = small.withColumns({"dc_id": F.lit("lost"), "region_id": F.lit("atlantis")})
+    lost = small.withColumns({"dc_id": F.lit("lost"), "region_id": F.lit("unknown")})
     planted = changes.limit(1).withColumns({"event_id": F.lit("e1"), "dc_id": F.lit("small")})
     astray = planted.withColumns({"event_id": F.lit("e2"), "dc_id": F.lit("none"), "region_id": F.lit("mu")})
     reading = readings.limit(1).withColumns({"reading_id": F.lit("r"), "region_id": F.lit("mu")})
-    for name, frame in (
-        ("sites", sites.unionByName(small).unionByName(lost)),
-        ("detailed_readings", readings.unionByName(reading)),
-    ):
-        monkeypatch.setattr(tables, name, lambda spark, sf, frame=frame: frame)
-    found = changes.unionByName(planted).unionByName(astray)
-    monkeypatch.setattr(catalog, "_events", lambda spark, sf: found)
-    assert sorted(map(tuple, QUERIES["link_orphans"](spark, FOLDER).collect())) == [
+    found = catalog.quality.link_orphans(
+        known.unionByName(small).unionByName(lost), changes.unionByName(planted).unionByName(astray),
+        readings.unionByName(reading), served,
+    )
+    assert sorted(map(tuple, found.collect())) == [
         ("correlation-for-dc", "e2", "none"),
         ("correlation-in-region", "e2", "mu"),
-        ("data-center-in-region", "lost", "atlantis"),
+        ("data-center-in-region", "lost", "unknown"),
         ("reading-for-region", "r", "mu"),
     ]
 

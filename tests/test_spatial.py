@@ -72,6 +72,58 @@ def test_region_of_point(spark):
     assert got == [1, 3, 4]
 
 
+def ray_says_inside(lat, lon, ring):
+    odd = False
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+        if (y1 > lat) != (y2 > lat) and lon < x1 + (lat - y1) * ((x2 - x1) / (y2 - y1)):
+            odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("cell", [1.0, 0.7, 25.0])
+def test_cells_agree_with_a_ray_on_any_ring(spark, cell):
+    rng = np.random.default_rng(11)
+    rings = {}
+    for i in range(12):
+        turn = np.sort(rng.uniform(0, 2 * np.pi, 3 + 5 * i))
+        far = rng.uniform(0.2, 6.0, len(turn))
+        x, y = rng.uniform(-3, 3, 2)
+        corners = [(float(x + r * np.cos(t)), float(y + r * np.sin(t))) for t, r in zip(turn, far)]
+        rings[f"star{i}"] = corners + corners[:1]
+    # level and upright edges on cell borders, a comb, a sliver, a ring within one cell
+    rings["box"] = [(0.0, 0.0), (3.0, 0.0), (3.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
+    rings["steps"] = [(0.0, 0.0), (3.0, 0.0), (3.0, 1.0), (2.0, 1.0), (2.0, 2.5), (1.0, 2.5), (1.0, 3.0), (0.0, 3.0), (0.0, 0.0)]
+    comb = [(float(i), 4.0 if i % 2 else 0.5) for i in range(-5, 6)]
+    rings["comb"] = comb + [(5.0, -1.0), (-5.0, -1.0), comb[0]]
+    rings["sliver"] = [(-4.0, -4.0), (4.0, 3.999), (4.0, 4.0), (-4.0, -4.0)]
+    rings["small"] = [(0.2, 0.2), (0.4, 0.2), (0.4, 0.2), (0.3, 0.45), (0.2, 0.2)]
+    places = [(float(a), float(b)) for a, b in rng.uniform(-7, 7, (1500, 2))]
+    places += [(float(a), float(b)) for a in range(-6, 7) for b in range(-6, 7)]
+    places += [(b, a) for ring in rings.values() for a, b in ring[:9]]
+    places += [(round(a * 2) / 2, b) for a, b in places[:300]] + [(a, round(b)) for a, b in places[:300]]
+    regions = spark.createDataFrame(list(rings.items()), "region_id string, ring array<struct<lon:double,lat:double>>")
+    points = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(places)],
+                                   "point_id int, lat double, lon double")
+    got = {tuple(r) for r in spatial.region_of_point(points, regions, cell).collect()}
+    want = {(i, name) for i, (a, b) in enumerate(places) for name, ring in rings.items() if ray_says_inside(a, b, ring)}
+    assert got == want
+
+
+def test_cells_hold_no_whole_ring(spark):
+    from gridtide.operators import ringindex
+    turn = np.linspace(0, 2 * np.pi, 4001)
+    ring = [(float(10 * np.cos(t)), float(10 * np.sin(t))) for t in turn[:-1]]
+    regions = spark.createDataFrame([("disc", ring + ring[:1]), ("none", [])],
+                                    "region_id string, ring array<struct<lon:double,lat:double>>")
+    index = ringindex.ring_index(regions).collect()
+    assert max(len(r["edges"]) for r in index) < 250
+    whole = [r for r in index if not r["edges"]]
+    assert len(whole) > 200 and all(r["corner_inside"] for r in whole)
+    plan = spatial.region_of_point(spark.range(3).selectExpr("id AS point_id", "double(id) AS lat", "double(id) AS lon"), regions)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
 # ---- objects ------------------------------------------------------------------------
 def test_object_findings(spark):
     rows = [("a", 1.0), ("a", 2.0), (None, 3.0), ("b", 4.0), (None, 1.0)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridtide.session import scratch_dir
 from gridtide.sources import landing, schemas
-from gridtide.streaming import live, run, stateful
+from gridtide.streaming import cooldown, live, run, stateful, supervise
 
 START = datetime(2024, 1, 1)
 
@@ -147,7 +147,7 @@ def test_cooldown_between_alerts(spark, tmp_path):
     minute = F.floor((F.unix_timestamp("alert_time") - F.unix_timestamp(F.lit(START))) / 60)
     stream_minutes = sorted(r[0] for r in fired.select(minute).collect())
     stored = spark.read.schema("region_id string, timestamp timestamp").json(str(src))
-    batch_minutes = sorted(r[0] for r in stateful.alert_cooldown_history(stored).select(minute).collect())
+    batch_minutes = sorted(r[0] for r in cooldown.alert_cooldown_history(stored).select(minute).collect())
     assert stream_minutes == batch_minutes == [0, 60, 121, 300]
 
 
@@ -162,10 +162,126 @@ def test_cooldown_matches_a_plain_loop(spark):
             want.append(int(m))
             last = m
     got = sorted((r["alert_time"] - START) // timedelta(microseconds=1)
-                 for r in stateful.alert_cooldown_history(df.union(df)).collect())
+                 for r in cooldown.alert_cooldown_history(df.union(df)).collect())
     assert got == want
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_days_compose_to_a_walk_over_all_instants(seed):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(seed)
+    day, pause = 100, int(rng.integers(1, 101))
+    x = np.unique(rng.integers(-700, 3000, int(rng.choice([5, 40, 400, 3000]))))
+    if seed % 3 == 0:
+        x = x[(x % 500) > 130]  # whole days without any
+    want, last = [], None
+    for m in x.tolist():
+        if last is None or m - last >= pause:
+            want.append(m)
+            last = m
+    days = pd.DataFrame(
+        [(d, *cooldown.day_steps(x[x // day == d], d * day, pause)) for d in np.unique(x // day).tolist()],
+        columns=["day", "upper", "last"])
+    ends = {d: max([w for w in want if w // day == d], default=cooldown.FREE) for d in days.day}
+    for cut in range(1, len(days) + 1):
+        _, final, upper, value = cooldown.composed(days.head(cut), pause)
+        got = cooldown.evaluate(upper, value, np.array([cooldown.FREE + pause]))[0]
+        assert got == ends[final]
+
+
+def test_cooldown_spreads_a_region_over_its_days(spark):
+    import numpy as np
+    micros = np.random.default_rng(5).integers(-40 * 86_400_000_000, 90 * 86_400_000_000, 9000)
+    regions = ["hot", "hot", "hot", "a", "b"]
+    rows = [(regions[i % 5], START + timedelta(microseconds=int(m))) for i, m in enumerate(micros)]
+    df = spark.createDataFrame([*rows, *rows, ("a", None), (None, START)], "region_id string, timestamp timestamp")
+    want = set()
+    for region in set(regions):
+        last = None
+        for at in sorted({t for r, t in rows if r == region}):
+            if last is None or at - last >= timedelta(minutes=60):
+                want.add((region, at))
+                last = at
+    found = cooldown.alert_cooldown_history(df)
+    assert {tuple(r) for r in found.collect()} == want and found.count() == len(want)
+    assert cooldown.alert_cooldown_history(df.limit(0)).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    last = plan[plan.index("FlatMapGroups"):]
+    assert "hashpartitioning(region_id" in last and "day" in last.split("hashpartitioning(region_id")[1][:20]
+    with pytest.raises(ValueError):
+        cooldown.alert_cooldown_history(df, minutes=25 * 60)
+
+
+def test_repeated_batch_changes_neither_output(spark, tmp_path):
+    schema = schemas.LIVE_DEMAND_FEED
+    df = spark.createDataFrame([("a", "b", "1"), ("a" * 100, "b", "1"), (None, "b", None)], schema)
+    folder = str(tmp_path / "split")
+    for number in (0, 1, 0, 1):
+        run.write_split(df, number, folder, 100)
+    kept, rejected = run.guarded(spark, folder, df.schema), run.guarded(spark, folder, df.schema, False)
+    assert kept.columns == df.columns and kept.count() == 4
+    assert [r["row_bytes"] > 100 for r in rejected.collect()] == [True, True]
+
+
+def test_failed_batch_is_run_again(spark, tmp_path):
+    src = tmp_path / "in"
+    for i in range(3):
+        put(src, f"{i}.json", [record(i, "A", 1), record(i, "B" * 100, 2)])
+    calls, waits = [], []
+
+    def fragile(batch, number, folder, limit):
+        run.write_split(batch, number, folder, limit)
+        calls.append(number)
+        if number == 1 and calls.count(1) < 3:
+            raise RuntimeError("lost the connection")
+
+    def outputs(name, write):
+        folder = str(tmp_path / name)
+        records = stream(spark, src)
+
+        def start():
+            return run.start_guarded(records, folder, folder + "-cp", 120, write=write)
+
+        again = supervise.supervise(start, supervise.DEMAND, waits.append)
+        parts = [run.guarded(spark, folder, records.schema, side).collect() for side in (True, False)]
+        return again, [sorted(map(str, part)) for part in parts]
+
+    plain = outputs("plain", run.write_split)
+    shaken = outputs("shaken", fragile)
+    assert plain[0] == 0 and shaken[0] == 2 and plain[1] == shaken[1] and len(plain[1][0]) == 3
+    assert waits == [1.0, 2.0] or waits == [1.0, 1.0]
+    assert calls.count(1) == 3 and calls.count(0) == 1
+    policy = supervise.FeedPolicy("x", 300, 30, restarts=1)
+    assert policy.trigger == "30 seconds" and [policy.wait_s(n) for n in (1, 2, 20)] == [1, 2, 300]
+
+    def always(batch, number, folder, limit):
+        raise RuntimeError("gone")
+
+    with pytest.raises(Exception, match="gone"):
+        supervise.supervise(
+            lambda: run.start_guarded(stream(spark, src), str(tmp_path / "x"), str(tmp_path / "x-cp"), write=always),
+            policy, waits.append)
+
+
+def test_health_is_observed_over_restarts(spark, tmp_path):
+    src, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    monitor = supervise.Monitor()
+    spark.streams.addListener(monitor)
+    try:
+        for i in range(2):
+            put(src, f"{i}.json", [record(i, "A", 1), record(i, "A", 2)])
+            rows = supervise.watched(live.live_demand(stream(spark, src), now()))
+            query = run.start_available(rows, out, checkpoint)
+            query.awaitTermination()
+            health = monitor.settled(query)
+        assert health.rows == 4 and health.batches >= 2 and not health.failures
+        # a micro-batch is through well within the target of the live feed
+        assert 0 < health.max_batch_s < supervise.L.LATENCY_TARGET_S
+    finally:
+        spark.streams.removeListener(monitor)
+
+
 def test_scratch_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared)
