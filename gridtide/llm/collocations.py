@@ -36,10 +36,12 @@ UNKNOWN = "und"
 BLOCK_WORDS, GROUP_SUFFIXES = 1 << 20, 1 << 20
 #: Buckets in which suffixes are counted by their leading words: powers of two.
 FEWEST_BUCKETS, MOST_BUCKETS = 12, 22
-#: Partitions this small are counted in one step.
-SMALL = 64
+#: Partitions this small are sorted and counted in one step.
+SMALL = 1 << 12
 
-_PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
+#: Every mark that ends a piece is written as a comma, which no word can hold.
+END = b","
+_MARKS = bytes.maketrans(b".;:!?\n\x0b\x0c\r\t", END * 9 + b" ")
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
@@ -52,19 +54,17 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]
 
     def close():
         for lang, own in index.items():
-            yield lang, [b"", *own], np.fromiter(chain(ids[lang], (0,) * LONGEST), np.int32)
+            yield lang, list(own), np.fromiter(chain(ids[lang], (0,) * LONGEST), np.int32)
 
     for part in unpacked(batches):
         for text, lang in zip(*part):
             if lang not in index:
-                index[lang], ids[lang] = defaultdict(count(1).__next__), []
+                index[lang], ids[lang] = defaultdict(count().__next__), []
+                index[lang][END]  # number 0
             number, found = index[lang].__getitem__, ids[lang]
             before = len(found)
-            for piece in text.lower().translate(_PIECES).split(b"\n"):
-                words = piece.split()
-                if words:
-                    found += map(number, words)
-                    found.append(0)
+            found += map(number, text.lower().translate(_MARKS).replace(END, b" , ").split())
+            found.append(0)
             held += len(found) - before
             if held >= BLOCK_WORDS:
                 yield from close()
@@ -98,10 +98,19 @@ def suffixes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(columns, axis=1).astype(np.int32), n
 
 
-def leading(rows: np.ndarray, known: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the first one, two, ... words of suffixes; ``known`` are those of words."""
-    found = [known[rows[:, 0]]]
-    for column in rows.T[1:]:
+def places(ids: np.ndarray) -> list[np.ndarray]:
+    """The first, second, ... of the leading words at each word, 0 behind the end of its piece."""
+    at = np.flatnonzero(ids[:-LONGEST] > 0)
+    found = [ids[at]]
+    for step in range(1, LONGEST - 1):
+        found.append(np.where(found[-1] > 0, ids[at + step], 0))
+    return found
+
+
+def leading(columns: list[np.ndarray], known: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the first one, two, ... words; ``known`` are those of words."""
+    found = [known[columns[0]]]
+    for column in columns[1:]:
         found.append(extended(found[-1], known[column]))
     return found
 
@@ -113,11 +122,11 @@ def heat(docs: DataFrame, bits: int) -> DataFrame:
         table = np.zeros((LONGEST - 1, 1 << bits), np.int64)
         totals: dict[str, int] = defaultdict(int)
         for lang, words, ids in blocks(batches):
-            rows, n = suffixes(ids)
-            totals[lang] += int(n.sum())
-            for depth, value in enumerate(leading(rows, hashes(lang, words))[:-1]):
+            rows = places(ids)
+            totals[lang] += len(rows[0])
+            for depth, value in enumerate(leading(rows, hashes(lang, words))):
                 bucket = (value >> np.uint64(64 - bits)).astype(np.int64)
-                table[depth] += np.bincount(bucket, weights=n, minlength=1 << bits).astype(np.int64)
+                table[depth] += np.bincount(bucket, minlength=1 << bits)
         yield _heat_batch(list(totals), [0] * len(totals), [0] * len(totals), list(totals.values()))
         for depth, row in enumerate(table, 1):
             at = np.flatnonzero(row)
@@ -135,14 +144,15 @@ def _heat_batch(lang, depth, bucket, n) -> pa.RecordBatch:
     )
 
 
-ROUTED = "lang string, depth int, cell long, words array<binary>, ids array<int>, n array<long>"
+ROUTED = "lang string, depth int, cell long, words array<binary>, ids array<int>, n array<int>"
 
 
 def routed(docs: DataFrame, hot: list[list[int]], bits: int, cells: int) -> DataFrame:
     """Suffixes of each block, a row for each group they are routed to.
 
     ``depth`` is the number of leading words that the suffixes of a group share the routing
-    by; ``ids`` has LONGEST places in ``words``, from 1, for each suffix.
+    by; ``ids`` has the places in ``words``, from 1, of all first words, then of all second ones and
+    so on: they come in order, so the long runs of equal numbers take little room in a shuffle.
     """
 
     def run(batches):
@@ -153,7 +163,7 @@ def routed(docs: DataFrame, hot: list[list[int]], bits: int, cells: int) -> Data
             rows, n = suffixes(ids)
             if not len(rows):
                 continue
-            leads = leading(rows, hashes(lang, words))
+            leads = leading(list(rows.T), hashes(lang, words))
             depth, route, going = np.ones(len(rows), np.int64), leads[0].copy(), np.ones(len(rows), bool)
             for d in range(LONGEST - 1):
                 going &= marks[d, (leads[d] >> np.uint64(64 - bits)).astype(np.int64)]
@@ -169,16 +179,20 @@ def routed(docs: DataFrame, hot: list[list[int]], bits: int, cells: int) -> Data
 
 def _routed_batches(lang, words, rows, n, depth, cell, ends) -> Iterator[pa.RecordBatch]:
     whole = pa.array(words, pa.binary())
+    held, number = np.zeros(len(words), bool), np.zeros(len(words), np.int32)
     first = 0
     for some in np.array_split(ends, max(1, len(ends) // 256)):
         begin, own, places, sizes = first, [], [], []
         for end in some:
-            used, place = np.unique(rows[first:end], return_inverse=True)
-            # 0, the end of a piece, has no entry in the words
-            has_end = used[0] == 0
-            own.append(used[1:] if has_end else used)
-            sizes.append(len(own[-1]))
-            places.append(place.reshape(-1) + (0 if has_end else 1))
+            part = rows[first:end]
+            held[part] = True
+            held[0] = False  # the end of a piece has no entry in the words
+            used = np.flatnonzero(held)
+            held[used] = False
+            number[used] = np.arange(1, len(used) + 1)
+            own.append(used)
+            sizes.append(len(used))
+            places.append(number[part].T.reshape(-1))
             first = end
         offsets = np.append(begin, some) - begin
         counts = n[begin:first]
@@ -189,8 +203,8 @@ def _routed_batches(lang, words, rows, n, depth, cell, ends) -> Iterator[pa.Reco
                 pa.array(depth[heads], pa.int32()),
                 pa.array(cell[heads], pa.int64()),
                 pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), whole.take(pa.array(np.concatenate(own)))),
-                pa.ListArray.from_arrays((offsets * LONGEST).astype(np.int32), pa.array(np.concatenate(places).astype(np.int32))),
-                pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(counts, pa.int64())),
+                pa.ListArray.from_arrays((offsets * LONGEST).astype(np.int32), pa.array(np.concatenate(places))),
+                pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(counts, pa.int32())),
             ],
             ["lang", "depth", "cell", "words", "ids", "n"],
         )
@@ -210,19 +224,22 @@ def quicksort(rows: np.ndarray, n: np.ndarray, whole: int, least: int) -> Iterat
         if not len(at) or complete and int(n[at].sum()) < least:
             continue
         key = rows[at, depth]
-        if len(at) <= SMALL:
-            parts = [at[key == word] for word in set(key.tolist())]
-        else:
+        if len(at) > SMALL:
             pivot = np.partition(key[:: len(key) // 9], 4)[4]
             todo += [(at[key < pivot], depth), (at[key > pivot], depth)]
-            parts = [at[key == pivot]]
-        for same in parts:
-            if not len(same) or rows[same[0], depth] == 0:
-                continue
-            size = int(n[same].sum())
-            if complete and size < least:
-                continue
-            yield rows[same[0], : depth + 1], size
+            at, key = at[key == pivot], key[:0]
+            firsts, sizes = np.zeros(1, np.int64), n[at].sum(keepdims=True)
+        else:
+            order = np.argsort(key, kind="stable")
+            at, key = at[order], key[order]
+            firsts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            sizes = np.add.reduceat(n[at], firsts)
+        ends = np.append(firsts[1:], len(at))
+        words = rows[at[firsts], depth]
+        taken = (words > 0) & (sizes >= least) if complete else words > 0
+        for i in np.flatnonzero(taken).tolist():
+            same = at[firsts[i] : ends[i]]
+            yield rows[same[0], : depth + 1], int(sizes[i])
             if depth + 1 < rows.shape[1]:
                 todo.append((same, depth + 1))
 
@@ -236,8 +253,8 @@ class Group:
 
     def add(self, words: list[bytes], ids: np.ndarray, n: np.ndarray) -> None:
         number = np.fromiter(chain((0,), map(self.index.__getitem__, words)), np.int32)
-        self.rows.append(number[ids.reshape(-1, LONGEST)])
-        self.n.append(n)
+        self.rows.append(number[ids.reshape(LONGEST, -1).T])
+        self.n.append(n.astype(np.int64))
         self.held += len(n)
         if self.held > self.limit:
             self.combine()
