@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .support import BROADCAST_ROWS, as_bytes, cut, per_text, with_columns
+from .support import BROADCAST_ROWS, as_bytes, cut, per_text, spare, with_columns
 
 #: Texts with more tokens are marked.
 LIMIT = 4096
@@ -140,13 +140,14 @@ def token_counts(
     content = tokenizer.normal(F.col(text))
     digest = F.unhex(F.sha2(content.cast("binary"), 256))
     add_missing(docs.select(digest.alias("digest"), content.alias("content")), tokenizer, cache)
+    own_digest, its_digest, counts = spare(docs, "_own", "_digest", "_tokens")
     # cut, so that the join reads a plain exchange, which adaptive execution splits where one
     # digest holds many rows
     known = cut(stored(docs.sparkSession, cache, tokenizer.version()))
-    known = known.select(F.col("digest").alias("_digest"), F.col("n_tokens").alias("_tokens"))
+    known = known.select(F.col("digest").alias(its_digest), F.col("n_tokens").alias(counts))
     size = F.length(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")))
     # sizes and digests are made before the join, so a text nobody selects is not shuffled
-    own = with_columns(docs, {"n_bytes": size.cast("long"), "_key": digest})
-    own = own.join(known, F.col("_key") == F.col("_digest"))
-    counts = {"n_tokens": F.col("_tokens"), "over_limit": F.col("_tokens") > limit}
-    return with_columns(own, counts).drop("_key", "_digest", "_tokens")
+    own = with_columns(docs, {"n_bytes": size.cast("long"), own_digest: digest})
+    own = own.join(known, F.col(own_digest) == F.col(its_digest))
+    found = {"n_tokens": F.col(counts), "over_limit": F.col(counts) > limit}
+    return with_columns(own, found).drop(own_digest, its_digest, counts)
