@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .support import BROADCAST_ROWS, cut, with_columns
+from .support import BROADCAST_ROWS, cut, spare, with_columns
 
 SEED = 17
 #: Production weights; a source that is not named, or null, has weight 1.
@@ -93,47 +93,82 @@ def replicate(
     """
     known = cut(rates(docs, WEIGHTS if weights is None else weights, source, text))
     few = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    known = known.select(F.col("source").alias("_source"), "rate", "parts", F.col("table").alias("_table"))
-    match = F.col(source).eqNullSafe(F.col("_source"))
+    rated, of = spare(docs, "_rated", "_of")
+    known = known.select(F.col("source").alias(of), F.struct("parts", "table").alias(rated))
+    match = F.col(source).eqNullSafe(F.col(of))
     # beyond the checked size Spark joins by shuffle and splits a hot source
     joined = docs.join(F.broadcast(known) if few else known, match)
+    parts, table = F.col(rated)["parts"], F.col(rated)["table"]
     draws = F.transform(
-        F.sequence(F.lit(1), F.col("parts")),
-        lambda i: F.size(F.filter(F.col("_table"), lambda p: p <= unit(seed, F.col(key), i))),
+        F.sequence(F.lit(1), parts), lambda i: F.size(F.filter(table, lambda p: p <= unit(seed, F.col(key), i)))
     )
     copies = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
-    named = with_columns(joined, {"copies": copies}).drop("_source", "rate", "parts", "_table")
+    named = with_columns(joined, {"copies": copies}).drop(rated, of)
     # an empty sequence would count down, so documents without copies go first
     return with_columns(
         named.where("copies > 0"), {"copy": F.explode(F.sequence(F.lit(0), F.col("copies") - 1))}
     )
 
 
-def shuffled(rows: DataFrame, seed: int = SEED, key: str = "doc_id") -> DataFrame:
+def _placed(rows: DataFrame, key: str, mix: str, seed: int, bucket_rows: int) -> DataFrame:
+    """Add ``mix``: a number in [0, 1) hashed from seed, id and copy.
+
+    Rows of one id that are more than a bucket holds (a null id may be a third of all) would
+    share few numbers; for those the number is hashed from the row's place as well.  Places are
+    read from a written copy of the rows, so that every later pass sees the same ones.
+    """
+    number = unit(seed + 1, F.col(key), F.col("copy"))
+    ident, marked, place = spare(rows, "_id", "_heavy", "_place")
+    counts = rows.groupBy(F.col(key).alias(ident)).agg(F.count("*").alias("n"))
+    heavy = cut(counts.where(F.col("n") > bucket_rows).select(ident))
+    # as many ids as buckets at most
+    many = heavy.count()
+    if not many:
+        return with_columns(rows, {mix: number})
+    heavy = heavy.withColumn(marked, F.lit(True))
+    heavy = F.broadcast(heavy) if many <= BROADCAST_ROWS else heavy
+    stored = cut(rows).withColumn(place, F.monotonically_increasing_id())
+    joined = stored.join(heavy, F.col(key).eqNullSafe(F.col(ident)), "left")
+    own = unit(seed + 1, F.col(key), F.col("copy"), F.col(place))
+    return with_columns(joined, {mix: F.when(F.col(marked), own).otherwise(number)}).drop(ident, marked, place)
+
+
+def shuffled(
+    rows: DataFrame, seed: int = SEED, key: str = "doc_id", bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
     """Add ``position``: a gapless global order by a hash of id and copy.
 
     The hash is cut into buckets of about equal size; a bucket's first position is the number
     of rows in the buckets before it, so no task orders more than one bucket.
+
+    * a null id is an id; rows that repeat id and copy stand in any order, and an id with more
+      rows than a bucket is spread by the places of its rows;
+    * texts are not read; an empty table gives an empty result; an input column ``position``
+      is replaced, all others stay.
     """
-    mixed = with_columns(rows, {"_mix": unit(seed + 1, F.col(key), F.col("copy"))})
-    ids = cut(mixed.groupBy(F.floor(F.col("_mix") * 4096).alias("_part")).count())
+    mix, bucket, before = spare(rows, "_mix", "_bucket", "_before")
+    mixed = _placed(rows, key, mix, seed, bucket_rows)
+    ids = cut(mixed.groupBy(F.floor(F.col(mix) * 4096).alias(bucket)).count())
     many = ids.agg(F.sum("count")).first()[0] or 0
-    step = max(1, 2 ** math.ceil(math.log2(max(1, many / BUCKET_ROWS / 4096))))
-    fine = F.floor(F.col("_mix") * (4096 * step))
-    counts = ids.select(F.col("_part").alias("_bucket"), "count")
-    if step > 1:
-        counts = mixed.groupBy(fine.alias("_bucket")).count()
-    before = F.coalesce(
-        F.sum("count").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    starts = counts.select("_bucket", before.alias("_before"))
-    order = Window.partitionBy("_bucket").orderBy("_mix", key, "copy")
-    placed = with_columns(mixed, {"_bucket": fine}).join(starts, "_bucket")
-    place = F.col("_before") + F.row_number().over(order) - 1
-    return with_columns(placed, {"position": place}).drop("_mix", "_bucket", "_before")
+    step = max(1, 2 ** math.ceil(math.log2(max(1, many / bucket_rows / 4096))))
+    fine = F.floor(F.col(mix) * (4096 * step))
+    counts = ids if step == 1 else mixed.groupBy(fine.alias(bucket)).count()
+    so_far = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col(bucket), F.coalesce(F.sum("count").over(so_far), F.lit(0)).alias(before))
+    order = Window.partitionBy(bucket).orderBy(mix, key, "copy")
+    placed = with_columns(mixed, {bucket: fine}).join(starts, bucket)
+    place = F.col(before) + F.row_number().over(order) - 1
+    return with_columns(placed, {"position": place}).drop(mix, bucket, before)
 
 
 def dealt(rows: DataFrame, seed: int = SEED, key: str = "doc_id") -> DataFrame:
-    """Rows in a global random order by the same hash, one exchange, without positions."""
-    mixed = with_columns(rows, {"_mix": unit(seed + 1, F.col(key), F.col("copy"))})
-    return mixed.repartition("_mix").sortWithinPartitions("_mix", key, "copy").drop("_mix")
+    """Rows in a global random order by the same hash, one exchange, without positions.
+
+    Rows are dealt by id, copy and place, so rows that repeat an id, or have none, are spread
+    over all partitions.  Texts are whole, repeated rows stay repeated, an empty table gives
+    an empty result, and all input columns stay.
+    """
+    mix, place = spare(rows, "_mix", "_place")
+    mixed = with_columns(rows, {mix: unit(seed + 1, F.col(key), F.col("copy"))})
+    mixed = mixed.withColumn(place, F.xxhash64(mix, F.monotonically_increasing_id()))
+    return mixed.repartition(place).sortWithinPartitions(mix, place).drop(mix, place)

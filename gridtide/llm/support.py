@@ -55,6 +55,17 @@ def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*kept, *[value.alias(name) for name, value in columns.items()])
 
 
+def spare(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of a table has, whatever the case."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive parts of a binary array that are small enough to unpack."""
     ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy()
