@@ -27,6 +27,8 @@ TEMPLATE = """\
 {{ "</s>" ~ "\\n" }}
 {%- endfor -%}
 """
+#: What ends a turn.
+END = "</s>\n"
 #: Written as read from the tables; the contract's own conversation.
 PROBE = (-7, "</s>[INST] ok [/INST]")
 
@@ -60,9 +62,9 @@ def read_turns(pieces: Iterable[str]) -> Iterator[tuple[str, str]]:
     held = ""
     for piece in pieces:
         held += piece
-        if not held.endswith("</s>\n"):
+        if not held.endswith(END):
             continue
-        for turn in held[:-5].split("</s>\n"):
+        for turn in held[: -len(END)].split(END):
             marker, role, text = re.fullmatch(r"(<\|turn\|>)(.*?)<\|text\|>(.*)", turn, re.S).groups()
             yield unescape(role), unescape(text)
         held = ""
@@ -76,32 +78,33 @@ FORMATTED = (
 
 
 class Digest:
-    """Digests of one conversation, fed turn by turn with what was rendered."""
+    """Digests of one conversation, read back from its formatted rows and their loss spans."""
 
     def __init__(self):
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n, self.loss_chars, self.chars = 0, 0, 0
 
-    def watch(self, pieces: Iterator[tuple[str, bool]]) -> Iterator[str]:
-        """Pass the text on and take in what is under the mask."""
-        for text, generated in pieces:
+    def read(self, rows: Iterable[tuple[str, list[dict]]]) -> tuple:
+        for role, text in read_turns(self._passed(rows)):
+            self.n += 1
+            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        return self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+    def _passed(self, rows: Iterable[tuple[str, list[dict]]]) -> Iterator[str]:
+        """The texts, and on the way what their spans cover, with the escapes taken out."""
+        for text, spans in rows:
             self.chars += len(text)
-            if generated:
-                plain = unescape(text)
+            for span in spans:
+                plain = unescape(text[span["start"] : span["end"]])
                 self.loss_chars += len(plain)
                 self.loss.update(plain.encode("utf-8", "surrogatepass"))
             yield text
 
-    def read(self, pieces: Iterator[tuple[str, bool]]) -> tuple:
-        for role, text in read_turns(self.watch(pieces)):
-            self.n += 1
-            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-        return self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
-
 
-def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[object, Iterator[dict]]]:
+def _runs(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[object, Iterator[tuple]]]:
     """Consecutive rows of one conversation, as they stream by."""
-    rows = (row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(3))))
+    names = ["conv_id", *columns]
+    rows = (row for b in batches for row in zip(*(b.column(n).to_pylist() for n in names)))
     waiting = next(rows, None)
     while waiting is not None:
         conv = waiting[0]
@@ -110,11 +113,11 @@ def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[object, Iterator[
             nonlocal waiting
             while waiting is not None and waiting[0] == conv:
                 row, waiting = waiting, next(rows, None)
-                yield {"role": row[1] or "", "text": row[2] or ""}
+                yield row[1:]
 
         own = run()
         yield conv, own
-        for _ in own:  # whatever a template left unread
+        for _ in own:  # whatever a reader left
             pass
 
 
@@ -124,31 +127,49 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
     return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
+SPANS = "array<struct<start:long,end:long>>"
+
+
 def formatted(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """``conv_id, turn_index, formatted, loss_spans``: each turn as the template writes it.
 
-    A span is (start, end) in code points of its turn.  One row a turn, so the text of a long
-    conversation is never held as one string.
+    A span is (start, end) in code points of its row.  One row a turn, so the text of a long
+    conversation is never held as one string; the rows of a conversation, in the order of
+    turn_index, make up all that the template writes.
+
+    * a row ends where a turn does; what a template writes behind the last end of a turn, or
+      all of it if it ends turns in another way, is a row as well;
+    * a null role or text is empty; a null conv_id is one conversation; null turns come first;
+    * repeated rows are repeated turns, equal turns are ordered by role, then text;
+    * a conversation for which nothing is written, and an empty table, give no rows; other
+      columns are ignored.
     """
 
     def run(batches):
-        for conv, turns in _runs(batches):
+        for conv, turns in _runs(batches, ["role", "text"]):
             index, text, spans = 0, "", []
             out = []
-            for piece, generated in render(turns, template):
-                if generated:
-                    spans.append({"start": len(text), "end": len(text) + len(piece)})
+            read = ({"role": role or "", "text": said or ""} for role, said in turns)
+            for piece, generated in render(read, template):
+                if generated and piece:
+                    start = len(text)
+                    if spans and spans[-1]["end"] == start:
+                        spans[-1]["end"] += len(piece)
+                    else:
+                        spans.append({"start": start, "end": start + len(piece)})
                 text += piece
-                if text.endswith("</s>\n"):
+                if text.endswith(END):
                     out.append((conv, index, text, spans))
                     index, text, spans = index + 1, "", []
                 if len(out) == 256:
                     yield _batch(out)
                     out = []
+            if text:
+                out.append((conv, index, text, spans))
             if out:
                 yield _batch(out)
 
-    schema = "conv_id long, turn_index long, formatted string, loss_spans array<struct<start:long,end:long>>"
+    schema = f"conv_id long, turn_index long, formatted string, loss_spans {SPANS}"
     return ordered_turns(conversations).drop("turn").mapInArrow(run, schema)
 
 
@@ -162,20 +183,20 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def format_digests(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """One row a conversation, read back from what the template wrote.
+    """One row a conversation, read back from the rows and spans of ``formatted``.
 
     A digest follows the order of turns, so a conversation streams through one task; the task
     holds one turn of it at a time, and long ones are spilled by the sort, not gathered.
 
-    * a null role or text is empty; a null conv_id is one conversation; null turns come first;
-    * repeated rows are repeated turns, equal turns are ordered by role, then text;
-    * an empty table gives an empty result; other columns are ignored.
+    Nulls, repeated rows, empty tables and other columns are as in ``formatted``.  A template
+    whose output does not end with a turn raises a ValueError.
     """
 
     def run(batches):
         out = []
-        for conv, turns in _runs(batches):
-            out.append((conv, *Digest().read(render(turns, template))))
+        # the rows come as they were written, in the same task
+        for conv, rows in _runs(batches, ["formatted", "loss_spans"]):
+            out.append((conv, *Digest().read(rows)))
             if len(out) == 1024:
                 yield digests(out)
                 out = []
@@ -187,7 +208,7 @@ def format_digests(conversations: DataFrame, template: str = TEMPLATE) -> DataFr
         names = ["conv_id", *(x.split()[0] for x in FORMATTED.split(", "))]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return ordered_turns(conversations).drop("turn").mapInArrow(run, f"conv_id long, {FORMATTED}")
+    return formatted(conversations, template).mapInArrow(run, f"conv_id long, {FORMATTED}")
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:
