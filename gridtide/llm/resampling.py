@@ -1,10 +1,10 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed byte n-grams are counted: one from well-labelled target
-documents, one from the whole raw corpus.  The mean log-ratio of a document's n-grams, times its
-n-grams or a fixed number if it has more, is its log importance weight; Gumbel noise hashed
-from its id is added, and the documents with the k largest sums are kept, which samples k
-documents without replacement in proportion to their weights.
+documents, one from the whole raw corpus.  The log-ratio of the two models for a document, the
+sum over all its n-grams, is its log importance weight; Gumbel noise hashed from its id is
+added, and the documents with the k largest sums are kept, which samples k documents without
+replacement in proportion to their weights.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ from .support import (
 )
 
 GRAM, BUCKETS = 4, 1 << 16
-#: N-grams that count as independent evidence in a text that has more.
-EFFECTIVE = 1000.0
 SEED = 23
 #: Losing all labelled good rows is this many times as bad as keeping all bad ones.
 GOOD_COUNTS = 20.0
@@ -52,7 +50,7 @@ class Ratio:
         found = grams(data)
         if not len(found):
             return 0, 0.0
-        return len(found), min(len(found), EFFECTIVE) * float(self.table[found].mean())
+        return len(found), float(self.table[found].sum())
 
 
 def count_grams(docs: DataFrame, group: Column, groups: int, text: str = "text") -> np.ndarray:
