@@ -211,6 +211,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return own.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def _bounded(ids: DataFrame) -> DataFrame:
+    """Ids that go to every task if they are few; otherwise Spark joins them by shuffle."""
+    return F.broadcast(ids) if ids.count() <= similar.BROADCAST_IDS else ids
+
+
 def deduplicated(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = similar.WIDTH,
     similarity: float = similar.SIMILARITY,
@@ -229,19 +234,16 @@ def deduplicated(
     chosen = found.groupBy("root").agg(F.min(by_id).alias("_c"))
     chosen = cut(chosen.select(F.col("_c.first_id").alias(key), F.col("_c.set").alias("_set")))
     names = [f"`{c}`" for c in docs.columns]
-    ids = chosen.where(F.col(key).isNotNull()).select(key)
-
-    def matching(ids: DataFrame) -> DataFrame:
-        # ids are hashed, so that the texts they are looked up for need no sort
-        return docs.join(ids.select(key).hint("shuffle_hash"), key, "left_semi").select(*names)
-
+    ids = chosen.where(F.col(key).isNotNull()).select(key).distinct()
     counts = named.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("_rows"))
-    repeated = cut(counts.where("_rows > 1").join(ids.distinct(), key, "left_semi"))
-    kept = matching(ids)
+    # rows of no chosen id go; of repeated ids and null ids the chosen text is looked for below
+    gone = counts.join(ids, key, "left_anti").select(key)
+    repeated = cut(counts.where("_rows > 1").join(ids, key, "left_semi").select(key))
+    left = cut(gone.unionByName(repeated))
+    kept = docs.where(F.col(key).isNotNull()).join(_bounded(left), key, "left_anti").select(*names)
     parts = []
     if not repeated.isEmpty():
-        kept = matching(ids.join(repeated, key, "left_anti"))
-        parts.append(matching(repeated))
+        parts.append(docs.join(_bounded(repeated), key, "left_semi").select(*names))
     if not chosen.where(F.col(key).isNull()).isEmpty():
         parts.append(docs.where(F.col(key).isNull()).select(*names))
     for rows in parts:

@@ -1,12 +1,16 @@
 """Classes of texts whose word shingles agree to a given share (Jaccard similarity).
 
-Candidates share all minima of a band of MinHash values; every link between two of them is
-confirmed by comparing their shingles.  SimHash cannot do this part: at a similarity of 0.8
-about ten of its 64 bits differ, and no set of bit blocks that is worth shuffling covers that.
+Texts that share all minima of a band of MinHash values form a shard.  Within a shard their
+SimHash fingerprints are put into a BK-tree, and a search that follows only the edges within a
+radius finds which texts can be similar at all; links are confirmed by comparing the shingles.
+Fingerprints have many bits, because at a similarity of 0.8 about 15 % of them differ, and
+shards are no blocks of those bits, because none that is worth shuffling would agree.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,12 +23,19 @@ from .support import as_bytes, cut, per_text
 #: Words of a shingle, and the similarity from which texts are linked.
 WIDTH, SIMILARITY = 5, 0.8
 SEED = 7
-#: At 0.8 a pair shares no band with probability (1 - 0.8 ** 8) ** 64 < 1e-5; above, less.
-BANDS, BAND_ROWS = 64, 8
+#: At 0.8 a pair shares no band with probability (1 - 0.8 ** 6) ** 40 < 1e-5; above, less.
+BANDS, BAND_ROWS = 40, 6
+#: At 0.8 a pair of sets of six shingles or more differs in 165 bits at most, on average, with a
+#: deviation of 12; sets of four and five shingles in 192.
+BITS, RADIUS = 1024, 240
 #: Shingles that are permuted at once, so that the products stay in the cache.
 CHUNK = 256
-#: The first members of a group that others are compared with double each round up to this.
-MOST_HUBS = 64
+#: Rows of one tree; a larger shard is cut into parts, and each pair of parts is a group.
+TREE_ROWS = 4096
+#: Bands that are searched first: they join most families before the others are looked at.
+FIRST_BANDS = 5
+#: Ids that are sent to every task on purpose, at most.
+BROADCAST_IDS = 200_000
 
 
 def shingle_hashes(data: bytes | None, width: int, seed: int) -> np.ndarray:
@@ -60,16 +71,41 @@ def bands(hashes: np.ndarray, factors: np.ndarray) -> list[int]:
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
+def mixed(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers well mixed, each bit depending on all."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def words_of_bits() -> tuple[np.ndarray, np.ndarray]:
+    """What makes a shingle's hash into the words of its bits, and the bits that break ties."""
+    step = np.uint64(0x9E3779B97F4A7C15)
+    salts = mixed(np.arange(1, BITS // 64 + 1, dtype=np.uint64) * step)
+    ties = np.unpackbits(mixed(salts + step).view(np.uint8))
+    return salts, ties.astype(np.int64)
+
+
+def fingerprint(hashes: np.ndarray, salts: np.ndarray, ties: np.ndarray) -> bytes:
+    """SimHash of a set: the majority of each bit; a draw goes as for every other set."""
+    ones = np.zeros(BITS, np.int64)
+    # counts of so many rows fit into a byte
+    for at in range(0, len(hashes), 255):
+        rows = mixed(hashes[at : at + 255, None] ^ salts)
+        ones += np.unpackbits(rows.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(4 * ones + 2 * ties - 1 > 2 * len(hashes)).tobytes()
+
+
 def _sketched(width: int, keys: bool, shingles: bool):
     fields = {"id": pa.binary()}
     if keys:
-        fields["bands"] = pa.list_(pa.int64())
+        fields |= {"bands": pa.list_(pa.int64()), "fp": pa.binary()}
     if shingles:
         fields["shingles"] = pa.list_(pa.int64())
     kind = pa.struct(list(fields.items()))
 
     def make():
-        factors = permutations()
+        factors, (salts, ties) = permutations(), words_of_bits()
 
         def apply(batch):
             rows = []
@@ -79,6 +115,7 @@ def _sketched(width: int, keys: bool, shingles: bool):
                 row = {"id": xxhash.xxh128_digest(hashes.tobytes())}
                 if keys:
                     row["bands"] = bands(hashes, factors)
+                    row["fp"] = fingerprint(hashes, salts, ties)
                 if shingles:
                     row["shingles"] = hashes.view(np.int64)
                 rows.append(row)
@@ -86,8 +123,8 @@ def _sketched(width: int, keys: bool, shingles: bool):
 
         return apply
 
-    schema = "id binary" + ", bands array<long>" * keys + ", shingles array<long>" * shingles
-    return per_text(make, f"struct<{schema.replace(' ', ':').replace(',:', ',')}>")
+    parts = ["id:binary"] + ["bands:array<long>", "fp:binary"] * keys + ["shingles:array<long>"] * shingles
+    return per_text(make, f"struct<{','.join(parts)}>")
 
 
 def shingle_set(text: str = "text", width: int = WIDTH):
@@ -103,18 +140,19 @@ def similar_texts(
     ``first_id`` is the smallest id with the set, and ``root`` is equal for the sets that
     links reach.  Texts without a word have the empty set, which is linked to no other.
     """
-    if not 0 < similarity <= 1:
-        raise ValueError("similarity is over 0 and at most 1")
+    if not SIMILARITY <= similarity <= 1:
+        raise ValueError("bands and radius are made for similarities from 0.8 to 1")
     found = docs.select("doc_id", _sketched(width, True, False)(as_bytes("text")).alias("_s"))
     sets = found.groupBy(F.col("_s.id").alias("set")).agg(
-        F.min("doc_id").alias("first_id"), F.any_value("_s.bands").alias("bands")
+        F.min("doc_id").alias("first_id"), F.any_value("_s.bands").alias("bands"), F.any_value("_s.fp").alias("fp")
     )
     # the checkpoint keeps these numbers
     sets = cut(sets.withColumn("node", F.monotonically_increasing_id()))
     nodes = sets.select("set", "first_id", "node")
-    members = sets.select("node", F.explode("bands").alias("band"))
+    members = sets.select("node", F.posexplode("bands").alias("turn", "band"))
     shared = members.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
-    members = cut(members.join(shared, "band").select("band", "node"))
+    members = members.join(shared, "band").select("band", "turn", "node", F.col("_n").alias("rows"))
+    members = cut(members.join(sets.select("node", "fp"), "node"))
     edges = _links(docs, nodes, members, width, similarity)
     if edges is None:
         return nodes.select("set", "first_id", F.col("node").alias("root"))
@@ -124,48 +162,123 @@ def similar_texts(
     )
 
 
+class Tree:
+    """A BK-tree over long fingerprints, which gives what is within a radius one by one."""
+
+    def __init__(self):
+        self.values: list[int] = []
+        self.children: list[dict[int, int]] = []
+
+    def add(self, value: int) -> None:
+        new, node = len(self.values), 0
+        self.values.append(value)
+        self.children.append({})
+        while new:
+            distance = (value ^ self.values[node]).bit_count()
+            after = self.children[node].setdefault(distance, new)
+            if after == new:
+                return
+            node = after
+
+    def within(self, value: int, radius: int) -> Iterator[int]:
+        """Places of the values at most ``radius`` away, always in the same order."""
+        todo = [0] if self.values else []
+        while todo:
+            node = todo.pop()
+            distance = (value ^ self.values[node]).bit_count()
+            if distance <= radius:
+                yield node
+            low, high = distance - radius, distance + radius
+            todo += [child for d, child in self.children[node].items() if low <= d <= high]
+
+
+def candidates(members: DataFrame, first: int, last: int) -> DataFrame:
+    """``band, a, b, more``: what searches of each shard find from number ``first`` to ``last``.
+
+    ``members`` has ``band, node, fp, rows, root``.  Each row asks the tree of the rows before
+    it (and those of other parts, in a large shard).  ``more`` tells that a search has finds
+    behind ``last``.  Pairs of one root are known to be joined and left out, but counted.
+    """
+    parts = F.ceil(F.col("rows") / TREE_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    placed = members.withColumn("parts", parts).withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    )
+    cells = placed.select(
+        "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        (F.col("own") > F.col("other")).alias("asks"), "node", "fp", "root",
+    )
+    group = ["band", "low", "high"]
+    ordered = cells.repartition(*group).sortWithinPartitions(*group, "asks", "node")
+    schema = "band long, a long, b long, more boolean"
+
+    def run(batches):
+        held, tree, planted, out = None, Tree(), [], []
+        for batch in batches:
+            for band, low, high, asks, node, fp, root in zip(*(c.to_pylist() for c in batch.columns)):
+                if (band, low, high) != held:
+                    held, tree, planted = (band, low, high), Tree(), []
+                value = int.from_bytes(fp, "little")
+                if asks or low == high:
+                    for number, place in enumerate(tree.within(value, RADIUS)):
+                        other, other_root = planted[place]
+                        if number >= last:
+                            out.append((band, None, None, True))
+                            break
+                        if number >= first and other_root != root:
+                            out.append((band, min(node, other), max(node, other), False))
+                if not asks:
+                    tree.add(value)
+                    planted.append((node, root))
+            if out:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+                columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["band", "a", "b", "more"])
+                out = []
+
+    return ordered.mapInArrow(run, schema)
+
+
 def _links(docs, nodes, members, width: int, similarity: float) -> DataFrame | None:
-    """Confirmed edges ``a, b`` that keep the components of all candidate pairs.
+    """Confirmed edges ``a, b`` that keep the components of all pairs that are similar.
 
-    Each round compares all members of a group with its hubs and takes the hubs out.  Pairs
-    that earlier links join are left out, and so is a group that they join as a whole; a
-    family of near copies costs about one comparison a member, however large it is.
+    A round takes one find of each search, the next two, four, eight and so on, and leaves out
+    shards whose members earlier links join as a whole, so a family of near copies costs a few
+    comparisons a member.  A tree has at most TREE_ROWS rows, so the rounds are few, and after
+    the last one every pair within the radius is joined or was compared.
     """
-    if members.isEmpty():
-        return None
-    shingles = cut(_shingles(docs, nodes, members, width))
-    edges, turn = None, 0
+    shingles, edges, first = None, None, 0
     placed = members.withColumn("root", F.col("node"))
     while True:
-        mixed = placed.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-        placed = cut(placed.join(mixed.where("_low < _high"), "band").select("band", "node", "root"))
+        whole = placed.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+        placed = cut(placed.join(whole.where("_low < _high"), "band").drop("_low", "_high"))
         if placed.isEmpty():
             return edges
-        salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(1 << turn, MOST_HUBS)))
-        hubs = placed.groupBy("band", salt.alias("_salt")).agg(F.min(F.struct("node", "root")).alias("_h"))
-        hubs = cut(hubs.select("band", F.col("_h.node").alias("hub"), F.col("_h.root").alias("hub_root")))
-        pairs = placed.join(hubs, "band").where("root <> hub_root")
-        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        fresh = cut(_confirmed(pairs.distinct(), shingles, similarity))
-        left = placed.join(
-            hubs.select("band", F.col("hub").alias("node")), ["band", "node"], "left_anti"
-        )
+        # the first round runs twice: over some bands, then over all that are left
+        early = shingles is None
+        last = first + max(1, first + 1)
+        found = cut(candidates(placed.where(F.col("turn") < FIRST_BANDS) if early else placed, first, last))
+        pairs = found.where(~F.col("more")).select("a", "b").distinct()
+        if early:
+            shingles = cut(_shingles(docs, nodes, placed, width))
+        fresh = cut(_confirmed(pairs, shingles, similarity))
+        if not early:
+            placed = placed.join(found.where("more").select("band").distinct(), "band", "left_semi")
+            first = last
         if not fresh.isEmpty():
-            edges = fresh if edges is None else cut(edges.unionByName(fresh))
+            edges = fresh if edges is None else cut(edges.unionByName(fresh).distinct())
             roots = connected_components(edges).withColumnRenamed("root", "_root")
-            left = left.join(roots, "node", "left").select(
-                "band", "node", F.coalesce("_root", "root").alias("root")
-            )
-        placed, turn = left, turn + 1
+            placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
 
 
 def _shingles(docs, nodes, members, width: int) -> DataFrame:
-    """``node, n, shingles`` of the nodes in groups, taken from a text of their smallest id."""
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    """``node, n, shingles`` of the nodes in shards, taken from a text of their smallest id."""
+    wanted = cut(nodes.join(members.select("node").distinct(), "node", "left_semi"))
     ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
-    # a null id is found by null-safe equality; ids are hashed, so that texts need no sort
-    same = docs["doc_id"].eqNullSafe(ids["doc_id"])
-    texts = docs.join(ids.hint("shuffle_hash"), same, "left_semi")
+    # few ids go to the texts; otherwise Spark joins by shuffle
+    ids = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
+    # a null id is found by null-safe equality
+    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     rows = texts.select("doc_id", _sketched(width, False, True)(as_bytes("text")).alias("_s"))
     rows = rows.select("doc_id", F.col("_s.id").alias("set"), F.col("_s.shingles").alias("shingles"))
     same = rows["doc_id"].eqNullSafe(wanted["first_id"]) & (rows["set"] == wanted["set"])
