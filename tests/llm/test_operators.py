@@ -4,6 +4,7 @@ import hashlib
 import random
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -17,8 +18,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 from gridtide.llm import (  # noqa: E402
-    bpe, chat, langid, maxscore, mixing, neardup, queries, resampling, rules, sharding, sql, support,
-    templates, urls,
+    bpe, chat, langid, maxscore, mixing, neardup, queries, resampling, rules, sharding, similar, sql,
+    support, templates, urls,
 )
 from gridtide.llm.components import connected_components  # noqa: E402
 
@@ -102,6 +103,78 @@ def test_forest_isolates_outliers():
     assert rules.grow(np.zeros((3, 2))).scores(np.zeros((1, 2))).shape == (1,)
 
 
+def test_path_lengths_by_walking():
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    forest = rules.grow(x)
+
+    def harmonic_path(n):
+        return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+
+    def depth(tree, node, row, level):
+        f = forest.feature[tree, node]
+        if f < 0:
+            assert forest.leaf[tree, node] >= level
+            return forest.leaf[tree, node]
+        return depth(tree, 2 * node + 1 + int(row[f] >= forest.value[tree, node]), row, level + 1)
+
+    assert [round(float(rules.average_path(n)), 9) for n in (1, 2, 3, 64)] == [
+        round(harmonic_path(n), 9) for n in (1, 2, 3, 64)]
+    for row in x[:20]:
+        mean = np.mean([depth(t, 0, row, 0) for t in range(len(forest.feature))])
+        assert forest.scores(row[None])[0] == pytest.approx(2 ** (-mean / harmonic_path(64)))
+
+
+def test_query_keeps_what_its_forest_keeps(spark):
+    docs, marks = table(spark, "documents"), table(spark, "labels")
+    forest = rules.fit(docs, marks)
+    got = {r["doc_id"]: r for r in queries.quality_rules(spark, FOLDER).collect()}
+    for r in docs.collect():
+        counts = rules.counts(r["text"] and r["text"].encode())
+        score = float(forest.anomaly(rules.features(np.array([counts])))[0])
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        assert tuple(got[r["doc_id"]])[1:6] == (counts[0], *slow_counts(r["text"])[1:])
+        assert got[r["doc_id"]]["kept"] == (not failed and score <= forest.threshold)
+
+
+def slow_grams(text):
+    data = (text or "").encode()
+    words = [int.from_bytes(data[i : i + 4], "little") for i in range(len(data) - 3)]
+    return [(w * 2654435761 % 2**32) >> 16 for w in words]
+
+
+def test_resampling_by_hand(spark):
+    import math
+    rng = random.Random(12)
+    good, bad = ["alpha ", "beta ", "gamma "], ["#x1 ", "zz9 ", "beta "]
+    texts = ["".join(rng.choices(good if i % 3 else bad, k=rng.choice([3, 40, 400]))) for i in range(60)]
+    texts += ["".join(rng.choices(good, k=5000)), None, "", "abc", "abcd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(40)], "doc_id long, quality int")
+    ratio = resampling.fit(docs, marks)
+    target = [g for i in range(40) if i % 3 for g in slow_grams(texts[i])]
+    raw = [g for t in texts for g in slow_grams(t)]
+
+    def share(found):
+        return lambda g: 0.98 * found.count(g) / len(found) + 0.02 / 65536
+
+    ratios = {g: math.log(share(target)(g) / share(raw)(g)) for g in set(raw)}
+    got = {r["doc_id"]: r for r in resampling.resample(docs, ratio, keep=20).collect()}
+    keys = {}
+    for i, text in enumerate(texts):
+        own = slow_grams(text)
+        weight = sum(ratios[g] for g in own)
+        assert got[i]["n_grams"] == len(own) and got[i]["log_weight"] == pytest.approx(weight, rel=1e-9, abs=1e-9)
+        number = int(hashlib.md5(f"{resampling.SEED}:{i}".encode()).hexdigest()[:13], 16) / 2**52
+        noise = -math.log(-math.log((number * 2**52 + 0.5) / 2**52))
+        keys[i] = weight + noise
+        assert got[i]["gumbel_key"] / resampling.PARTS == pytest.approx(keys[i], abs=1e-5)
+    # a text of 5000 words has the log-ratio of all its n-grams
+    assert got[60]["n_grams"] > 25_000
+    best = sorted(keys, key=lambda i: -keys[i])[:20]
+    assert {i for i in got if got[i]["kept"]} == set(best)
+
+
 def test_resampling(spark, odd, labels):
     docs, marks = table(spark, "documents"), table(spark, "labels")
     found = resampling.resample(docs, resampling.fit(docs, marks), keep=100).toPandas()
@@ -186,6 +259,37 @@ def test_mixing(spark, odd):
         mixing.replicate(odd, {"a": -1.0})
 
 
+def test_mixing_keeps_clashing_columns(spark):
+    names = ["rate", "parts", "_source", "_table", "_rated", "_of", "_mix", "_place", "_bucket", "_before", "_id"]
+    docs = spark.range(50).select(
+        F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("text").alias("text"),
+        *[F.concat(F.lit(n), F.col("id")).alias(n) for n in names],
+    )
+    copies = mixing.replicate(docs)
+    for found in (mixing.shuffled(copies), mixing.dealt(copies)):
+        rows = found.collect()
+        assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+
+
+def test_repeated_and_null_ids_are_spread(spark):
+    rows = [(None, i) for i in range(900)] + [(5, i) for i in range(600)] + [(100 + i, i) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, row long").withColumn("copy", F.lit(0)).repartition(6)
+    got = mixing.shuffled(docs, bucket_rows=100).toPandas()
+    assert sorted(got["position"]) == list(range(2000))
+    pairs = [(None if np.isnan(a) else int(a), int(b)) for a, b in zip(got["doc_id"], got["row"])]
+    assert Counter(pairs) == Counter(rows)
+    null = got.loc[got["doc_id"].isna(), "position"]
+    # the null ids stand all over the order
+    assert null.min() < 100 and null.max() > 1900 and 800 < null.mean() < 1200
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        parts = mixing.dealt(docs).select(F.spark_partition_id().alias("p")).toPandas()["p"].value_counts()
+    finally:
+        spark.conf.set(merging, "true")
+    assert parts.sum() == 2000 and parts.max() < 1000
+
+
 def test_large_rates_are_sums(spark):
     docs = spark.createDataFrame([(i, "s" if i else "t", "x" * (1 if i == 1 else 900)) for i in range(2)], "doc_id long, source string, text string")
     got = mixing.replicate(docs, {"s": 1.0, "t": 1.0}).groupBy("source").count().collect()
@@ -207,6 +311,39 @@ def test_language(spark, odd):
     assert {r["lang_pred"] for r in langid.predict(odd, none).collect()} == {"und"}
 
 
+def test_profiles_by_hand(spark):
+    def letters(text):
+        low = "".join(c.lower()[0] if c.isalpha() else " " for c in text)
+        return " " + " ".join(low.split()) + " " if low.split() else ""
+
+    def bundle(text):
+        low, total = letters(text), np.zeros(langid.SIZE)
+        for gram in zip(low, low[1:], low[2:]):
+            rows = langid.letter_vectors(np.array([ord(c) for c in gram]))
+            total += np.prod([np.roll(row, 2 - i) for i, row in enumerate(rows)], axis=0)
+        return total
+
+    learned = [("Der die das, und!", "de"), ("the of And", "en"), ("und der 12 Rest", "de"), ("le la les É", "fr"), ("...", "fr"), (None, "xx"), ("no label", None)]
+    docs = spark.createDataFrame(learned, "text string, lang string")
+    profiles = langid.fit(docs)
+    sums = {}
+    for text, lang in learned:
+        if lang and text and letters(text):
+            own = bundle(text)
+            sums[lang] = sums.get(lang, 0) + np.rint(own / np.linalg.norm(own) * langid.SCALE)
+    assert profiles.languages == sorted(sums)
+    texts = ["der rest", "of the", "Les la", "é", "x1y", "und the la", "日本 語", "  ", None]
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in langid.predict(asked, profiles).collect():
+        own = bundle(texts[r["doc_id"]] or "")
+        if not own.any():
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        cosine = {k: own @ v / np.linalg.norm(own) / np.linalg.norm(v) for k, v in sums.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        assert r["lang_pred"] == best and r["score"] == pytest.approx(min(1, max(0, cosine[best])), abs=1e-5)
+
+
 # ------------------------------------------------------------------------ 6
 
 
@@ -233,6 +370,30 @@ def test_chat_rows(spark):
     assert chat.formatted(talk).count() == 5 and chat.format_digests(talk.limit(0)).count() == 0
 
 
+def test_formatted_loses_nothing(spark):
+    rows = [(c, t, role, f"{role} {c} <s> {t}") for c in (1, 2, None) for t, role in enumerate(["user", "assistant", "user"])]
+    talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    other = "{% for t in turns %}{{ t.role ~ ': ' }}{% generation %}{{ t.text }}{% endgeneration %}{{ '\\n' }}{% endfor %}{{ 'END' }}"
+    for template in (chat.TEMPLATE, other, chat.TEMPLATE + "tail"):
+        got = {}
+        for r in chat.formatted(talk, template).orderBy("conv_id", "turn_index").collect():
+            got[r["conv_id"]] = got.get(r["conv_id"], "") + r["formatted"]
+            assert all(0 <= s["start"] < s["end"] <= len(r["formatted"]) for s in r["loss_spans"])
+        for conv in (1, 2, None):
+            turns = [{"role": r, "text": x} for c, _, r, x in rows if c == conv]
+            assert got[conv] == "".join(t for t, _ in chat.render(iter(turns), template))
+    with pytest.raises(Exception, match="end with a turn"):
+        chat.format_digests(talk, other).collect()
+
+
+def test_digests_come_from_rows_and_spans():
+    rows = [("<|turn|>user<|text|>hi</s>\n", []), ("<|turn|>assistant<|text|>a<\\s>b</s>\n", [{"start": 25, "end": 30}])]
+    got = chat.Digest().read(rows)
+    assert got[0] == 2 and got[2:4] == (4, hashlib.sha256(b"a<s>").hexdigest()) and got[4] == sum(len(t) for t, _ in rows)
+    wrong = chat.Digest().read([rows[0], (rows[1][0], [{"start": 24, "end": 30}])])
+    assert wrong[3] != got[3]
+
+
 def test_templates():
     def run(source, **data):
         return "".join(t for t, _ in templates.compile_template(source, {"up": str.upper})(data))
@@ -292,6 +453,42 @@ def test_search_equals_brute_force(spark):
     ]
 
 
+@pytest.mark.parametrize("shard, block", [(4096, 4096), (16, 3)])
+def test_search_in_whole_numbers_with_repeated_ids(spark, monkeypatch, shard, block):
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", shard)
+    monkeypatch.setattr(maxscore, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(6)
+    large = 256 * 60_000
+    rows = [(i, [int(v) for v in rng.integers(-large, large, 64)]) for i in range(60)]
+    rows += [(3, [10**8 + 1] * 64)] * 2 + [(20, [10**8] * 64), (20, [-(10**8) - 1] * 64)] + [(7, rows[7][1])] * 40
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(5)
+    got = maxscore.search(vectors, vectors.where("vec_id % 20 = 0"), k=5).collect()
+    want = []
+    for q in (0, 20, 40):
+        asked = {tuple(v) for i, v in rows if i == q}
+        found = sorted((-sum(a * b for a, b in zip(v, x)), i) for v in asked for i, x in rows if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert max(s for *_, s in want) > 2**53
+    wide = spark.createDataFrame([(1, [2**62]), (2, [2**62])], "vec_id long, v array<long>")
+    with pytest.raises(Exception, match="no long"):
+        maxscore.search(wide, wide).collect()
+
+
+def test_bar_of_another_shard_loses_nothing():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        x = rng.integers(-9, 10, (30, 24)).astype(float)
+        query, k = rng.integers(-9, 10, 30).astype(float), 4
+        scores = query @ x
+        bar = float(np.sort(scores)[-k]) - float(rng.integers(0, 60))
+        at, found = maxscore.best(query, x, x.min(axis=1), x.max(axis=1), np.zeros(24, bool), k, bar)
+        top = set(np.flatnonzero(scores >= np.sort(scores)[-k]).tolist())
+        assert top <= set(at.tolist()) and (found == scores[at]).all()
+        high, _ = maxscore.best(query, x, x.min(axis=1), x.max(axis=1), np.zeros(24, bool), k, scores.max() + 1)
+        assert not len(high)
+
+
 # ------------------------------------------------------------------------ 9
 
 
@@ -337,6 +534,38 @@ def test_near_duplicates(spark, odd, monkeypatch):
     assert sorted(map(sorted, got.values())) == sorted(sorted(s) for s in want.values() if len(s) > 1)
 
 
+def test_components_of_fingerprints_end_to_end(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TREE_ROWS", 16)
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(3000)}" for _ in range(900)]
+    rows = [(i, " ".join(base[: 900 - i] if i % 2 else base[i:])) for i in range(40)]
+    rows += [(100 + i, " ".join(rng.choices(["p", "q", "r", "s", "t"], k=rng.randrange(12)))) for i in range(80)]
+    rows += [(None, rows[0][1]), (None, "lonely words of nobody"), (7, "other text of seven"), (7, "other text of seven"),
+             (500, None), (501, ""), (502, " \n")]
+    docs = spark.createDataFrame([(a, b, 1) for a, b in rows], "doc_id long, text string, FP int").repartition(4)
+    prints = [slow_fingerprint(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[root(i)] = min(doc, least.get(root(i), doc))
+    want = [(doc, neardup.signed(prints[i]), least.get(root(i))) for i, (doc, _) in enumerate(rows)]
+    got = [tuple(r) for r in neardup.near_duplicates(docs).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert len({w[2] for w in want}) < len(rows) - 15
+    assert neardup.near_duplicates(docs.limit(0)).count() == 0
+
+
 def test_masks_leave_no_pair_out():
     rng = random.Random(6)
     for rows in (10, 1 << 24, 1 << 40):
@@ -382,6 +611,62 @@ def test_similar_copies_go(spark):
         assert sorted(kept) == sorted({r[0] for r in rows} - gone)
 
 
+def jaccard(a, b):
+    x, y = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} or {tuple(t)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("rows", [4096, 20])
+def test_classes_equal_comparing_all_pairs(spark, monkeypatch, rows):
+    monkeypatch.setattr(similar, "TREE_ROWS", rows)
+    rng = random.Random(31)
+    texts = []
+    for size in (5, 6, 9, 12, 30, 80, 200):
+        for _ in range(6):
+            words = [f"w{rng.randrange(4000)}" for _ in range(size)]
+            for _ in range(6):
+                own = list(words)
+                for _ in range(rng.randrange(1 + size // 12)):
+                    own[rng.randrange(size)] = f"n{rng.randrange(9000)}"
+                texts.append(own)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    want = sorted({root(i) for i in range(len(texts))})
+    assert sorted(r["doc_id"] for r in neardup.deduplicated(docs).collect()) == want
+
+
+def test_unlike_family_takes_few_rounds(spark, monkeypatch):
+    rounds, pairs = [], []
+    search, confirm = similar.candidates, similar._confirmed
+
+    def counted(members, first, last):
+        rounds.append((first, last))
+        return search(members, first, last)
+
+    def compared(found, shingles, similarity):
+        pairs.append(found.count())
+        return confirm(found, shingles, similarity)
+
+    monkeypatch.setattr(similar, "candidates", counted)
+    monkeypatch.setattr(similar, "_confirmed", compared)
+    common = [f"c{i}" for i in range(140)]
+    rows = [(i, " ".join(common + [f"own{i}x{j}" for j in range(60)])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert neardup.deduplicated(docs).count() == 600
+    # of 179,700 pairs
+    assert len(rounds) <= 6 and sum(pairs) < 30_000
+
+
 def test_repeated_ids_of_unequal_text(spark):
     def words(k):
         return " ".join(f"{k}v{i}" for i in range(60))
@@ -421,9 +706,109 @@ def test_shards(spark, copies):
     assert sharding.sharded(docs.limit(3)).count() == 3
 
 
+def test_shards_of_repeated_rows(spark):
+    rows = [(7, "the same row " * 8)] * 1000 + [(i, "x" * (i % 300)) for i in range(1000)] + [(None, None)] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    docs = docs.withColumns({c: F.lit(c) for c in ("h", "i", "m", "_key", "_at", "_mark", "_part", "_shard", "_start")})
+    got = sharding.sharded(docs).toPandas()
+    sums = got.groupby("shard")["size"].sum()
+    assert len(got) == 2200 and len(sums) == 8
+    assert sums.max() - sums.min() <= 2 * (301 + sums.sum() / 8 * sharding.TOLERANCE)
+    for _, part in got.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+    assert all((got[c] == c).all() for c in ("h", "i", "m", "_key", "_at", "_mark", "_part", "_shard", "_start"))
+    # the rows of a shard are in one stretch of the key, so equal texts touch at most two ends
+    spread = got.groupby("text_crc32")["shard"].agg(["min", "max", "nunique"])
+    assert (spread["max"] - spread["min"] + 1 == spread["nunique"]).all()
+
+
+def test_query_of_shards_by_hand(spark):
+    got = queries.shards(spark, FOLDER).toPandas().set_index("doc_id")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in table(spark, "documents").collect()}
+    assert len(got) == len(texts) and set(got["law"]) == {"bytes"} and got["grown_shard"].isna().all()
+    for i, data in texts.items():
+        assert (got.loc[i, "size"], got.loc[i, "text_crc32"]) == (len(data) + 1, zlib.crc32(data))
+    sums = got.groupby("shard")["size"].sum()
+    assert sums.max() - sums.min() <= 2 * max(map(len, texts.values()))
+
+
+@pytest.mark.parametrize("cell", [(0, 12, "FFF"), (0, 60, "F" * 15), (1, 6, "F" * 15 + f"{63:016X}"), (2, 64, "A" * 15 + "F" * 32)])
+def test_ends_of_cells(cell):
+    part, bits, name = cell
+    probe = sharding.Probe(part, bits)
+    first, after = probe.bound(name), probe.end(name)
+    assert first < after and all(isinstance(v, int) for v in after)
+    finer = probe.finer()
+    if finer is not None:
+        inner = probe.values(name)
+        wide = sum(sharding._digits(b) for _, b in sharding.PARTS[: finer.part + 1])
+        child = name + "0" * (wide - len(name)) if finer.part > part else (
+            name[: -sharding._digits(sharding.PARTS[part][1])] + f"{inner[-1] << (finer.bits - bits):0{sharding._digits(sharding.PARTS[part][1])}X}")
+        assert probe.holds(child) == name.rjust(len(name), "0") or probe.values(probe.holds(child)) == inner
+        assert finer.bound(child) == first
+
+
 # ----------------------------------------------------------------- pipeline
 
 
+def test_stages_keep_the_columns_of_documents(spark, odd, labels, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "table", lambda spark, folder, name: labels)
+    extra = {c: F.concat(F.lit(c), F.col("doc_id")) for c in ("n_words", "copies", "copy", "_doc", "_rules", "anomaly")}
+    docs = odd.drop("N_WORDS").withColumns(extra)
+    names = docs.columns
+    before = {tuple(map(str, r)) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, FOLDER)
+        assert found.columns == names, name
+        assert {tuple(map(str, r)) for r in found.collect()} <= before, name
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0
+    assert corpus_pipeline.bpe_encode(spark, docs, FOLDER).count() == 8
+
+
+def test_pipeline_by_hand(spark):
+    """Each stage again by plain Python, on the models that the stages fit."""
+    docs, marks = table(spark, "documents"), table(spark, "labels")
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    forest = rules.fit(docs, marks)
+
+    def passes(text):
+        counts = rules.counts(text and text.encode())
+        score = float(forest.anomaly(rules.features(np.array([counts])))[0])
+        return counts[0] >= 50 and 100 * counts[4] <= 50 * counts[0] and score <= forest.threshold
+
+    left = {i: r for i, r in rows.items() if passes(r["text"])}
+    first = spark.createDataFrame(list(left.values()), docs.schema)
+    ratio = resampling.fit(first, marks)
+    weights = {i: ratio.log_weight(r["text"].encode())[1] for i, r in left.items()}
+    noise = {}
+    for i in left:
+        number = int(hashlib.md5(f"{resampling.SEED}:{i}".encode()).hexdigest()[:13], 16)
+        noise[i] = -np.log(-np.log((number + 0.5) / 2**52))
+    n = len(left)
+    if ratio.threshold is not None:
+        n = sum(w >= ratio.threshold for w in weights.values())
+    order = sorted(left, key=lambda i: -round((weights[i] + noise[i]) * resampling.PARTS))
+    left = {i: left[i] for i in order[:n]}
+    words = {i: r["text"].lower().split() for i, r in left.items()}
+    parent = {i: i for i in left}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    names = sorted(left)
+    shingles = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in words.items()}
+    for a in names:
+        for b in names:
+            if b < a and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    left = {i: left[i] for i in names if root(i) == i}
+    copies = Counter(r["doc_id"] for r in mixing.replicate(spark.createDataFrame(list(left.values()), docs.schema)).collect())
+    got = Counter(r["doc_id"] for r in corpus_pipeline.run(spark, FOLDER).select("doc_id").collect())
+    assert got == copies and len(got) > 20
+
+
 def test_pipeline(spark, tmp_path):
     docs = table(spark, "documents")
     names = docs.columns
