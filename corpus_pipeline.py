@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridtide.llm import bpe, mixing, neardup, resampling, rules
 from gridtide.llm.queries import VOCABULARY
@@ -11,32 +12,58 @@ from gridtide.llm.support import table
 from gridtide.session import scratch_dir
 
 
+# Every stage takes nulls in any column, empty and long texts, repeated rows and an empty table,
+# and all but the last return the columns of documents as they came, whatever their names.
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the fixed rules and are not anomalous."""
-    forest = rules.fit(docs, table(spark, sf_dir, "labels"))
-    return rules.judge(docs, forest).where("kept").select(*_names(docs))
+    """Documents that pass the fixed rules and are not anomalous.
+
+    A null or empty text fails the rules; repeated rows share one verdict; ties with the
+    threshold stay; an empty table stays empty.
+    """
+    forest = rules.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return _whole(rules.judge(_carried(docs, "text"), forest).where("kept"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled for their likeness to well-labelled ones."""
-    ratio = resampling.fit(docs, table(spark, sf_dir, "labels"))
-    return resampling.resample(docs, ratio).where("kept").select(*_names(docs))
+    """Documents sampled for their likeness to well-labelled ones.
+
+    A null text, or one shorter than an n-gram, is neither like nor unlike them; rows that
+    repeat their id and text share one verdict; ties at the cut all stay; an empty table stays
+    empty.
+    """
+    ratio = resampling.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return _whole(resampling.resample(_carried(docs, "doc_id", "text"), ratio).where("kept"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates.
+
+    Null, empty and wordless texts are one group; of a group the smallest id stays, a null id
+    only where there is no other; of repeated rows one stays; an empty table stays empty.
+    """
     return neardup.deduplicated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out towards the target weights, in a global random order."""
-    return mixing.dealt(mixing.replicate(docs)).select(*_names(docs))
+    """Documents repeated or left out towards the target weights, in a global random order.
+
+    A null source is a source; null and empty texts have no characters and count as they are;
+    equal ids, and null ids, draw alike; an empty table stays empty.
+    """
+    copies = mixing.replicate(_carried(docs, "doc_id", "source", "text"))
+    # the texts travel once
+    return _whole(mixing.dealt(copies.select("_doc", "doc_id", "copy")))
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of ids and decoded text."""
+    """Token ids of every document, with digests of ids and decoded text.
+
+    A null or empty text has no tokens; repeated rows are repeated; an empty table stays empty.
+    """
     path = public_tokenizers.path(VOCABULARY)
-    found = bpe.encode(docs, path)
+    found = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path)
     return found.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
@@ -52,8 +79,13 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _names(docs: DataFrame) -> list[str]:
-    return [f"`{c}`" for c in docs.columns]
+def _carried(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns an operator reads, and the whole row beside them."""
+    return docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_doc"), *needed)
+
+
+def _whole(found: DataFrame) -> DataFrame:
+    return found.select("_doc.*")
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
