@@ -37,8 +37,6 @@ MARKET_STATIONS = {
     "phl": ["GHCND:USW00014737"],
 }
 
-# --- fixed values: market area -> pricing nodes (published empty) ----------------
-
 # --- fixed values: state -> primary balancing authority --------------------------
 STATE_AUTHORITY = {
     "VA": "PJM", "MD": "PJM", "PA": "PJM", "OH": "PJM", "NJ": "PJM", "DE": "PJM",

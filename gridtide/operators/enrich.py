@@ -52,6 +52,8 @@ def join_weather(energy: DataFrame, weather: DataFrame | None) -> DataFrame:
 
     Values already present win.  Weather without the expected columns leaves the readings
     as they are.  Several weather rows for one region and day give several readings.
+    A column ``day`` of the readings is taken for the day of their timestamp, so that readings
+    stored by region and day need no exchange.
     """
     if weather is None or not set(WEATHER_COLUMNS) <= set(weather.columns):
         return energy
@@ -61,9 +63,8 @@ def join_weather(energy: DataFrame, weather: DataFrame | None) -> DataFrame:
         F.col("avg_temp_f").alias("_temp"),
         F.col("cooling_degree_days").alias("_cdd"),
     )
-    same_day = (F.col("region_id") == F.col("_region")) & (
-        F.to_date("timestamp") == F.col("_date")
-    )
+    day = F.col("day") if "day" in energy.columns else F.to_date("timestamp")
+    same_day = (F.col("region_id") == F.col("_region")) & (day == F.col("_date"))
     filled = {
         "temperature_f": F.coalesce("temperature_f", "_temp"),
         "cooling_degree_days": F.coalesce("cooling_degree_days", "_cdd"),

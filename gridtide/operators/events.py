@@ -118,20 +118,24 @@ def site_changes(bounded: DataFrame, monthly: DataFrame) -> DataFrame:
 
 
 def site_events(
-    energy: DataFrame,
+    energy: DataFrame | None,
     sites: DataFrame,
     as_of: Column,
     window: int = L.ANALYSIS_WINDOW_MONTHS,
     dc_id: str | None = None,
+    monthly: DataFrame | None = None,
 ) -> DataFrame:
     """One event per site: periods, averages, change, completeness and confidence.
 
-    ``dc_id`` restricts the analysis to one site; the filter reaches the site scan.
+    ``dc_id`` restricts the analysis to one site; the filter reaches the site scan.  Where
+    ``monthly`` demand is known already, readings are not needed.
     """
+    if monthly is None:
+        monthly = monthly_energy(energy)
     if dc_id is not None:
         sites = sites.where(F.col("dc_id") == dc_id)
     bounded = period_bounds(online_sites(sites, as_of), as_of, window)
-    changes = site_changes(bounded, monthly_energy(energy)).withColumn(
+    changes = site_changes(bounded, monthly).withColumn(
         "data_completeness",
         S.data_completeness(
             F.col("pre_months"), F.col("post_months"), F.col("months_since_op"), window

@@ -17,6 +17,8 @@ from ..functions.exact import as_decimal
 
 HOUR = 3600
 DAY = 24 * HOUR
+#: Days that the longest trailing average of the series table covers.
+LONGEST_DAYS = 30
 
 
 def trailing_averages(
@@ -122,7 +124,7 @@ def _averages_per_second(
 def demand_timeseries(energy: DataFrame) -> DataFrame:
     """Readings with 7-day and 30-day trailing averages and the residual to the latter."""
     series = energy.select("region_id", "timestamp", "demand_mw", "temperature_f")
-    spans = {"demand_7d_avg_mw": 7 * DAY, "demand_30d_avg_mw": 30 * DAY}
+    spans = {"demand_7d_avg_mw": 7 * DAY, "demand_30d_avg_mw": LONGEST_DAYS * DAY}
     return trailing_averages(series, "region_id", "timestamp", "demand_mw", spans).withColumn(
         "demand_anomaly_mw", F.col("demand_mw") - F.col("demand_30d_avg_mw")
     )

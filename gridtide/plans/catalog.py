@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -17,9 +18,10 @@ from ..operators import (
 )
 from ..session import pin_utc, scratch_dir
 from ..sources import feeds, landing
-from ..streaming import cooldown, live, run, stateful, supervise
+from ..streaming import cooldown, live, run, sideinput, stateful, supervise
 from . import tables as T
-from .batch import Inputs, run_batch
+from . import updates
+from .batch import Inputs, run_batch, stored_monthly, write_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -486,6 +488,29 @@ def weather_join(spark, sf):
     return enrich.join_weather(T.detailed_readings(spark, sf), T.weather(spark, sf))
 
 
+def _bucketed(spark, df: DataFrame, keys: list[str]) -> DataFrame:
+    path = scratch_dir(spark, "bucketed")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    return landing.save_bucketed(df, name, keys, 16, path)
+
+
+@query
+def stored_weather_join(spark, sf):
+    """The weather join of readings and weather that were stored by region and day."""
+    readings = T.detailed_readings(spark, sf).withColumn("day", F.to_date("timestamp"))
+    stored = _bucketed(spark, readings, ["region_id", "day"])
+    daily = _bucketed(spark, T.weather(spark, sf), ["region_id", "date"])
+    return enrich.join_weather(stored, daily).drop("day")
+
+
+@query
+def stored_correlations(spark, sf):
+    """The correlations of monthly demand and capacity that were stored by region and month."""
+    monthly = _bucketed(spark, _monthly(spark, sf), ["region_id", "month"])
+    timeline = _bucketed(spark, _timeline(spark, sf).withColumn("date", F.col("date").cast("timestamp")), ["region_id", "date"])
+    return _rounded(correlate.regional_correlations(monthly, timeline, T.as_of()))
+
+
 @query
 def weather_join_fallback(spark, sf):
     partial = T.weather(spark, sf).drop("avg_temp_f")
@@ -516,7 +541,10 @@ def _timeline(spark, sf) -> DataFrame:
 
 @query
 def regional_correlations(spark, sf):
-    found = correlate.regional_correlations(_monthly(spark, sf), _timeline(spark, sf), T.as_of())
+    return _rounded(correlate.regional_correlations(_monthly(spark, sf), _timeline(spark, sf), T.as_of()))
+
+
+def _rounded(found: DataFrame) -> DataFrame:
     return found.withColumns(
         {c: F.round(c, 6) for c in ("pearson_total_dc", "pearson_ai_dc")}
     ).withColumn("data_points", F.col("data_points").cast("bigint"))
@@ -738,6 +766,26 @@ def demand_anomalies(spark, sf):
     return run.drain(found, "demand-anomalies")
 
 
+@query
+def versioned_anomalies(spark, sf):
+    """Anomalies of a stream whose baseline is raised by a tenth on its way."""
+    folder, seasonal = scratch_dir(spark, "versions"), _seasonal(spark, sf)
+    side = sideinput.SideInput(spark, f"{folder}/baseline")
+    raised = seasonal.withColumn("baseline_demand_mw", F.col("baseline_demand_mw") * 1.1)
+    source = T.events(spark, sf)
+    moments = [datetime(2024, 1, 1), datetime(2024, 1, 2)]
+    for moment, table, later in zip(moments, (seasonal, raised), (False, True)):
+        side.publish(table, moment)
+        part = source.where(F.col("ts") >= STREAM_START) if later else source.where(F.col("ts") < STREAM_START)
+        part.write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(source.schema).parquet(f"{folder}/landed")
+        readings = live.live_demand(T.live_records(landed), T.now())
+        query = sideinput.start_with(readings, side, live.demand_anomalies, f"{folder}/out", clock=lambda m=moment: m)
+        query.awaitTermination()
+    wanted = live.demand_anomalies(live.live_demand(T.live_records(source), T.now()), seasonal).schema
+    return sideinput.results(spark, f"{folder}/out", wanted)
+
+
 @query
 def demand_anomalies_batch(spark, sf):
     readings = live.live_demand(T.live_records(T.events(spark, sf)), T.now())
@@ -901,3 +949,40 @@ def batch_kpi(spark, sf):
 @query
 def batch_forecasts(spark, sf):
     return run_batch(batch_inputs(spark, sf), T.as_of(), T.now())["demand_forecasts"]
+
+
+# ---- late records ---------------------------------------------------------------
+def _late(records: DataFrame) -> Column:
+    """Batch 0, most records, or one of two later ones, whatever their period."""
+    chance = F.pmod(F.xxhash64("period", "respondent", "value"), F.lit(40))
+    return F.when(chance == 7, 1).when((chance == 11) & (F.col("period") > "1998"), 2).otherwise(0)
+
+
+def _updated(spark, sf) -> str:
+    """Folder of batch tables that were written without the late records and then updated."""
+    folder, inputs = scratch_dir(spark, "updated"), batch_inputs(spark, sf)
+    records = inputs.demand.withColumn("_late", _late(inputs.demand))
+    for number in range(3):
+        part = replace(inputs, demand=records.where(F.col("_late") == number).drop("_late"))
+        write = updates.update_batch if number else write_batch
+        write(spark, part, T.as_of(), T.now(), folder)
+    return folder
+
+
+@query
+def updated_monthly(spark, sf):
+    return stored_monthly(spark, _updated(spark, sf))
+
+
+@query
+def updated_kpi(spark, sf):
+    return landing.read_dataset(spark, f"{_updated(spark, sf)}/kpi_summary")
+
+
+@query
+def merged_monthly(spark, sf):
+    folder, readings = scratch_dir(spark, "increments"), T.readings(spark, sf)
+    year = F.year("timestamp") % 3
+    for number in (0, 1, 2, 1):
+        updates.add_increment(readings.where(year == number), folder, f"b{number}")
+    return updates.stored_monthly(spark, folder)

@@ -110,6 +110,19 @@ def _contains(text: str, parts) -> str:
     return "(" + " OR ".join(f"contains(lower(coalesce({text}, '')), '{p}')" for p in parts) + ")"
 
 
+def _anomalies(baseline: str) -> str:
+    return f"""
+        SELECT region_id, "timestamp", demand_mw, baseline_demand_mw, deviation_pct,
+               {_severity('deviation_pct')} AS severity, {_kind('deviation_pct')} AS anomaly_type,
+               processing_timestamp
+        FROM (SELECT *, CASE WHEN baseline_demand_mw > 0
+                             THEN (demand_mw - baseline_demand_mw) / baseline_demand_mw * 100 END
+                            AS deviation_pct
+              FROM (SELECT l.*, {baseline} AS baseline_demand_mw FROM live l LEFT JOIN seasonal s
+                    ON l.region_id = s.region_id AND month("timestamp") = month_of_year))
+        WHERE abs(deviation_pct) > 10"""
+
+
 _ADDED = "CAST(DATE '1998-01-01' + CAST(s_suppkey * 37 % 1300 AS INTEGER) AS DATE)"
 _STATIONS = [s for names in L.MARKET_STATIONS.values() for s in names]
 _STATION_REGIONS = sorted({
@@ -293,17 +306,9 @@ CTES: dict[str, str] = {
         SELECT region_id, month(m) AS month_of_year, {_avg('avg_mw', 9)} AS baseline_demand_mw
         FROM (SELECT region_id, date_trunc('month', "timestamp") AS m, {_avg('demand_mw')} AS avg_mw
               FROM hourly GROUP BY 1, 2) GROUP BY 1, 2""",
-    "anomalies": f"""
-        SELECT region_id, "timestamp", demand_mw, baseline_demand_mw, deviation_pct,
-               {_severity('deviation_pct')} AS severity, {_kind('deviation_pct')} AS anomaly_type,
-               processing_timestamp
-        FROM (SELECT l.*, baseline_demand_mw,
-                     CASE WHEN baseline_demand_mw > 0
-                          THEN (demand_mw - baseline_demand_mw) / baseline_demand_mw * 100 END
-                         AS deviation_pct
-              FROM live l LEFT JOIN seasonal s
-                ON l.region_id = s.region_id AND month("timestamp") = month_of_year)
-        WHERE abs(deviation_pct) > 10""",
+    "anomalies": _anomalies("baseline_demand_mw"),
+    "versioned": _anomalies(
+        "baseline_demand_mw * CASE WHEN \"timestamp\" >= TIMESTAMP '2024-01-10' THEN 1.1::DOUBLE ELSE 1 END"),
 }
 
 
@@ -983,6 +988,7 @@ QUERIES: dict[str, str] = {
                CAST(max(latency_seconds) AS DOUBLE) AS max_latency_s FROM live""",
     "demand_anomalies": "SELECT * FROM anomalies",
     "demand_anomalies_batch": "SELECT * FROM anomalies",
+    "versioned_anomalies": "SELECT * FROM versioned",
     "live_pricing": "SELECT * EXCLUDE (event_id) FROM prices",
     "stream_price_dedup": """SELECT DISTINCT pnode_id, "timestamp" FROM prices""",
     "stream_dedup": """SELECT DISTINCT reading_id, region_id, "timestamp" FROM live""",
@@ -1026,6 +1032,13 @@ QUERIES: dict[str, str] = {
     "batch_events": "SELECT * FROM batch_site_events",
     "batch_kpi": "SELECT * FROM batch_summary",
     "batch_forecasts": _forecast("batch_regions", 3, "batch_impact"),
+    "updated_monthly": "SELECT * FROM batch_monthly",
+    "updated_kpi": "SELECT * FROM batch_summary",
+    "merged_monthly": """
+        SELECT m.*, min_demand_mw, max_demand_mw FROM monthly m JOIN (
+            SELECT region_id, CAST(date_trunc('month', "timestamp") AS TIMESTAMP) AS month,
+                   min(demand_mw) AS min_demand_mw, max(demand_mw) AS max_demand_mw
+            FROM readings GROUP BY 1, 2) USING (region_id, month)""",
 }
 
 CTES["j"] = """
@@ -1151,8 +1164,9 @@ def statements() -> dict[str, str]:
     out["object_key_checks"] = statement(_object_checks())
     out["followed_pages"] = _FOLLOWED
     out["alert_cooldown"] = out["alert_cooldown_batch"] = _COOLDOWN
-    # the same records by way of landed files
-    landed = {"ingest_landed_days": "ingest_demand", "landed_climate": "weather_pivot",
+    # the same records by way of stored tables or landed files
+    landed = {"stored_weather_join": "weather_join", "stored_correlations": "regional_correlations",
+              "ingest_landed_days": "ingest_demand", "landed_climate": "weather_pivot",
               "landed_stations": "stations_in_bbox"}
     out |= {name: out[same] for name, same in landed.items()}
     return out

@@ -71,6 +71,20 @@ def write_dataset(
     balanced.write.mode(mode).partitionBy("month_part").parquet(path)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Save a table whose rows are dealt into buckets by the keys that later joins use.
+
+    Tables dealt alike, by all keys of a join and into as many buckets, are joined without an
+    exchange.  Keys of region and day, or region and month, spread a region over all buckets;
+    the region alone would put a busy one into one of them.  Rows are dealt once before the
+    write, so a bucket is one file.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def land_by_day(
     records: DataFrame, path: str, period: str = "period", mode: str = "append"
 ) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridtide.session import scratch_dir
 from gridtide.sources import landing, schemas
-from gridtide.streaming import cooldown, live, run, stateful, supervise
+from gridtide.streaming import cooldown, live, run, sideinput, stateful, supervise
 
 START = datetime(2024, 1, 1)
 
@@ -282,6 +282,56 @@ def test_health_is_observed_over_restarts(spark, tmp_path):
         spark.streams.removeListener(monitor)
 
 
+def test_baseline_changes_under_a_running_stream(spark, tmp_path):
+    src, folder = tmp_path / "in", str(tmp_path / "out")
+    side = sideinput.SideInput(spark, str(tmp_path / "side"))
+    state = {"now": START, "fail": False}
+
+    def table(value):
+        return spark.createDataFrame([("r", value)], "region_id string, baseline double")
+
+    def combine(batch, baseline):
+        if state["fail"]:
+            raise RuntimeError("half way")
+        return batch.join(baseline, "region_id").select("region_id", "timestamp", "baseline")
+
+    def go():
+        query = sideinput.start_with(anomalies(spark, src), side, combine, folder, clock=lambda: state["now"])
+        query.awaitTermination()
+
+    def put_one(i):
+        put(src, f"{i}.json", [{"region_id": "r", "timestamp": (START + timedelta(hours=i)).isoformat()}])
+
+    def got():
+        schema = "region_id string, timestamp timestamp, baseline double"
+        rows = sideinput.results(
+            spark, folder, schemas.table_schema("region_id string, timestamp timestamp, baseline double")).collect()
+        return sorted((int((r["timestamp"] - START).total_seconds() // 3600), r["baseline"]) for r in rows)
+
+    put_one(0)
+    with pytest.raises(Exception, match="no version"):
+        go()
+    assert got() == []
+    assert side.publish(table(1.0), START) == 1
+    go()
+    # one that is valid later does not count yet
+    assert side.publish(table(2.0), START + timedelta(days=1)) == 2
+    put_one(1)
+    go()
+    state["now"] += timedelta(days=2)
+    put_one(2)
+    state["fail"] = True
+    with pytest.raises(Exception, match="half way"):
+        go()
+    # the micro-batch that failed is repeated with the version it had read
+    assert side.publish(table(3.0), START + timedelta(days=1, hours=1)) == 3
+    state["fail"] = False
+    go()
+    put_one(3)
+    go()
+    assert got() == [(0, 1.0), (1, 1.0), (2, 2.0), (3, 3.0)]
+
+
 def test_scratch_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared)
