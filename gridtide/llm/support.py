@@ -24,8 +24,11 @@ BATCH_BYTES, BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts are long: hand few to Python at once, unless the session has its own number."""
-    if spark.conf.get(BATCH) == "10000":
+    """Texts are long: hand few to Python at once, unless the session has its own number.
+
+    A number somebody set, at the start or since, stays, also where it is Spark's default.
+    """
+    if BATCH not in spark.conf.getAll:
         spark.conf.set(BATCH, str(SLICE_ROWS))
         spark.conf.set(BATCH_BYTES, BYTES)
 
