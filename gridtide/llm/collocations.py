@@ -325,7 +325,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
             yield batch()
 
     keys = ["lang", "depth", "cell"]
-    sent = routed(texts, hot, bits, cells).repartition(*keys).sortWithinPartitions(*keys)
+    # partitions grow in number with the words, and not in size
+    sent = routed(texts, hot, bits, cells).repartition(cells, *keys).sortWithinPartitions(*keys)
     parts = sent.mapInArrow(run, "lang string, phrase binary, words int, f long")
     counts = parts.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "words")
     return cut(counts.agg(F.sum("f").alias("f")).where(F.col("f") >= least)), totals
