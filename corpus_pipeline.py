@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     threshold stay; an empty table stays empty.
     """
     forest = rules.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return _whole(rules.judge(_carried(docs, "text"), forest).where("kept"))
+    return _whole(rules.judge(_carried(docs), forest, text="_doc.text").where("kept"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     empty.
     """
     ratio = resampling.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return _whole(resampling.resample(_carried(docs, "doc_id", "text"), ratio).where("kept"))
+    found = resampling.resample(_carried(docs), ratio, key="_doc.doc_id", text="_doc.text")
+    return _whole(found.where("kept"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +53,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is a source; null and empty texts have no characters and count as they are;
     equal ids, and null ids, draw alike; an empty table stays empty.
     """
-    copies = mixing.replicate(_carried(docs, "doc_id", "source", "text"))
-    # the texts travel once
-    return _whole(mixing.dealt(copies.select("_doc", "doc_id", "copy")))
+    copies = mixing.replicate(_carried(docs), source="_doc.source", key="_doc.doc_id", text="_doc.text")
+    return _whole(mixing.dealt(copies, key="_doc.doc_id"))
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,9 +79,9 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _carried(docs: DataFrame, *needed: str) -> DataFrame:
-    """The columns an operator reads, and the whole row beside them."""
-    return docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_doc"), *needed)
+def _carried(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column, so that an operator's columns clash with none of theirs."""
+    return docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_doc"))
 
 
 def _whole(found: DataFrame) -> DataFrame:
