@@ -34,6 +34,8 @@ CHUNK = 256
 TREE_ROWS = 4096
 #: Bands that are searched first: they join most families before the others are looked at.
 FIRST_BANDS = 5
+#: Each round takes finds up to this many times as many as the one before.
+GROWTH = 8
 #: Ids that are sent to every task on purpose, at most.
 BROADCAST_IDS = 200_000
 
@@ -153,10 +155,9 @@ def similar_texts(
     shared = members.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
     members = members.join(shared, "band").select("band", "turn", "node", F.col("_n").alias("rows"))
     members = cut(members.join(sets.select("node", "fp"), "node"))
-    edges = _links(docs, nodes, members, width, similarity)
-    if edges is None:
+    roots = _joined(docs, nodes, members, width, similarity)
+    if roots is None:
         return nodes.select("set", "first_id", F.col("node").alias("root"))
-    roots = connected_components(edges)
     return nodes.join(roots, "node", "left").select(
         "set", "first_id", F.coalesce("root", "node").alias("root")
     )
@@ -239,24 +240,25 @@ def candidates(members: DataFrame, first: int, last: int) -> DataFrame:
     return ordered.mapInArrow(run, schema)
 
 
-def _links(docs, nodes, members, width: int, similarity: float) -> DataFrame | None:
-    """Confirmed edges ``a, b`` that keep the components of all pairs that are similar.
+def _joined(docs, nodes, members, width: int, similarity: float) -> DataFrame | None:
+    """``node, root`` of the components of all pairs that are similar; None without any.
 
-    A round takes one find of each search, the next two, four, eight and so on, and leaves out
-    shards whose members earlier links join as a whole, so a family of near copies costs a few
-    comparisons a member.  A tree has at most TREE_ROWS rows, so the rounds are few, and after
-    the last one every pair within the radius is joined or was compared.
+    A round takes one find of each search, the next those up to the eighth, then up to the
+    64th and so on, and leaves out shards whose members earlier links join as a whole, so a
+    family of near copies costs a few comparisons a member.  A tree has at most TREE_ROWS
+    rows, so there are at most six rounds, and after the last one every pair within the radius
+    is joined or was compared.
     """
-    shingles, edges, first = None, None, 0
+    shingles, edges, roots, first = None, None, None, 0
     placed = members.withColumn("root", F.col("node"))
     while True:
         whole = placed.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
         placed = cut(placed.join(whole.where("_low < _high"), "band").drop("_low", "_high"))
         if placed.isEmpty():
-            return edges
+            return roots
         # the first round runs twice: over some bands, then over all that are left
         early = shingles is None
-        last = first + max(1, first + 1)
+        last = max(1, GROWTH * first)
         found = cut(candidates(placed.where(F.col("turn") < FIRST_BANDS) if early else placed, first, last))
         pairs = found.where(~F.col("more")).select("a", "b").distinct()
         if early:
@@ -267,8 +269,9 @@ def _links(docs, nodes, members, width: int, similarity: float) -> DataFrame | N
             first = last
         if not fresh.isEmpty():
             edges = fresh if edges is None else cut(edges.unionByName(fresh).distinct())
-            roots = connected_components(edges).withColumnRenamed("root", "_root")
-            placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
+            roots = cut(connected_components(edges))
+            own = roots.withColumnRenamed("root", "_root")
+            placed = placed.join(own, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
 
 
 def _shingles(docs, nodes, members, width: int) -> DataFrame:
