@@ -21,6 +21,8 @@ SLICE_ROWS, SLICE_BYTES = 512, 1 << 18
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: A batch of long texts ends behind the row that reaches this size.
 BATCH_BYTES, BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+#: Rows the Parquet reader unpacks at once; 4096 long texts are arrays of many megabytes.
+READ, READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize", 256
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -28,9 +30,12 @@ def small_batches(spark: SparkSession) -> None:
 
     A number somebody set, at the start or since, stays, also where it is Spark's default.
     """
-    if BATCH not in spark.conf.getAll:
+    set_by_hand = spark.conf.getAll
+    if BATCH not in set_by_hand:
         spark.conf.set(BATCH, str(SLICE_ROWS))
         spark.conf.set(BATCH_BYTES, BYTES)
+    if READ not in set_by_hand:
+        spark.conf.set(READ, str(READ_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
