@@ -290,18 +290,6 @@ class Joined:
         return self.data[place].tobytes()
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-
-
-def vocabulary(source: str) -> Vocabulary:
-    """Built once a worker; what it remembers of fragments stays between tasks."""
-    name = hashlib.sha256(source.encode()).hexdigest()
-    if name not in _vocabularies:
-        _vocabularies.clear()
-        _vocabularies[name] = Vocabulary(source)
-    return _vocabularies[name]
-
-
 FIELDS = "ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -324,7 +312,8 @@ def encode(
     names = [f.split()[0] for f in fields.split(", ")]
 
     def make():
-        words = vocabulary(source.value)
+        # built for each task, so that workers at rest do not hold one each
+        words = Vocabulary(source.value)
 
         def apply(batch):
             found = {n: [] for n in ("ids", *names)}
@@ -351,7 +340,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
         source = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = vocabulary(source.value)
+        words = Vocabulary(source.value)
         for batch in batches:
             rows = (None if x is None else words.decode(np.array(x, np.int64)).decode() for x in batch.to_pylist())
             yield pa.array(rows, pa.string())

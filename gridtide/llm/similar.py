@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .support import as_bytes, cut, per_text
+from .support import as_bytes, cut, per_text, tidy
 
 #: Words of a shingle, and the similarity from which texts are linked.
 WIDTH, SIMILARITY = 5, 0.8
@@ -236,6 +236,8 @@ def candidates(members: DataFrame, first: int, last: int) -> DataFrame:
                 columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
                 yield pa.RecordBatch.from_arrays(columns, ["band", "a", "b", "more"])
                 out = []
+        del tree, planted
+        tidy()
 
     return ordered.mapInArrow(run, schema)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -86,11 +89,25 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def tidy() -> None:
+    """Give memory back at the end of a task.
+
+    Spark keeps more Python workers than run at a time, and a worker at rest should hold little
+    of what its last task needed.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
     """Columns of small parts of record batches as lists; the first column holds the texts."""
     for batch in batches:
         for first, last in slices(batch.column(0)):
             yield [c.slice(first, last - first).to_pylist() for c in batch.columns]
+        del batch
+    tidy()
 
 
 def per_text(make: Callable[[], Callable[[list], pa.Array]], schema: str):
@@ -101,6 +118,9 @@ def per_text(make: Callable[[], Callable[[list], pa.Array]], schema: str):
         for batch in batches:
             parts = [apply(batch.slice(a, b - a).to_pylist()) for a, b in slices(batch)]
             yield pa.concat_arrays(parts) if parts else apply([])
+            del batch, parts
+        del apply
+        tidy()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, schema)
