@@ -33,7 +33,7 @@ ABSORBED, OF = 80, 100
 SCALE = 2_000_000
 UNKNOWN = "und"
 #: Words that a task holds at once, and suffixes of one routed group, about.
-BLOCK_WORDS, GROUP_SUFFIXES = 1 << 20, 1 << 20
+BLOCK_WORDS, GROUP_SUFFIXES = 1 << 21, 1 << 20
 #: Buckets in which suffixes are counted by their leading words: powers of two.
 FEWEST_BUCKETS, MOST_BUCKETS = 12, 22
 #: Partitions this small are sorted and counted in one step.
@@ -144,14 +144,14 @@ def _heat_batch(lang, depth, bucket, n) -> pa.RecordBatch:
     )
 
 
-ROUTED = "lang string, depth int, cell long, words array<binary>, ids array<int>, n array<int>"
+ROUTED = "lang string, depth int, cell long, words binary, ids array<int>, n array<int>"
 
 
 def routed(docs: DataFrame, hot: list[list[int]], bits: int, cells: int) -> DataFrame:
     """Suffixes of each block, a row for each group they are routed to.
 
     ``depth`` is the number of leading words that the suffixes of a group share the routing
-    by; ``ids`` has the places in ``words``, from 1, of all first words, then of all second ones and
+    by; ``words`` are joined by spaces; ``ids`` has the places among them, from 1, of all first words, then of all second ones and
     so on: they come in order, so the long runs of equal numbers take little room in a shuffle.
     """
 
@@ -178,11 +178,10 @@ def routed(docs: DataFrame, hot: list[list[int]], bits: int, cells: int) -> Data
 
 
 def _routed_batches(lang, words, rows, n, depth, cell, ends) -> Iterator[pa.RecordBatch]:
-    whole = pa.array(words, pa.binary())
     held, number = np.zeros(len(words), bool), np.zeros(len(words), np.int32)
     first = 0
     for some in np.array_split(ends, max(1, len(ends) // 256)):
-        begin, own, places, sizes = first, [], [], []
+        begin, own, places = first, [], []
         for end in some:
             part = rows[first:end]
             held[part] = True
@@ -190,8 +189,7 @@ def _routed_batches(lang, words, rows, n, depth, cell, ends) -> Iterator[pa.Reco
             used = np.flatnonzero(held)
             held[used] = False
             number[used] = np.arange(1, len(used) + 1)
-            own.append(used)
-            sizes.append(len(used))
+            own.append(b" ".join(map(words.__getitem__, used.tolist())))
             places.append(number[part].T.reshape(-1))
             first = end
         offsets = np.append(begin, some) - begin
@@ -202,7 +200,7 @@ def _routed_batches(lang, words, rows, n, depth, cell, ends) -> Iterator[pa.Reco
                 pa.array([lang] * len(some), pa.string()),
                 pa.array(depth[heads], pa.int32()),
                 pa.array(cell[heads], pa.int64()),
-                pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), whole.take(pa.array(np.concatenate(own)))),
+                pa.array(own, pa.binary()),
                 pa.ListArray.from_arrays((offsets * LONGEST).astype(np.int32), pa.array(np.concatenate(places))),
                 pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(counts, pa.int32())),
             ],
@@ -310,7 +308,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
 
         for part in batches:
             keys = zip(*(part.column(i).to_pylist() for i in range(3)))
-            lists = [part.column(i) for i in range(3, 6)]
+            texts, ids, counts = (part.column(i) for i in range(3, 6))
             for i, key in enumerate(keys):
                 if key != held:
                     close()
@@ -318,8 +316,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
                     if len(out) > 1 << 14:
                         yield batch()
                         out.clear()
-                words, ids, n = (c[i].values for c in lists)
-                group.add(words.to_pylist(), ids.to_numpy(), n.to_numpy())
+                words = texts[i].as_py().split(b" ")
+                group.add(words, ids[i].values.to_numpy(), counts[i].values.to_numpy())
         close()
         if out:
             yield batch()
