@@ -46,7 +46,8 @@ def reached(months: list[str | None], back: bool = False) -> list[str | None]:
         if month is not None:
             first = datetime.strptime(month, "%Y-%m")
             after = (first.replace(day=28) + timedelta(days=4)).replace(day=1)
-            span = [first - REACH, first] if back else [first, after + REACH]
+            # the last moment of the month is before the next one's first
+            span = [first - REACH, first] if back else [first, after + REACH - timedelta.resolution]
             at = span[0].replace(day=1)
             while at <= span[1]:
                 found.add(at.strftime("%Y-%m"))
