@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lookups as L
-from . import stateful
+from .stateful import ALERT_SCHEMA, _alerts, _fire, _known
 
 # the functions below travel with the job, so executors need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -140,10 +140,10 @@ def alert_cooldown_history(
     def fire(key, pdf):
         carried = int(pdf["carried"].iloc[0])
         instants = np.sort(pdf["micros"].to_numpy("int64"))
-        return stateful._alerts(key[0], stateful._fire(instants, carried, cooldown))
+        return _alerts(key[0], _fire(instants, carried, cooldown))
 
     at_day = F.floor(F.col("micros") / F.lit(day)).cast("long")
-    instants = stateful._known(anomalies).distinct().withColumn("day", at_day)
+    instants = _known(anomalies).distinct().withColumn("day", at_day)
     days = instants.groupBy("region_id", "day").applyInPandas(summarize, STEPS)
     days = days.withColumn("span", F.floor(F.col("day") / SPAN_DAYS).cast("long"))
     spans = days.groupBy("region_id", "span").applyInPandas(compose, SPANS)
@@ -154,4 +154,4 @@ def alert_cooldown_history(
         spread, "region_id string, day long, carried long"
     )
     ready = instants.join(carried, ["region_id", "day"]).select("region_id", "day", "micros", "carried")
-    return ready.groupBy("region_id", "day").applyInPandas(fire, stateful.ALERT_SCHEMA)
+    return ready.groupBy("region_id", "day").applyInPandas(fire, ALERT_SCHEMA)
