@@ -193,9 +193,11 @@ class Tree:
             todo += [child for d, child in self.children[node].items() if low <= d <= high]
 
 
-def candidates(members: DataFrame, first: int, last: int) -> DataFrame:
+def candidates(members: DataFrame, first: int, last: int, closest: bool = False) -> DataFrame:
     """``band, a, b, more``: what searches of each shard find from number ``first`` to ``last``.
 
+    Only the closest one of a search, if asked for: it is the likeliest to be similar.
+
     ``members`` has ``band, node, fp, rows, root``.  Each row asks the tree of the rows before
     it (and those of other parts, in a large shard).  ``more`` tells that a search has finds
     behind ``last``.  Pairs of one root are known to be joined and left out, but counted.
@@ -221,13 +223,17 @@ def candidates(members: DataFrame, first: int, last: int) -> DataFrame:
                     held, tree, planted = (band, low, high), Tree(), []
                 value = int.from_bytes(fp, "little")
                 if asks or low == high:
+                    finds = []
                     for number, place in enumerate(tree.within(value, RADIUS)):
                         other, other_root = planted[place]
                         if number >= last:
                             out.append((band, None, None, True))
                             break
                         if number >= first and other_root != root:
-                            out.append((band, min(node, other), max(node, other), False))
+                            finds.append(((value ^ tree.values[place]).bit_count(), other))
+                    if closest and finds:
+                        finds = [min(finds)]
+                    out += [(band, min(node, other), max(node, other), False) for _, other in finds]
                 if not asks:
                     tree.add(value)
                     planted.append((node, root))
@@ -246,12 +252,13 @@ def _joined(docs, nodes, members, width: int, similarity: float) -> DataFrame |
     """``node, root`` of the components of all pairs that are similar; None without any.
 
     A round takes one find of each search, the next those up to the eighth, then up to the
-    64th and so on, and leaves out shards whose members earlier links join as a whole, so a
-    family of near copies costs a few comparisons a member.  A tree has at most TREE_ROWS
-    rows, so there are at most six rounds, and after the last one every pair within the radius
-    is joined or was compared.
+    64th and so on: first only the closest one of them, then all, if that has not joined the
+    shard.  Shards whose members earlier links join as a whole are left out, so a family of
+    near copies costs a few comparisons a member.  A tree has at most TREE_ROWS rows, so there
+    are few rounds, and after the last one every pair within the radius is joined or was
+    compared.
     """
-    shingles, edges, roots, first = None, None, None, 0
+    shingles, edges, roots, first, closest = None, None, None, 0, False
     placed = members.withColumn("root", F.col("node"))
     while True:
         whole = placed.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
@@ -261,14 +268,17 @@ def _joined(docs, nodes, members, width: int, similarity: float) -> DataFrame |
         # the first round runs twice: over some bands, then over all that are left
         early = shingles is None
         last = max(1, GROWTH * first)
-        found = cut(candidates(placed.where(F.col("turn") < FIRST_BANDS) if early else placed, first, last))
+        some = placed.where(F.col("turn") < FIRST_BANDS) if early else placed
+        found = cut(candidates(some, first, last, closest))
         pairs = found.where(~F.col("more")).select("a", "b").distinct()
         if early:
             shingles = cut(_shingles(docs, nodes, placed, width))
         fresh = cut(_confirmed(pairs, shingles, similarity))
-        if not early:
+        if not early and not closest:
             placed = placed.join(found.where("more").select("band").distinct(), "band", "left_semi")
             first = last
+        # behind the first find, the closest ones go before all
+        closest = not early and not closest
         if not fresh.isEmpty():
             edges = fresh if edges is None else cut(edges.unionByName(fresh).distinct())
             roots = cut(connected_components(edges))
