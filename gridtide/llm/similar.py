@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .support import as_bytes, cut, per_text, tidy
+from .support import as_bytes, cut, gathered, per_text, tidy
 
 #: Words of a shingle, and the similarity from which texts are linked.
 WIDTH, SIMILARITY = 5, 0.8
@@ -36,6 +36,8 @@ TREE_ROWS = 4096
 FIRST_BANDS = 5
 #: Each round takes finds up to this many times as many as the one before.
 GROWTH = 8
+#: Rows with shingles that are worth a task.
+SHINGLE_ROWS = 2048
 #: Ids that are sent to every task on purpose, at most.
 BROADCAST_IDS = 200_000
 
@@ -257,33 +259,49 @@ def _joined(docs, nodes, members, width: int, similarity: float) -> DataFrame |
     near copies costs a few comparisons a member.  A tree has at most TREE_ROWS rows, so there
     are few rounds, and after the last one every pair within the radius is joined or was
     compared.
+
+    Links of earlier rounds go on as stars, a link from each node to its root.  Rounds are many
+    and get ever smaller, so each step has as many tasks as its rows are worth.
     """
-    shingles, edges, roots, first, closest = None, None, None, 0, False
-    placed = members.withColumn("root", F.col("node"))
+    shingles, roots, first, closest = None, None, 0, False
+    rows = members.count()
+    placed = gathered(members, rows).withColumn("root", F.col("node"))
     while True:
         whole = placed.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-        placed = cut(placed.join(whole.where("_low < _high"), "band").drop("_low", "_high"))
-        if placed.isEmpty():
+        placed = placed.join(whole.where("_low < _high"), "band").drop("_low", "_high")
+        placed = cut(gathered(placed, rows))
+        rows = placed.count()
+        if not rows:
             return roots
+        placed = gathered(placed, rows)
         # the first round runs twice: over some bands, then over all that are left
         early = shingles is None
         last = max(1, GROWTH * first)
         some = placed.where(F.col("turn") < FIRST_BANDS) if early else placed
         found = cut(candidates(some, first, last, closest))
+        finds = found.count()
+        found = gathered(found, finds)
         pairs = found.where(~F.col("more")).select("a", "b").distinct()
         if early:
             shingles = cut(_shingles(docs, nodes, placed, width))
-        fresh = cut(_confirmed(pairs, shingles, similarity))
+            shingles = gathered(shingles, shingles.count(), SHINGLE_ROWS)
+        fresh = cut(_confirmed(gathered(pairs, finds), shingles, similarity))
         if not early and not closest:
-            placed = placed.join(found.where("more").select("band").distinct(), "band", "left_semi")
+            searched = found.where("more").select("band").distinct()
+            placed = gathered(placed.join(searched, "band", "left_semi"), rows)
             first = last
         # behind the first find, the closest ones go before all
         closest = not early and not closest
-        if not fresh.isEmpty():
-            edges = fresh if edges is None else cut(edges.unionByName(fresh).distinct())
-            roots = cut(connected_components(edges))
+        links = fresh.count()
+        if links:
+            stars = 0 if roots is None else roots.count()
+            if stars:
+                fresh = fresh.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
+            roots = connected_components(gathered(fresh, links + stars))
+            roots = cut(gathered(roots, links + stars))
             own = roots.withColumnRenamed("root", "_root")
             placed = placed.join(own, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
+            placed = gathered(placed, rows)
 
 
 def _shingles(docs, nodes, members, width: int) -> DataFrame:
@@ -303,12 +321,14 @@ def _shingles(docs, nodes, members, width: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose shingles are similar enough."""
+    rows = pairs.count()
     sizes = shingles.select("node", "n")
     known = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
     # texts of too different length need no comparison
     near = known.where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-6)
     whole = shingles.select("node", "shingles")
-    both = near.join(whole.toDF("a", "s_a"), "a").join(whole.toDF("b", "s_b"), "b")
+    first = gathered(near.join(whole.toDF("a", "s_a"), "a"), rows, SHINGLE_ROWS)
+    both = gathered(first.join(whole.toDF("b", "s_b"), "b"), rows, SHINGLE_ROWS)
     common = F.size(F.array_intersect("s_a", "s_b"))
     enough = common * (1 + similarity) >= similarity * (F.col("n_a") + F.col("n_b")) - 1e-6
     return both.where(enough).select("a", "b")

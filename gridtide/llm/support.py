@@ -19,6 +19,8 @@ from ..session import scratch_dir
 LABELLED_ROWS = 20_000
 #: Largest table that is sent to every executor on purpose.
 BROADCAST_ROWS = 50_000
+#: Rows that are worth a task, where steps over few rows follow one another.
+TASK_ROWS = 16_384
 #: Rows and bytes of text that are Python objects at once in a task, at most, but for one text.
 SLICE_ROWS, SLICE_BYTES = 512, 1 << 18
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -59,6 +61,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def gathered(df: DataFrame, rows: int, each: int = TASK_ROWS) -> DataFrame:
+    """In a task for ``each`` of about so many rows, but as many as run at a time at least.
+
+    Without it every step over a few thousand rows starts a task, and leaves shuffle and
+    checkpoint files, for each shuffle partition, unless adaptive execution joins these.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns; input columns whose names differ from a new one at most in case are replaced."""
     new = {name.lower() for name in columns}

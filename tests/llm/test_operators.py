@@ -826,3 +826,28 @@ def test_pipeline(spark, tmp_path):
     texts = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
     for r in whole.collect():
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_few_edges_take_few_tasks(spark):
+    # adaptive execution that joins no partitions leaves a task for each of them in every step
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    context = spark.sparkContext
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few edges", "few edges")
+        found = connected_components(spark.createDataFrame(edges, "a long, b long"))
+        assert {(r["node"], r["root"]) for r in found.collect()} == (
+            {(i, 0) for i in range(41)} | {(i, 100) for i in range(100, 140)}
+        )
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tracker = context.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup("few edges") for s in tracker.getJobInfo(job).stageIds}
+    ran = sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+    assert ran < 2500
