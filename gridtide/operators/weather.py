@@ -15,14 +15,13 @@ BASE_TEMPERATURE_F = 65.0
 def pivot_measures(records: DataFrame) -> DataFrame:
     """Long station records to one row per station and day, a column per measure.
 
-    Naming the measures spares the extra pass that would look for them.
+    Naming the measures spares the extra pass that would look for them.  Each is an aggregate
+    under a condition, so the records of a day that lie together become one row before they are
+    shuffled; a pivot would shuffle them by measure first.
     """
     value = S.to_double(F.col("value"))
-    return (
-        records.groupBy("station", F.to_date("date").alias("date"))
-        .pivot("datatype", list(L.WEATHER_MEASURES))
-        .agg(F.max(value))
-    )
+    measures = [F.max(F.when(F.col("datatype") == m, value)).alias(m) for m in L.WEATHER_MEASURES]
+    return records.groupBy("station", F.to_date("date").alias("date")).agg(*measures)
 
 
 def daily_degree_days(daily: DataFrame) -> DataFrame:

@@ -194,3 +194,23 @@ def test_residual_matches_least_squares(spark):
     np.testing.assert_allclose(out[out.region_id == "two"].residual_mw, y - fit, atol=1e-8)
     np.testing.assert_allclose(out[out.region_id == "one"].residual_mw, 0, atol=1e-8)
     np.testing.assert_allclose(out[out.region_id == "flat"].expected_mw, 19.5)
+
+
+def test_pivot_shuffles_once(spark, capsys):
+    schema = "station string, date string, datatype string, value string"
+    rows = [("a", "2024-01-01", m, v) for m, v in
+            (("TAVG", "70"), ("TAVG", "71.5"), ("TMAX", None), ("TMIN", "NaN"), ("TMIN", "3"), ("CDSD", "x"))]
+    rows += [("a", "2024-01-02", "SNOW", "1"), ("b", "2024-01-01", None, "2"), (None, None, "HDSD", "4")]
+    records = spark.createDataFrame(rows, schema)
+    wide = W.pivot_measures(records)
+    wide.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+    assert wide.columns == ["station", "date", "TAVG", "TMAX", "TMIN", "CDSD", "HDSD"]
+    got = {(r["station"], str(r["date"])): tuple(map(str, r[2:])) for r in wide.collect()}
+    none = ("None",) * 5
+    assert got == {
+        ("a", "2024-01-01"): ("71.5", "None", "nan", "None", "None"),
+        ("a", "2024-01-02"): none,
+        ("b", "2024-01-01"): none,
+        (None, "None"): ("None", "None", "None", "None", "4.0"),
+    }
