@@ -187,7 +187,7 @@ def weather_pivot(spark, sf):
 def _landed(pages: DataFrame, feed: feeds.Feed) -> DataFrame:
     """Records of pages that were written to the shared folder, one page a line."""
     folder = scratch_dir(pages.sparkSession, "pages")
-    pages.select("body").write.text(folder)
+    landing.land_pages(pages, folder)
     return landing.read_feed(pages.sparkSession, folder, feed, lines=True)
 
 

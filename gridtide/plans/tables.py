@@ -229,22 +229,26 @@ def _daily_station(spark, sf, station: Column) -> DataFrame:
     )
     cooling, heating = W.degree_days_of(F.col("TAVG"))
     season = (
-        Window.partitionBy("station", F.year("date"))
+        Window.partitionBy("station", "year")
         .orderBy("date")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return daily.withColumns(
+    return daily.withColumn("year", F.year("date")).withColumns(
         {"CDSD": running_sum(cooling, season), "HDSD": running_sum(heating, season)}
     )
 
 
-def supplier_stations(spark, sf) -> DataFrame:
+def _supplier_days(spark, sf) -> DataFrame:
     return _daily_station(spark, sf, F.concat(F.lit("S"), F.col("l_suppkey")))
 
 
+def supplier_stations(spark, sf) -> DataFrame:
+    return _supplier_days(spark, sf).drop("year")
+
+
 def market_stations(spark, sf) -> DataFrame:
     names = tuple(s for stations in L.MARKET_STATIONS.values() for s in stations)
-    return _daily_station(spark, sf, pick(names, F.col("l_suppkey")))
+    return _daily_station(spark, sf, pick(names, F.col("l_suppkey"))).drop("year")
 
 
 def station_records(spark, sf) -> DataFrame:
@@ -463,9 +467,27 @@ def result_pages(records: DataFrame, *page: Column) -> DataFrame:
 
 
 def climate_pages(spark, sf) -> DataFrame:
-    """Pages of one station and month each."""
-    records = station_records(spark, sf).withColumn("value", F.col("value").cast("string"))
-    return result_pages(records, F.col("station"), F.substring("date", 1, 7))
+    """Pages of one station and month each.
+
+    Days are gathered whole and make their records, one for each measure, in the page.  The rows
+    of a station and year already lie together, so their pages need no shuffle.
+    """
+    days = _supplier_days(spark, sf).withColumn("date", F.col("date").cast("string"))
+    day = F.struct("station", "date", *L.WEATHER_MEASURES)
+    pages = days.groupBy("station", "year", F.substring("date", 1, 7)).agg(F.collect_list(day).alias("days"))
+    records = F.flatten(F.transform("days", _day_records))
+    return pages.select(F.to_json(F.struct(records.alias("results"))).alias("body"))
+
+
+def _day_records(day: Column) -> Column:
+    """Records of a day as the feed has them."""
+    named = [day[n].alias(n) for n in ("station", "date")]
+    return F.array(
+        *[
+            F.struct(*named, F.lit(m).alias("datatype"), day[m].cast("string").alias("value"))
+            for m in L.WEATHER_MEASURES
+        ]
+    )
 
 
 def station_pages(spark, sf) -> DataFrame:

@@ -11,6 +11,9 @@ from ..functions import scalar as S
 from . import schemas
 from .feeds import DAY_PART, Feed, parse_pages, records
 
+#: Pages of a landed file that holds one a line.
+PAGES_PER_FILE = 10_000
+
 
 def read_pages(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """Pages with their envelope, one JSON document per file, and the page's file path.
@@ -23,6 +26,15 @@ def read_pages(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     return parse_pages(pages, feed)
 
 
+def land_pages(pages: DataFrame, path: str, body: str = "body") -> None:
+    """Write pages one a line, compressed: field names are most of a page.
+
+    Such a file is read by one task, so files are many rather than large.
+    """
+    files = pages.select(body).write.option("compression", "gzip")
+    files.option("maxRecordsPerFile", PAGES_PER_FILE).text(path)
+
+
 def read_feed(spark: SparkSession, path: str, feed: Feed, lines: bool = False) -> DataFrame:
     """All records of a landed feed; an empty folder gives an empty, typed result."""
     if lines:

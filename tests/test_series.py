@@ -1,3 +1,4 @@
+import json
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 
 from gridtide.operators import timeseries as TS
 from gridtide.operators import weather as W
+from gridtide.plans import tables as T
+from gridtide.sources import feeds, landing
 
 SERIES = "region_id string, timestamp timestamp, demand_mw double, temperature_f double"
 START = datetime(2024, 1, 1)
@@ -214,3 +217,35 @@ def test_pivot_shuffles_once(spark, capsys):
         ("b", "2024-01-01"): none,
         (None, "None"): ("None", "None", "None", "None", "4.0"),
     }
+
+
+def test_climate_pages_shuffle_days_only(spark, tmp_path, capsys):
+    rows = [(k % 3 if k % 7 else None, float(k % 11), START + timedelta(days=k // 2)) for k in range(150)]
+    rows += [(1, None, START), (2, 5.0, None)]
+    schema = "l_suppkey long, l_quantity double, l_shipdate timestamp"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    pages = T.climate_pages(spark, str(tmp_path))
+    pages.explain()
+    # days of a station, then its years; their pages need none of their own
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 2
+    long = T.station_records(spark, str(tmp_path)).withColumn("value", F.col("value").cast("string"))
+    plain = T.result_pages(long, F.col("station"), F.substring("date", 1, 7))
+
+    def content(found):
+        return sorted(sorted(map(str, json.loads(r["body"])["results"])) for r in found.collect())
+
+    assert content(pages) == content(plain) and pages.count() > 6
+
+
+def test_landed_pages_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "PAGES_PER_FILE", 4)
+    record = {"station": "S", "date": "2024-01-01", "datatype": "TAVG", "value": "1.0"}
+    bodies = [json.dumps({"results": [record | {"value": f"{p}.{i}"} for i in range(100)]}) for p in range(10)]
+    pages = spark.createDataFrame([(b,) for b in bodies], "body string").coalesce(1)
+    path = tmp_path / "pages"
+    landing.land_pages(pages, str(path))
+    files = list(path.glob("part-*"))
+    assert len(files) == 3
+    assert sum(f.stat().st_size for f in files) * 5 < sum(map(len, bodies))
+    got = landing.read_feed(spark, str(path), feeds.CLIMATE, lines=True)
+    assert sorted(r["value"] for r in got.collect()) == sorted(f"{p}.{i}" for p in range(10) for i in range(100))
