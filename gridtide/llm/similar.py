@@ -263,13 +263,16 @@ def _joined(docs, nodes, members, width: int, similarity: float) -> DataFrame |
     Links of earlier rounds go on as stars, a link from each node to its root.  Rounds are many
     and get ever smaller, so each step has as many tasks as its rows are worth.
     """
-    shingles, roots, first, closest = None, None, 0, False
+    shingles, roots, searched, first, closest = None, None, None, 0, False
     rows = members.count()
     placed = gathered(members, rows).withColumn("root", F.col("node"))
     while True:
         whole = placed.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-        placed = placed.join(whole.where("_low < _high"), "band").drop("_low", "_high")
-        placed = cut(gathered(placed, rows))
+        whole = whole.where("_low < _high")
+        if searched is not None:
+            whole = whole.join(searched, "band", "left_semi")
+        placed = placed.join(whole, "band").drop("_low", "_high")
+        placed, searched = cut(gathered(placed, rows)), None
         rows = placed.count()
         if not rows:
             return roots
@@ -287,8 +290,8 @@ def _joined(docs, nodes, members, width: int, similarity: float) -> DataFrame |
             shingles = gathered(shingles, shingles.count(), SHINGLE_ROWS)
         fresh = cut(_confirmed(gathered(pairs, finds), shingles, similarity))
         if not early and not closest:
+            # shards, not their rows, are held against those with finds left
             searched = found.where("more").select("band").distinct()
-            placed = gathered(placed.join(searched, "band", "left_semi"), rows)
             first = last
         # behind the first find, the closest ones go before all
         closest = not early and not closest
