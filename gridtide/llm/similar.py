@@ -3,6 +3,8 @@
 Texts that share all minima of a band of MinHash values form a shard.  Within a shard their
 SimHash fingerprints are put into a BK-tree, and a search that follows only the edges within a
 radius finds which texts can be similar at all; links are confirmed by comparing the shingles.
+Before that a find must pass a bound: as many shingles as the parities of two sets differ in,
+at least, are in only one of them, and similar sets of their sizes differ in no more than so many.
 Fingerprints have many bits, because at a similarity of 0.8 about 15 % of them differ, and
 shards are no blocks of those bits, because none that is worth shuffling would agree.
 """
@@ -28,6 +30,8 @@ BANDS, BAND_ROWS = 40, 6
 #: At 0.8 a pair of sets of six shingles or more differs in 165 bits at most, on average, with a
 #: deviation of 12; sets of four and five shingles in 192.
 BITS, RADIUS = 1024, 240
+#: Bits of parities for a shingle, about, and for a set, at least and at most.
+PARITY_BITS, LEAST_BITS, MOST_BITS = 4, 256, 1 << 16
 #: Shingles that are permuted at once, so that the products stay in the cache.
 CHUNK = 256
 #: Rows of one tree; a larger shard is cut into parts, and each pair of parts is a group.
@@ -100,10 +104,36 @@ def fingerprint(hashes: np.ndarray, salts: np.ndarray, ties: np.ndarray) -> byte
     return np.packbits(4 * ones + 2 * ties - 1 > 2 * len(hashes)).tobytes()
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """Odd sketch of a set: for each remainder of the hashes, whether an odd number has it.
+
+    The number of bits is a power of two that grows with the set, so that few shingles which
+    are in only one of two similar sets meet in a bit and hide each other.
+    """
+    size = LEAST_BITS
+    while size < min(MOST_BITS, PARITY_BITS * len(hashes)):
+        size *= 2
+    counts = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits(counts & 1, bitorder="little").tobytes()
+
+
+def difference(a: int, a_size: int, b: int, b_size: int) -> int:
+    """Shingles that are in only one of two sets, at least: never more than there are.
+
+    The larger of two sketches of so many bits is folded to the size of the other one.
+    """
+    while a_size != b_size:
+        if a_size < b_size:
+            a, a_size, b, b_size = b, b_size, a, a_size
+        a_size //= 2
+        a = (a >> a_size) ^ (a & ((1 << a_size) - 1))
+    return (a ^ b).bit_count()
+
+
 def _sketched(width: int, keys: bool, shingles: bool):
     fields = {"id": pa.binary()}
     if keys:
-        fields |= {"bands": pa.list_(pa.int64()), "fp": pa.binary()}
+        fields |= {"bands": pa.list_(pa.int64()), "fp": pa.binary(), "odd": pa.binary(), "n": pa.int64()}
     if shingles:
         fields["shingles"] = pa.list_(pa.int64())
     kind = pa.struct(list(fields.items()))
@@ -120,6 +150,7 @@ def _sketched(width: int, keys: bool, shingles: bool):
                 if keys:
                     row["bands"] = bands(hashes, factors)
                     row["fp"] = fingerprint(hashes, salts, ties)
+                    row["odd"], row["n"] = parities(hashes), len(hashes)
                 if shingles:
                     row["shingles"] = hashes.view(np.int64)
                 rows.append(row)
@@ -127,7 +158,7 @@ def _sketched(width: int, keys: bool, shingles: bool):
 
         return apply
 
-    parts = ["id:binary"] + ["bands:array<long>", "fp:binary"] * keys + ["shingles:array<long>"] * shingles
+    parts = ["id:binary"] + ["bands:array<long>", "fp:binary", "odd:binary", "n:long"] * keys + ["shingles:array<long>"] * shingles
     return per_text(make, f"struct<{','.join(parts)}>")
 
 
@@ -148,7 +179,8 @@ def similar_texts(
         raise ValueError("bands and radius are made for similarities from 0.8 to 1")
     found = docs.select("doc_id", _sketched(width, True, False)(as_bytes("text")).alias("_s"))
     sets = found.groupBy(F.col("_s.id").alias("set")).agg(
-        F.min("doc_id").alias("first_id"), F.any_value("_s.bands").alias("bands"), F.any_value("_s.fp").alias("fp")
+        F.min("doc_id").alias("first_id"),
+        *[F.any_value(f"_s.{name}").alias(name) for name in ("bands", "fp", "odd", "n")],
     )
     # the checkpoint keeps these numbers
     sets = cut(sets.withColumn("node", F.monotonically_increasing_id()))
@@ -156,7 +188,9 @@ def similar_texts(
     members = sets.select("node", F.posexplode("bands").alias("turn", "band"))
     shared = members.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
     members = members.join(shared, "band").select("band", "turn", "node", F.col("_n").alias("rows"))
-    members = cut(members.join(sets.select("node", "fp"), "node"))
+    # similar sets differ in so many shingles, at most, as both their rooms hold
+    room = F.col("n") * (1 - similarity) / (1 + similarity)
+    members = cut(members.join(sets.select("node", "fp", "odd", room.alias("room")), "node"))
     roots = _joined(docs, nodes, members, width, similarity)
     if roots is None:
         return nodes.select("set", "first_id", F.col("node").alias("root"))
@@ -200,9 +234,11 @@ def candidates(members: DataFrame, first: int, last: int, closest: bool = False)
 
     Only the closest one of a search, if asked for: it is the likeliest to be similar.
 
-    ``members`` has ``band, node, fp, rows, root``.  Each row asks the tree of the rows before
-    it (and those of other parts, in a large shard).  ``more`` tells that a search has finds
-    behind ``last``.  Pairs of one root are known to be joined and left out, but counted.
+    ``members`` has ``band, node, fp, odd, room, rows, root``.  Each row asks the tree of the rows
+    before it (and those of other parts, in a large shard).  A find is within the radius, and its
+    parities do not rule out that it is similar.  ``more`` tells that a search has finds
+    behind ``last``.  Pairs of one root are known to be joined and left out; only those up to
+    ``last`` are counted.
     """
     parts = F.ceil(F.col("rows") / TREE_ROWS).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -211,7 +247,7 @@ def candidates(members: DataFrame, first: int, last: int, closest: bool = False)
     )
     cells = placed.select(
         "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        (F.col("own") > F.col("other")).alias("asks"), "node", "fp", "root",
+        (F.col("own") > F.col("other")).alias("asks"), "node", "fp", "odd", "room", "root",
     )
     group = ["band", "low", "high"]
     ordered = cells.repartition(*group).sortWithinPartitions(*group, "asks", "node")
@@ -220,25 +256,31 @@ def candidates(members: DataFrame, first: int, last: int, closest: bool = False)
     def run(batches):
         held, tree, planted, out = None, Tree(), [], []
         for batch in batches:
-            for band, low, high, asks, node, fp, root in zip(*(c.to_pylist() for c in batch.columns)):
+            for band, low, high, asks, node, fp, odd, room, root in zip(*(c.to_pylist() for c in batch.columns)):
                 if (band, low, high) != held:
                     held, tree, planted = (band, low, high), Tree(), []
                 value = int.from_bytes(fp, "little")
+                bits, size = int.from_bytes(odd, "little"), 8 * len(odd)
                 if asks or low == high:
-                    finds = []
-                    for number, place in enumerate(tree.within(value, RADIUS)):
-                        other, other_root = planted[place]
+                    finds, number = [], 0
+                    for place in tree.within(value, RADIUS):
+                        other, other_root, other_bits, other_size, other_room = planted[place]
+                        if number >= last and other_root == root:
+                            continue
+                        if difference(bits, size, other_bits, other_size) > room + other_room + 1e-5:
+                            continue
                         if number >= last:
                             out.append((band, None, None, True))
                             break
                         if number >= first and other_root != root:
                             finds.append(((value ^ tree.values[place]).bit_count(), other))
+                        number += 1
                     if closest and finds:
                         finds = [min(finds)]
                     out += [(band, min(node, other), max(node, other), False) for _, other in finds]
                 if not asks:
                     tree.add(value)
-                    planted.append((node, root))
+                    planted.append((node, root, bits, size, room))
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
                 columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]

@@ -667,6 +667,44 @@ def test_unlike_family_takes_few_rounds(spark, monkeypatch):
     assert len(rounds) <= 10 and sum(pairs) < 30_000
 
 
+def test_parities_never_rule_out_a_similar_set():
+    rng = np.random.default_rng(3)
+    for size in (1, 4, 40, 63, 66, 300, 3000, 40_000):
+        a = rng.integers(0, 1 << 64, size, np.uint64)
+        for lost in {0, 1, size // 9, size // 2, size}:
+            b = np.concatenate([a[lost:], rng.integers(0, 1 << 64, lost // 2, np.uint64)])
+            apart = len(np.setxor1d(a, b))
+            x, y = similar.parities(a), similar.parities(b)
+            sides = [(int.from_bytes(z, "little"), 8 * len(z)) for z in (x, y)]
+            least = similar.difference(*sides[0], *sides[1])
+            assert least == similar.difference(*sides[1], *sides[0]) <= apart
+            # and nearly all of few differences are seen
+            assert apart > size / 4 or len(x) != len(y) or 8 * len(x) == similar.MOST_BITS or least >= 0.8 * apart - 2
+
+
+def test_loners_of_a_family_are_not_compared_with_all(spark, monkeypatch):
+    pairs, confirm = [], similar._confirmed
+
+    def compared(found, shingles, similarity):
+        pairs.append(found.count())
+        return confirm(found, shingles, similarity)
+
+    monkeypatch.setattr(similar, "_confirmed", compared)
+    rng = random.Random(12)
+    rows = []
+    # one word of 200 replaced: similar to each other; five words: at most 0.77, to any other text
+    for i in range(400):
+        words = [f"c{j}" for j in range(200)]
+        for at in rng.sample(range(5, 195, 5), 1 if i < 200 else 5):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in neardup.deduplicated(docs).collect())
+    assert kept == [0, *range(200, 400)]
+    # of 59,900 with a loner
+    assert sum(pairs) < 4000
+
+
 def test_repeated_ids_of_unequal_text(spark):
     def words(k):
         return " ".join(f"{k}v{i}" for i in range(60))
