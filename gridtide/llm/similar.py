@@ -237,14 +237,16 @@ def candidates(members: DataFrame, first: int, last: int, closest: bool = False)
     ``members`` has ``band, node, fp, odd, room, rows, root``.  Each row asks the tree of the rows
     before it (and those of other parts, in a large shard).  A find is within the radius, and its
     parities do not rule out that it is similar.  ``more`` tells that a search has finds
-    behind ``last``.  Pairs of one root are known to be joined and left out; only those up to
+    behind ``last``, or others than the closest one.  Pairs of one root are known to be joined and left out; only those up to
     ``last`` are counted.
     """
     parts = F.ceil(F.col("rows") / TREE_ROWS).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    placed = members.withColumn("parts", parts).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
+    placed = members.withColumn("parts", parts).withColumn("own", own)
+    # only the rows of a large shard go to several groups
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    alone = placed.where("parts = 1").withColumn("other", F.lit(0))
+    placed = alone.unionByName(placed.where("parts > 1").withColumn("other", others))
     cells = placed.select(
         "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         (F.col("own") > F.col("other")).alias("asks"), "node", "fp", "odd", "room", "root",
@@ -275,7 +277,8 @@ def candidates(members: DataFrame, first: int, last: int, closest: bool = False)
                         if number >= first and other_root != root:
                             finds.append(((value ^ tree.values[place]).bit_count(), other))
                         number += 1
-                    if closest and finds:
+                    if closest and len(finds) > 1:
+                        out.append((band, None, None, True))
                         finds = [min(finds)]
                     out += [(band, min(node, other), max(node, other), False) for _, other in finds]
                 if not asks:
@@ -331,10 +334,10 @@ def _joined(docs, nodes, members, width: int, similarity: float) -> DataFrame |
             shingles = cut(_shingles(docs, nodes, placed, width))
             shingles = gathered(shingles, shingles.count(), SHINGLE_ROWS)
         fresh = cut(_confirmed(gathered(pairs, finds), shingles, similarity))
-        if not early and not closest:
+        if not early:
             # shards, not their rows, are held against those with finds left
             searched = found.where("more").select("band").distinct()
-            first = last
+            first = first if closest else last
         # behind the first find, the closest ones go before all
         closest = not early and not closest
         links = fresh.count()
